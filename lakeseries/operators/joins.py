@@ -1,0 +1,40 @@
+"""Join helper for keys that a few values dominate."""
+
+from functools import reduce
+from operator import and_
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+SALTS = 16
+_SALT = "_sal"
+
+
+def salted_join(
+    left: DataFrame,
+    right: DataFrame,
+    on: list[str],
+    spread_by: list[str],
+    how: str = "inner",
+    salts: int = SALTS,
+) -> DataFrame:
+    """Equi-join a large skewed ``left`` with a ``right`` of one row per key.
+
+    Each key's left rows are spread over ``salts`` join partitions by a hash of
+    ``spread_by`` (a content hash, so a recomputed task spreads the same way);
+    the right row is repeated once per salt. Null keys match each other. There
+    is no broadcast hint: adaptive execution decides that from measured sizes.
+    """
+    salted = left.withColumn(_SALT, F.pmod(F.xxhash64(*spread_by), F.lit(salts)))
+    copies = right.withColumn(
+        _SALT, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(salts - 1).cast("long")))
+    )
+    condition = reduce(
+        and_,
+        [salted[c].eqNullSafe(copies[c]) for c in on],
+        salted[_SALT] == copies[_SALT],
+    )
+    payload = [copies[c] for c in right.columns if c not in on]
+    return salted.join(copies, condition, how).select(
+        *[salted[c] for c in left.columns], *payload
+    )
