@@ -26,9 +26,10 @@ def display_label(name: Column) -> Column:
 
 
 def two_decimals(value: Column) -> Column:
-    return F.format_string("%.2f", value)
+    """Fixed two decimals, rounding the exact binary value half to even."""
+    return F.call_function("format_number", value, F.lit("0.00"))
 
 
 def percent_text(value: Column) -> Column:
     """Two decimals and a percent sign; null stays null."""
-    return F.when(~is_missing(value), F.format_string("%.2f%%", value))
+    return F.when(~is_missing(value), F.concat(two_decimals(value), F.lit("%")))
