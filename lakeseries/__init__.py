@@ -25,7 +25,7 @@ from lakeseries.operators.silver import (
 )
 from lakeseries.operators.windows import invalid_requests, year_windows
 from lakeseries.plans.batch import BatchConfig, BatchMetrics, run_batch
-from lakeseries.plans.ingestion import Ingestion, ingest_pages
+from lakeseries.plans.ingestion import Ingestion, failure_count, ingest_pages, run_ingestion
 from lakeseries.sources import (
     TableNotFoundError,
     catalog_from_rows,
@@ -55,6 +55,7 @@ __all__ = [
     "discard_metric",
     "drop_invalid",
     "failed_series",
+    "failure_count",
     "filter_period",
     "ingest_pages",
     "invalid_requests",
@@ -71,6 +72,7 @@ __all__ = [
     "read_table",
     "require_quality",
     "run_batch",
+    "run_ingestion",
     "series_options",
     "series_points",
     "validate_pages",

@@ -36,9 +36,12 @@ def with_percent_change(
     Runs on monthly rows, so a window partition holds months, not observations.
     """
     history = Window.partitionBy(code).orderBy(*order)
-    return months.withColumn(
-        "variacao_percentual_mensal",
-        percent_change(F.col(value), F.lag(value).over(history)),
+    return (
+        months.withColumn("_anterior", F.lag(value).over(history))
+        .withColumn(
+            "variacao_percentual_mensal", percent_change(F.col(value), F.col("_anterior"))
+        )
+        .drop("_anterior")
     )
 
 

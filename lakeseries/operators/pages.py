@@ -53,9 +53,11 @@ def parse_record_list(body: Column) -> Column:
 
 
 def validate_pages(pages: DataFrame) -> DataFrame:
-    """Replace ``status``/``body`` by ``registros`` and an ``erro`` code.
+    """Replace ``status``/``body`` by ``registros``, their number, and an ``erro`` code.
 
-    ``erro`` is null for a page with status 200 and a JSON list as body.
+    ``erro`` is null for a page with status 200 and a JSON list as body. The
+    number is a column of its own so that profiles of a stored result need not
+    read the records.
     """
     answered = F.col("status").eqNullSafe(200)
     parsed = _with_page_number(pages).withColumn(
@@ -67,7 +69,11 @@ def validate_pages(pages: DataFrame) -> DataFrame:
         .when(F.try_parse_json("body").isNull(), INVALID_JSON)
         .otherwise(NOT_A_LIST)
     )
-    return parsed.withColumn("erro", error).drop("status", "body")
+    return parsed.select(
+        *[c for c in parsed.columns if c not in ("status", "body")],
+        F.size("registros").alias("quantidade"),
+        error.alias("erro"),
+    )
 
 
 def missing_pages(windows: DataFrame, pages: DataFrame) -> DataFrame:
@@ -125,20 +131,24 @@ def assemble_documents(
         _ingestion_date(ingestion_date).alias("data_ingestao"),
         *_PAGE_ORDER,
         "registros",
+        "quantidade",
         "erro",
     )
     # An empty page counts too, so that pages per document stay bounded as well.
     runs = (
         pages.groupBy(*_RUN)
         .agg(
-            F.sum(F.greatest(F.size("registros"), F.lit(1))).alias("peso"),
+            F.sum(F.greatest("quantidade", F.lit(1))).alias("peso"),
             F.count("erro").alias("erros"),
         )
         .filter(F.col("erros") == 0)
         .select(*_RUN, "peso")
     )
     usable = salted_join(
-        pages.filter(F.col("erro").isNull()).drop("erro"), runs, _RUN, spread_by=_PAGE_ORDER
+        pages.filter(F.col("erro").isNull()).drop("erro", "quantidade"),
+        runs,
+        _RUN,
+        spread_by=_PAGE_ORDER,
     )
 
     in_order = F.array_sort(F.collect_list(F.struct(*_PAGE_ORDER, "registros")))

@@ -1,6 +1,6 @@
 """Raw documents -> one typed row per series and date."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeseries.functions import br_date, br_number
@@ -66,13 +66,16 @@ def discard_metric(rows: DataFrame) -> DataFrame:
 def keep_latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Per key, the row that is greatest in ``order``; nulls are smallest.
 
-    A maximum over a struct rather than a ranked window: copies are folded
-    before the shuffle, so a key with very many copies costs its reducer one
-    row per map task.
+    Spark limits each key to one row per map task before the shuffle (window
+    group limit), so a key with very many copies does not load its reducer.
+    Rows that are equal in ``order`` should be equal in all columns.
     """
-    rest = [c for c in rows.columns if c not in keys and c not in order]
-    newest = F.max(F.struct(*order, *rest)).alias("_mais_recente")
-    return rows.groupBy(*keys).agg(newest).select(*keys, "_mais_recente.*").select(*rows.columns)
+    newest_first = Window.partitionBy(*keys).orderBy(*[F.desc(c) for c in order])
+    return (
+        rows.withColumn("_posto", F.row_number().over(newest_first))
+        .filter(F.col("_posto") == 1)
+        .drop("_posto")
+    )
 
 
 def bronze_to_silver(bronze: DataFrame) -> DataFrame:
@@ -84,11 +87,12 @@ def bronze_to_silver(bronze: DataFrame) -> DataFrame:
 
 
 def silver_with_counts(bronze: DataFrame) -> DataFrame:
-    """Like :func:`bronze_to_silver`, with ``lidos``/``validos`` per row.
+    """The groups behind :func:`bronze_to_silver`, with record counts.
 
-    Keys with no valid record stay, with a null ``serie_nome``-to-``valor``
-    struct in ``linha``, so that the totals over this frame are those of
-    :func:`discard_metric` without another pass over the raw files.
+    ``linha`` is the latest valid record, null if the key has none; ``lidos``
+    and ``validos`` count the key's records. Their totals are those of
+    :func:`discard_metric`, without another pass over the raw files. Copies of
+    a key are folded before the shuffle here as well.
     """
     newest = F.max(F.when(is_valid(), F.struct(*RECENCY)))
     return (

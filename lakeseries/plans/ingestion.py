@@ -1,6 +1,7 @@
 """Catalog and landed pages -> raw documents and failed series."""
 
 import datetime as dt
+import logging
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
@@ -14,6 +15,10 @@ from lakeseries.operators.pages import (
     validate_pages,
 )
 from lakeseries.operators.windows import invalid_requests, year_windows
+from lakeseries.sources.bronze import write_bronze
+from lakeseries.sources.work import work_path
+
+logger = logging.getLogger(__name__)
 
 
 @dataclass(frozen=True)
@@ -24,32 +29,68 @@ class Ingestion:
     failures: DataFrame
 
 
-def ingest_pages(
-    catalog: DataFrame,
-    pages: DataFrame,
-    ingestion_date: dt.date | str | None = None,
-    today: dt.date | None = None,
-    max_records: int = MAX_RECORDS_PER_DOCUMENT,
-) -> Ingestion:
-    """Assemble every catalog series whose planned windows all landed well.
+def check_pages(catalog: DataFrame, pages: DataFrame, today: dt.date | None = None) -> DataFrame:
+    """Validated pages of all planned windows, and windows without a page as failures.
 
-    One bad or missing window fails its whole series and no other. Pages that
-    belong to no planned window of the catalog are ignored.
+    The catalog names the series. Pages of no planned window are left out.
     """
     windows = year_windows(catalog, today=today).select("codigo", "nome", "janela_inicio")
-    # The catalog names the series; its windows hold no bodies and are the side
-    # that adaptive execution can broadcast.
     planned = validate_pages(pages).drop("nome").join(windows, ["codigo", "janela_inicio"])
     missing = missing_pages(windows, pages)
-    checked = planned.unionByName(missing, allowMissingColumns=True)
-    bad_requests = invalid_requests(catalog, today)
+    return planned.unionByName(missing, allowMissingColumns=True)
+
+
+def _ingestion(
+    checked: DataFrame,
+    catalog: DataFrame,
+    ingestion_date: dt.date | str | None,
+    today: dt.date | None,
+    max_records: int,
+) -> Ingestion:
     failures = (
         failed_series(checked)
         .select("codigo", "nome", "erro")
-        .unionByName(bad_requests)
+        .unionByName(invalid_requests(catalog, today))
     )
     return Ingestion(assemble_documents(checked, ingestion_date, max_records), failures)
 
 
+def ingest_pages(
+    catalog: DataFrame,
+    pages: DataFrame,
+    ingestion_date: dt.date | str | None = None,
+    today: dt.date | None = None,
+    max_records: int = MAX_RECORDS_PER_DOCUMENT,
+) -> Ingestion:
+    """Assemble every catalog series whose planned windows all landed well.
+
+    One bad or missing window fails its whole series and no other. Everything
+    is lazy; :func:`run_ingestion` stores the checked pages in between, so that
+    bodies are parsed once.
+    """
+    checked = check_pages(catalog, pages, today)
+    return _ingestion(checked, catalog, ingestion_date, today, max_records)
+
+
+def run_ingestion(
+    catalog: DataFrame,
+    pages: DataFrame,
+    bronze_path: str,
+    ingestion_date: dt.date | str | None = None,
+    today: dt.date | None = None,
+    max_records: int = MAX_RECORDS_PER_DOCUMENT,
+) -> DataFrame:
+    """Write the documents of all good series; returns the failed series."""
+    spark = pages.sparkSession
+    stored = work_path(spark, "paginas")
+    check_pages(catalog, pages, today).write.parquet(stored)
+    run = _ingestion(spark.read.parquet(stored), catalog, ingestion_date, today, max_records)
+    write_bronze(run.documents, bronze_path)
+    failed = failure_count(run.failures)
+    if failed:
+        logger.error("%d series failed", failed)
+    return run.failures
+
+
 def failure_count(failures: DataFrame) -> int:
     return failures.agg(F.count(F.lit(1))).first()[0]

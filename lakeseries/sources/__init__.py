@@ -1,6 +1,7 @@
 from lakeseries.sources.bronze import bronze_glob, corrupt_documents, read_bronze, write_bronze
 from lakeseries.sources.catalog import catalog_from_rows, read_catalog
 from lakeseries.sources.tables import TableNotFoundError, read_table, write_table
+from lakeseries.sources.work import work_path
 
 __all__ = [
     "TableNotFoundError",
@@ -10,6 +11,7 @@ __all__ = [
     "read_bronze",
     "read_catalog",
     "read_table",
+    "work_path",
     "write_bronze",
     "write_table",
 ]

@@ -36,16 +36,13 @@ def corrupt_documents(
     multi_line: bool = False,
     schema: StructType = BRONZE_SCHEMA,
 ) -> DataFrame:
-    """Everything that is no valid document: file, text, and what could be read."""
+    """File and text of everything that :func:`read_bronze` cannot read as a document."""
+    texts = spark.read.text(glob, wholetext=multi_line)
     marked = StructType([*schema.fields]).add(CORRUPT, StringType())
-    documents = (
-        spark.read.schema(marked)
-        .option("multiLine", multi_line)
-        .option("columnNameOfCorruptRecord", CORRUPT)
-        .json(glob)
-    )
-    return documents.filter(F.col(CORRUPT).isNotNull()).select(
-        F.input_file_name().alias("arquivo"), F.col(CORRUPT).alias("texto"), *schema.fieldNames()
+    parsed = F.from_json("value", marked, {"columnNameOfCorruptRecord": CORRUPT})
+    broken = (F.trim("value") != "") & parsed[CORRUPT].isNotNull()
+    return texts.filter(broken).select(
+        F.input_file_name().alias("arquivo"), F.col("value").alias("texto")
     )
 
 

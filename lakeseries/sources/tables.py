@@ -78,16 +78,21 @@ def save_in_place(
     if fmt == "delta":
         writer.mode("overwrite").option("overwriteSchema", "true").save(path)
         return
-    staging = f"{path.rstrip('/')}.nova-{uuid.uuid4().hex}"
-    writer.mode("errorifexists").save(staging)
-    _swap(out.sparkSession, staging, path.rstrip("/"))
+    path = path.rstrip("/")
+    staging = f"{path}.nova-{uuid.uuid4().hex}"
+    spark = out.sparkSession
+    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    try:
+        writer.mode("errorifexists").save(staging)
+        _move_into_place(files, hadoop, staging, path)
+    finally:
+        files.delete(hadoop(staging), True)
 
 
-def _swap(spark: SparkSession, staging: str, path: str) -> None:
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
+def _move_into_place(files, hadoop, staging: str, path: str) -> None:
     new, target = hadoop(staging), hadoop(path)
     previous = hadoop(f"{path}.anterior-{uuid.uuid4().hex}")
-    files = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     replaced = files.exists(target)
     if replaced and not files.rename(target, previous):
         raise OSError(f"cannot move the previous table at '{path}'")

@@ -145,7 +145,13 @@ def test_counted_form_equals_plain_form_and_brute_force(spark):
     assert discard_metric(normalise(frame)).first() == (read, valid, read - valid)
 
 
-def test_hot_key_is_folded_before_the_shuffle(spark):
-    rows = normalise(bronze(spark, (1, "s", "2026-07-23", [("01/01/2024", "1")])))
-    plan = keep_latest(rows, KEY, RECENCY)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_max" in plan and "Window" not in plan
+def plan(frame):
+    return frame._jdf.queryExecution().executedPlan().toString()
+
+
+def test_copies_of_a_key_are_cut_before_the_shuffle(spark):
+    documents = bronze(spark, (1, "s", "2026-07-23", [("01/01/2024", "1")]))
+    text = plan(keep_latest(normalise(documents), KEY, RECENCY))
+    assert text.index("Exchange") < text.index("WindowGroupLimit", text.index("Exchange"))
+    text = plan(silver_with_counts(documents))
+    assert text.index("Exchange") < text.index("partial_max")

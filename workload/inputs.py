@@ -4,9 +4,6 @@ Amounts are taken in whole cents, so that sums are exact in double arithmetic
 and do not depend on the order in which tasks finish.
 """
 
-import tempfile
-import uuid
-
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -15,12 +12,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in the folder that the cluster names for written state."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="lakeseries-")
-    return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
 def cents(amount: str) -> Column:
     return F.round(F.col(amount) * 100)
 

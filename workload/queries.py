@@ -10,11 +10,18 @@ from lakeseries.operators import gold, pages, quality, serve, silver, windows
 from lakeseries.plans.batch import BatchConfig, run_batch
 from lakeseries.plans.ingestion import ingest_pages
 from lakeseries.schemas import SILVER_SCHEMA
-from lakeseries.sources import bronze_glob, read_bronze, read_table, write_bronze, write_table
+from lakeseries.sources import (
+    bronze_glob,
+    read_bronze,
+    read_table,
+    work_path,
+    write_bronze,
+    write_table,
+)
 from workload.inputs import (
+    br_text,
     cents,
     comma_text,
-    br_text,
     customer_catalog,
     customer_pages,
     customer_series,
@@ -24,7 +31,6 @@ from workload.inputs import (
     order_series,
     price_catalog,
     priority_pages,
-    scratch_path,
     table,
 )
 
@@ -65,7 +71,7 @@ def catalog_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def page_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.validate_pages(event_pages(spark, sf_dir)).select(
-        "codigo", "pagina", "erro", F.size("registros").alias("quantidade")
+        "codigo", "pagina", "erro", "quantidade"
     )
 
 
@@ -368,20 +374,20 @@ def comparison_unpivot(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def bronze_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "bronze")
+    path = work_path(spark, "bronze")
     write_bronze(_priority_documents(spark, sf_dir), path)
     return silver.bronze_to_silver(read_bronze(spark, bronze_glob(path)))
 
 
 @query
 def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
-    path = scratch_path(spark, "silver")
+    path = work_path(spark, "silver")
     write_table(order_series(spark, sf_dir), path, partition_by=["serie_codigo"])
     return read_table(spark, path, schema=SILVER_SCHEMA)
 
 
 def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
-    base = scratch_path(spark, "batch")
+    base = work_path(spark, "batch")
     write_bronze(_priority_documents(spark, sf_dir), f"{base}/bronze")
     config = BatchConfig(
         bronze_glob=bronze_glob(f"{base}/bronze"),
