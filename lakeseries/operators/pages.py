@@ -32,36 +32,38 @@ def _with_page_number(pages: DataFrame) -> DataFrame:
     return pages.withColumn("pagina", F.lit(0).cast("long"))
 
 
-def parse_record_list(body: Column) -> Column:
-    """JSON list to an array of records; null for any other text.
-
-    The body is parsed as the only element of an outer list: that refuses
-    trailing text and a bare object, which a direct parse would let through.
-    Elements that are no objects stay, as null records.
-    """
-    wrapped = F.concat(F.lit("["), body, F.lit("]"))
-    as_records = F.from_json(wrapped, f"array<array<{_RECORD}>>", _STRICT)
-    as_texts = F.from_json(wrapped, "array<array<string>>", _STRICT)
-    lists = F.coalesce(
-        as_records,
-        F.transform(
-            as_texts,
-            lambda items: F.transform(items, lambda item: F.from_json(item, _RECORD, _STRICT)),
-        ),
-    )
-    return F.when(F.size(lists) == 1, F.get(lists, F.lit(0)))
-
-
 def validate_pages(pages: DataFrame) -> DataFrame:
     """Replace ``status``/``body`` by ``registros``, their number, and an ``erro`` code.
 
-    ``erro`` is null for a page with status 200 and a JSON list as body. The
-    number is a column of its own so that profiles of a stored result need not
-    read the records.
+    ``erro`` is null for a page with status 200 and a JSON list as body. List
+    elements that are no objects stay, as null records. The number is a column
+    of its own so that profiles of a stored result need not read the records.
+
+    A body is parsed as the only element of an outer list: that refuses
+    trailing text and a bare object, which a direct parse would let through.
+    Each step is a column that the next one reads, so that every body is parsed
+    once, and a second time only if it is no list of objects.
     """
     answered = F.col("status").eqNullSafe(200)
-    parsed = _with_page_number(pages).withColumn(
-        "registros", F.when(answered, parse_record_list(F.col("body")))
+    wrapped = F.when(answered, F.concat(F.lit("["), F.col("body"), F.lit("]")))
+    numbered = _with_page_number(pages)
+    parsed = (
+        numbered.withColumn("_listas", F.from_json(wrapped, f"array<array<{_RECORD}>>", _STRICT))
+        .withColumn(
+            "_textos",
+            F.from_json(
+                F.when(F.col("_listas").isNull(), wrapped), "array<array<string>>", _STRICT
+            ),
+        )
+        .withColumn(
+            "registros",
+            F.when(F.size("_listas") == 1, F.get("_listas", F.lit(0))).when(
+                F.size("_textos") == 1,
+                F.transform(
+                    F.get("_textos", F.lit(0)), lambda item: F.from_json(item, _RECORD, _STRICT)
+                ),
+            ),
+        )
     )
     error = (
         F.when(~answered, HTTP_STATUS)
@@ -70,7 +72,8 @@ def validate_pages(pages: DataFrame) -> DataFrame:
         .otherwise(NOT_A_LIST)
     )
     return parsed.select(
-        *[c for c in parsed.columns if c not in ("status", "body")],
+        *[c for c in numbered.columns if c not in ("status", "body")],
+        "registros",
         F.size("registros").alias("quantidade"),
         error.alias("erro"),
     )
@@ -124,6 +127,9 @@ def assemble_documents(
     ``max_records`` records gives one document. A larger one gives one document
     per page, which carries its window start and page number as order key, so
     no group ever grows with a series.
+
+    The pages are read three times (profile, whole series, split series): give
+    a stored table where the validation is dear.
     """
     pages = _with_page_number(checked).select(
         "codigo",

@@ -16,7 +16,7 @@ from lakeseries.operators.pages import (
 )
 from lakeseries.operators.windows import invalid_requests, year_windows
 from lakeseries.sources.bronze import write_bronze
-from lakeseries.sources.work import work_path
+from lakeseries.sources.work import stored
 
 logger = logging.getLogger(__name__)
 
@@ -40,21 +40,6 @@ def check_pages(catalog: DataFrame, pages: DataFrame, today: dt.date | None = No
     return planned.unionByName(missing, allowMissingColumns=True)
 
 
-def _ingestion(
-    checked: DataFrame,
-    catalog: DataFrame,
-    ingestion_date: dt.date | str | None,
-    today: dt.date | None,
-    max_records: int,
-) -> Ingestion:
-    failures = (
-        failed_series(checked)
-        .select("codigo", "nome", "erro")
-        .unionByName(invalid_requests(catalog, today))
-    )
-    return Ingestion(assemble_documents(checked, ingestion_date, max_records), failures)
-
-
 def ingest_pages(
     catalog: DataFrame,
     pages: DataFrame,
@@ -64,12 +49,17 @@ def ingest_pages(
 ) -> Ingestion:
     """Assemble every catalog series whose planned windows all landed well.
 
-    One bad or missing window fails its whole series and no other. Everything
-    is lazy; :func:`run_ingestion` stores the checked pages in between, so that
-    bodies are parsed once.
+    One bad or missing window fails its whole series and no other. The checked
+    pages are stored first, since documents and failures both go over them more
+    than once: every body is parsed a single time.
     """
-    checked = check_pages(catalog, pages, today)
-    return _ingestion(checked, catalog, ingestion_date, today, max_records)
+    checked = stored(check_pages(catalog, pages, today), "paginas")
+    failures = (
+        failed_series(checked)
+        .select("codigo", "nome", "erro")
+        .unionByName(invalid_requests(catalog, today))
+    )
+    return Ingestion(assemble_documents(checked, ingestion_date, max_records), failures)
 
 
 def run_ingestion(
@@ -81,10 +71,7 @@ def run_ingestion(
     max_records: int = MAX_RECORDS_PER_DOCUMENT,
 ) -> DataFrame:
     """Write the documents of all good series; returns the failed series."""
-    spark = pages.sparkSession
-    stored = work_path(spark, "paginas")
-    check_pages(catalog, pages, today).write.parquet(stored)
-    run = _ingestion(spark.read.parquet(stored), catalog, ingestion_date, today, max_records)
+    run = ingest_pages(catalog, pages, ingestion_date, today, max_records)
     write_bronze(run.documents, bronze_path)
     failed = failure_count(run.failures)
     if failed:

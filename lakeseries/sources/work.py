@@ -3,7 +3,7 @@
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -11,11 +11,26 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 def work_path(spark: SparkSession, name: str) -> str:
     """A fresh path in the shared folder that the session names for checkpoints.
 
-    Only a session without such a folder, as on one machine, gets a temporary
+    Only a session on one machine may lack such a folder; it gets a temporary
     one, which stays set for the rest of the session.
     """
-    folder = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
+    context = spark.sparkContext
+    folder = spark.conf.get(CHECKPOINT_DIR, None) or context.getCheckpointDir()
     if not folder:
+        if not context.master.startswith("local"):
+            raise ValueError(f"set {CHECKPOINT_DIR} to a folder that all executors share")
         folder = tempfile.mkdtemp(prefix="lakeseries-")
-        spark.sparkContext.setCheckpointDir(folder)
+        context.setCheckpointDir(folder)
     return f"{folder.rstrip('/')}/{name}-{uuid.uuid4().hex}"
+
+
+def stored(table: DataFrame, name: str) -> DataFrame:
+    """Write an intermediate result that several plans read, and read it back.
+
+    Cheaper than deriving it again where its expressions are dear, and a lost
+    executor costs nothing that is already written.
+    """
+    spark = table.sparkSession
+    path = work_path(spark, name)
+    table.write.parquet(path)
+    return spark.read.schema(table.schema).parquet(path)

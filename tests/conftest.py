@@ -13,7 +13,9 @@ def spark(tmp_path_factory):
         SparkSession.builder.master("local[8]")
         .appName("lakeseries-tests")
         .config("spark.ui.enabled", "false")
-        .config("spark.sql.shuffle.partitions", "8")
+        .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.default.parallelism", "2")
+        .config("spark.sql.shuffle.partitions", "4")
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.driver.memory", "4g")
         .config("spark.driver.bindAddress", "127.0.0.1")

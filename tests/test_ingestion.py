@@ -239,3 +239,33 @@ def test_ingestion_from_catalog(spark):
         (4, "http", HTTP_STATUS),
     ]
     assert failure_count(run.failures) == 3
+
+
+def test_copies_of_a_page_in_a_large_series_all_stay(spark):
+    copies = [(1, "hot", D(2015, 1, 1), 200, page_body(("01/01/2015", "1")))] * 30
+    others = [(2, "cold", D(2015, 1, 1), 200, page_body(("01/01/2015", "2")))]
+    checked = validate_pages(pages(spark, *copies, *others))
+    documents = assemble_documents(checked, "2026-07-23", max_records=10)
+    counts = {r.codigo: (r.n, r.q) for r in documents.groupBy("codigo").agg(F.count("*").alias("n"), F.sum("quantidade_registros").alias("q")).collect()}
+    assert counts == {1: (30, 30), 2: (1, 1)}
+
+
+def test_many_empty_pages_are_split_too(spark):
+    rows = [(1, "s", D(2000, 1, 1) + dt.timedelta(days=i), 200, "[]") for i in range(30)]
+    documents = assemble_documents(validate_pages(pages(spark, *rows)), "2026-07-23", max_records=10)
+    assert documents.count() == 30
+    assert documents.agg(F.sum("quantidade_registros")).first()[0] == 0
+
+
+def test_split_documents_keep_the_order_for_deduplication(spark):
+    from lakeseries.operators.silver import bronze_to_silver
+
+    rows = [
+        (1, "s", D(2015, 1, 1), 200, page_body(("05/01/2015", "9"), ("06/01/2015", "1"))),
+        (1, "s", D(2016, 1, 2), 200, page_body(("05/01/2015", "3"))),
+    ]
+    checked = validate_pages(pages(spark, *rows))
+    whole = bronze_to_silver(assemble_documents(checked, "2026-07-23"))
+    split = bronze_to_silver(assemble_documents(checked, "2026-07-23", max_records=1))
+    assert sorted(whole.collect()) == sorted(split.collect())
+    assert {r.data.day: r.valor for r in whole.collect()} == {5: 3.0, 6: 1.0}

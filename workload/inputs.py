@@ -69,12 +69,22 @@ def event_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def order_records(amount: Column) -> Column:
+def record_text(date: Column, amount: Column) -> Column:
+    """One record as JSON; the texts need no escapes."""
+    return F.concat(
+        F.lit('{"data":"'), br_text(date), F.lit('","valor":"'), amount, F.lit('"}')
+    )
+
+
+def order_body(amount: Column) -> Column:
     """Two records per order: on the order date and a week later."""
     day = F.to_date("o_orderdate")
-    return F.array(
-        F.struct(br_text(day).alias("data"), amount.alias("valor")),
-        F.struct(br_text(F.date_add(day, 7)).alias("data"), amount.alias("valor")),
+    return F.concat(
+        F.lit("["),
+        record_text(day, amount),
+        F.lit(","),
+        record_text(F.date_add(day, 7), amount),
+        F.lit("]"),
     )
 
 
@@ -90,7 +100,7 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("o_orderdate").alias("janela_inicio"),
         F.col("o_orderkey").alias("pagina"),
         F.when(failed, 503).otherwise(200).alias("status"),
-        F.to_json(order_records(comma_text(F.col("o_totalprice")))).alias("body"),
+        order_body(comma_text(F.col("o_totalprice"))).alias("body"),
     )
 
 
@@ -108,7 +118,7 @@ def priority_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.to_date("o_orderdate").alias("janela_inicio"),
         F.col("o_orderkey").alias("pagina"),
         F.lit(200).alias("status"),
-        F.to_json(order_records(text)).alias("body"),
+        order_body(text).alias("body"),
         F.when(F.col("o_orderstatus") == "P", "2026-07-23")
         .when(F.col("o_orderstatus") == "F", "2026-07-22")
         .otherwise("2026-07-20")
@@ -119,15 +129,13 @@ def priority_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
 def event_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages: one per event, with good and bad answers by event type."""
     kind, props = F.col("event_type"), F.col("props")
-    record = F.array(
-        F.struct(br_text(F.to_date("ts")).alias("data"), comma_text(F.col("value")).alias("valor"))
-    )
+    record = record_text(F.to_date("ts"), comma_text(F.col("value")))
     body = (
         F.when(kind == "error", "unavailable")
         .when(kind == "signup", props)
         .when(kind == "view", F.concat(F.lit("["), props))
         .when(kind == "click", F.concat(F.lit("["), props, F.lit(","), props, F.lit("]")))
-        .otherwise(F.to_json(record))
+        .otherwise(F.concat(F.lit("["), record, F.lit("]")))
     )
     return table(spark, sf_dir, "events").select(
         F.col("user_id").alias("codigo"),

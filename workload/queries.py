@@ -14,6 +14,7 @@ from lakeseries.sources import (
     bronze_glob,
     read_bronze,
     read_table,
+    stored,
     work_path,
     write_bronze,
     write_table,
@@ -89,12 +90,13 @@ def _document_texts(documents: DataFrame) -> DataFrame:
 @query
 def page_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     landed = customer_pages(spark, sf_dir).withColumn("status", F.lit(200))
-    return _document_texts(pages.assemble_documents(pages.validate_pages(landed), "2026-07-23"))
+    checked = stored(pages.validate_pages(landed), "paginas")
+    return _document_texts(pages.assemble_documents(checked, "2026-07-23"))
 
 
 @query
 def series_failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = pages.validate_pages(customer_pages(spark, sf_dir))
+    checked = stored(pages.validate_pages(customer_pages(spark, sf_dir)), "paginas")
     return _document_texts(pages.assemble_documents(checked, "2026-07-23"))
 
 
@@ -115,7 +117,7 @@ def ingestion_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _priority_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = pages.validate_pages(priority_pages(spark, sf_dir))
+    checked = stored(pages.validate_pages(priority_pages(spark, sf_dir)), "paginas")
     return pages.assemble_documents(checked, F.col("dia"))
 
 
