@@ -29,6 +29,9 @@ class BatchConfig:
     fmt: str = "parquet"
     ranges: Ranges = field(default_factory=lambda: SERIES_RANGES)
     default_range: tuple[float, float] = DEFAULT_RANGE
+    # One directory per series. With very many series leave it empty: rows are
+    # clustered and sorted by series in any case, so files can still be skipped.
+    silver_partition_by: Sequence[str] = ("serie_codigo",)
     # Column names of the comparison; discovered from the monthly table if None.
     series_names: Sequence[str] | None = None
     bronze_schema: StructType = BRONZE_SCHEMA
@@ -67,7 +70,7 @@ def refresh_silver(spark: SparkSession, config: BatchConfig) -> tuple[int, int,
         silver_rows(counted),
         config.silver_path,
         config.fmt,
-        partition_by=["serie_codigo"],
+        partition_by=config.silver_partition_by,
         sort_by=["serie_codigo", "data"],
     )
     seen = counts.get

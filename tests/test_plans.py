@@ -108,3 +108,10 @@ def test_ingestion_to_gold(spark, tmp_path):
     assert failures.first() == (1, "cambio_usd_venda", "http_status")
     assert [p.name for p in (tmp_path / "bronze").glob("serie=*")] == ["serie=11"]
     assert run_batch(spark, config(tmp_path)).monthly_rows == 2
+
+
+def test_silver_without_directories(spark, tmp_path):
+    put(spark, tmp_path, SELIC, IPCA)
+    assert run_batch(spark, config(tmp_path, silver_partition_by=())).silver_rows == 3
+    assert not list((tmp_path / "silver").glob("serie_codigo=*"))
+    assert read_table(spark, f"{tmp_path}/silver", schema=SILVER_SCHEMA).count() == 3
