@@ -1,4 +1,5 @@
 import datetime as dt
+import random
 
 from lakeseries.operators.gold import comparison, monthly
 
@@ -107,3 +108,38 @@ def test_no_sort_below_the_pivot(spark):
     table = monthly(silver(spark), ordered=False)
     plan = comparison(table, ["a"], ordered=False)._jdf.queryExecution().optimizedPlan().toString()
     assert "Sort" not in plan.replace("SortOrder", "")
+
+
+def test_random_series_against_brute_force(spark):
+    rng = random.Random(11)
+    rows = [
+        (code, f"s{code}", dt.date(2020, 1, 1) + dt.timedelta(days=rng.randint(0, 900)), float(rng.randint(-3, 3)))
+        for code in range(6)
+        for _ in range(60)
+    ]
+    groups = {}
+    for code, _, date, value in rows:
+        groups.setdefault((code, date.year, date.month), []).append(value)
+    expected, previous = {}, {}
+    for key in sorted(groups):
+        values = groups[key]
+        mean, before = sum(values) / len(values), previous.get(key[0])
+        change = (mean - before) / before * 100 if before else None
+        expected[key] = (mean, min(values), max(values), len(values), change)
+        previous[key[0]] = mean
+    got = months(monthly(silver(spark, rows)))
+    assert got.keys() == expected.keys()
+    for key, (mean, low, high, count, change) in expected.items():
+        row = got[key]
+        assert (row.valor_medio, row.valor_min, row.valor_max, row.qtd_observacoes) == (mean, low, high, count)
+        if change is None:
+            assert row.variacao_percentual_mensal is None
+        else:
+            assert abs(row.variacao_percentual_mensal - change) <= 0.00501
+
+    wide = comparison(monthly(silver(spark, rows), ordered=False))
+    assert wide.columns == ["ano", "mes", *[f"s{c}" for c in range(6)]]
+    for row in wide.collect():
+        for code in range(6):
+            cell = expected.get((code, row.ano, row.mes))
+            assert row[f"s{code}"] == (cell[0] if cell else None)

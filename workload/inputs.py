@@ -35,13 +35,14 @@ def order_series(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def customer_series(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Silver-shaped: one sparse series per customer; pending orders count as zero."""
+def customer_series(spark: SparkSession, sf_dir: str, pending_as_zero: bool = True) -> DataFrame:
+    """Silver-shaped: one sparse series per customer."""
+    pending = (F.col("o_orderstatus") == "P") & F.lit(pending_as_zero)
     return table(spark, sf_dir, "orders").select(
         F.col("o_custkey").alias("serie_codigo"),
         F.concat(F.lit("cliente_"), F.col("o_custkey")).alias("serie_nome"),
         F.to_date("o_orderdate").alias("data"),
-        F.when(F.col("o_orderstatus") == "P", F.lit(0.0)).otherwise(cents("o_totalprice")).alias("valor"),
+        F.when(pending, F.lit(0.0)).otherwise(cents("o_totalprice")).alias("valor"),
     )
 
 

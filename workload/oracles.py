@@ -295,14 +295,20 @@ WHERE rn = 1
     "silver_from_orders": PRIORITY_SILVER,
     "monthly_by_series": MONTHLY_ORDERS,
     "monthly_lineitem": monthly(LINEITEM_SERIES),
-    "monthly_lag_gap": monthly(f"SELECT * FROM ({CUSTOMER_SERIES}) WHERE valor > 0"),
+    "monthly_lag_gap": monthly("""
+SELECT o_custkey AS serie_codigo, 'cliente_' || o_custkey AS serie_nome,
+       CAST(o_orderdate AS DATE) AS data, round(o_totalprice * 100) AS valor
+FROM orders
+"""),
     "pct_change_zero_prev": f"""
 SELECT serie_codigo, ano, mes, valor_medio, variacao_percentual_mensal
 FROM ({monthly(CUSTOMER_SERIES)})
 """,
     "comparison_pivot": wide(ORDER_SERIES),
     "comparison_known_names": wide(ORDER_SERIES),
-    "pivot_sparse": wide(f"SELECT * FROM ({ORDER_SERIES}) WHERE valor > 49500000"),
+    "pivot_sparse": wide(
+        f"SELECT * REPLACE (CASE WHEN valor > 49500000 THEN valor END AS valor) FROM ({ORDER_SERIES})"
+    ),
     "quality_not_null": f"""
 SELECT count(*) AS linhas,
        count(*) FILTER (WHERE data IS NULL) AS data_nula,

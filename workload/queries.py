@@ -107,12 +107,14 @@ def failed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingestion_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ingest_pages(price_catalog(spark, sf_dir), customer_pages(spark, sf_dir)).failures
+    catalog = stored(price_catalog(spark, sf_dir), "catalogo")
+    return ingest_pages(catalog, customer_pages(spark, sf_dir)).failures
 
 
 @query
 def ingestion_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    run = ingest_pages(price_catalog(spark, sf_dir), customer_pages(spark, sf_dir), "2026-07-23")
+    catalog = stored(price_catalog(spark, sf_dir), "catalogo")
+    run = ingest_pages(catalog, customer_pages(spark, sf_dir), "2026-07-23")
     return _document_texts(run.documents)
 
 
@@ -232,9 +234,7 @@ def monthly_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def monthly_lag_gap(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Sparse series: the previous month is seldom the one before."""
-    return gold.monthly(
-        customer_series(spark, sf_dir).filter(F.col("valor") > 0)
-    )
+    return gold.monthly(customer_series(spark, sf_dir, pending_as_zero=False))
 
 
 @query
@@ -256,8 +256,10 @@ def comparison_known_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pivot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the dearest orders: most months lack some series."""
-    dear = order_series(spark, sf_dir).filter(F.col("valor") > 49_500_000)
+    """Only the dearest orders have a value: many months lack some series."""
+    dear = order_series(spark, sf_dir).withColumn(
+        "valor", F.when(F.col("valor") > 49_500_000, F.col("valor"))
+    )
     return gold.comparison(gold.monthly(dear, ordered=False), PRIORITIES)
 
 
