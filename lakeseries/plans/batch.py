@@ -4,7 +4,7 @@ import logging
 from collections.abc import Sequence
 from dataclasses import dataclass, field
 
-from pyspark.sql import Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -47,27 +47,32 @@ class BatchMetrics:
     comparison_rows: int
 
 
-def refresh_silver(spark: SparkSession, config: BatchConfig) -> tuple[int, int, int]:
-    """Rebuild silver from all raw documents in one pass.
+def counted_silver(bronze: DataFrame, counts: Observation) -> DataFrame:
+    """Silver rows, balanced by series, with record counts going to ``counts``.
 
-    Returns records read, records discarded and rows written. The counts ride
-    on the deduplicated rows into the stage that writes the files, where a task
-    that is run again is still counted once.
+    The counts ride on the deduplicated rows past the last shuffle, into the
+    stage that writes the files: there a task that is run again counts once.
     """
-    bronze = read_bronze(spark, config.bronze_glob, config.multi_line, config.bronze_schema)
-    counts = Observation("silver")
-    counted = (
-        silver_with_counts(bronze)
-        .hint("rebalance", "serie_codigo")
-        .observe(
+    balanced = silver_with_counts(bronze).hint("rebalance", "serie_codigo")
+    return silver_rows(
+        balanced.observe(
             counts,
             F.coalesce(F.sum("lidos"), F.lit(0)).alias("lidos"),
             F.coalesce(F.sum("validos"), F.lit(0)).alias("validos"),
             F.count("linha").alias("linhas"),
         )
     )
+
+
+def refresh_silver(spark: SparkSession, config: BatchConfig) -> tuple[int, int, int]:
+    """Rebuild silver from all raw documents in one pass.
+
+    Returns records read, records discarded and rows written.
+    """
+    bronze = read_bronze(spark, config.bronze_glob, config.multi_line, config.bronze_schema)
+    counts = Observation("silver")
     save_in_place(
-        silver_rows(counted),
+        counted_silver(bronze, counts),
         config.silver_path,
         config.fmt,
         partition_by=config.silver_partition_by,

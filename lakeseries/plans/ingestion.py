@@ -20,6 +20,9 @@ from lakeseries.sources.work import stored
 
 logger = logging.getLogger(__name__)
 
+# pagina may be absent if every window has one page.
+ANSWER_COLUMNS = ["codigo", "janela_inicio", "pagina", "status", "body"]
+
 
 @dataclass(frozen=True)
 class Ingestion:
@@ -32,10 +35,12 @@ class Ingestion:
 def check_pages(catalog: DataFrame, pages: DataFrame, today: dt.date | None = None) -> DataFrame:
     """Validated pages of all planned windows, and windows without a page as failures.
 
-    The catalog names the series. Pages of no planned window are left out.
+    The catalog names the series. Pages of no planned window are left out, as
+    are columns of the landing table that documents do not need.
     """
     windows = year_windows(catalog, today=today).select("codigo", "nome", "janela_inicio")
-    planned = validate_pages(pages).drop("nome").join(windows, ["codigo", "janela_inicio"])
+    answers = pages.select(*[c for c in ANSWER_COLUMNS if c in pages.columns])
+    planned = validate_pages(answers).join(windows, ["codigo", "janela_inicio"])
     missing = missing_pages(windows, pages)
     return planned.unionByName(missing, allowMissingColumns=True)
 

@@ -70,6 +70,7 @@ def save_in_place(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
 ) -> None:
+    """Replace the table by ``out`` as it is distributed, without another shuffle."""
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
     writer = out.write.format(fmt)

@@ -2,9 +2,11 @@ import datetime as dt
 import json
 
 import pytest
+from pyspark.sql import Observation
 
 from lakeseries import BatchConfig, DataQualityError, read_table, run_batch, run_ingestion
 from lakeseries.operators.silver import discard_metric, normalise
+from lakeseries.plans.batch import counted_silver
 from lakeseries.plans.ingestion import failure_count
 from lakeseries.schemas import BRONZE_SCHEMA, PAGE_SCHEMA, SILVER_SCHEMA
 from lakeseries.sources import bronze_glob, catalog_from_rows, read_bronze, write_bronze
@@ -115,3 +117,24 @@ def test_silver_without_directories(spark, tmp_path):
     assert run_batch(spark, config(tmp_path, silver_partition_by=())).silver_rows == 3
     assert not list((tmp_path / "silver").glob("serie_codigo=*"))
     assert read_table(spark, f"{tmp_path}/silver", schema=SILVER_SCHEMA).count() == 3
+
+
+def test_counts_are_taken_after_the_last_shuffle(spark):
+    bronze = spark.createDataFrame([], BRONZE_SCHEMA)
+    frame = counted_silver(bronze, Observation()).sortWithinPartitions("serie_codigo", "data")
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert 0 < plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
+    assert "Exchange" not in plan[: plan.index("CollectMetrics")]
+
+
+def test_landing_table_with_other_columns(spark, tmp_path):
+    landed = spark.createDataFrame(
+        [(11, dt.date(2015, 1, 1), 200, '[{"data":"05/01/2015","valor":"1"}]', "http://x")],
+        "codigo int, janela_inicio date, status int, body string, url string",
+    )
+    catalog = catalog_from_rows(
+        spark,
+        [{"codigo": 11, "nome": "s", "data_inicial": "01/01/2015", "data_final": "01/02/2015"}],
+    )
+    assert failure_count(run_ingestion(catalog, landed, f"{tmp_path}/bronze")) == 0
+    assert read_bronze(spark, bronze_glob(f"{tmp_path}/bronze")).first().nome == "s"
