@@ -67,10 +67,10 @@ def year_windows(
 ) -> DataFrame:
     """One row per (series, window), numbered from 0 in ``ordem``.
 
-    Entries with an invalid interval give no row; see :func:`invalid_requests`.
+    Entries with an invalid interval have no windows and so give no row; see
+    :func:`invalid_requests`.
     """
-    valid = resolve_requests(catalog, today).filter(F.col("erro").isNull())
-    windows = valid.select(
+    windows = resolve_requests(catalog, today).select(
         "codigo",
         "nome",
         F.posexplode(split_by_year(F.col("inicio"), F.col("fim"), years)).alias("ordem", "w"),
