@@ -85,8 +85,8 @@ def series_profile(
     Ends of a range belong to it. Missing values are not out of range.
     """
     bounds = _range_table(rows, ranges)
-    # A constant is no count: one profile per distinct (name, value) carries how
-    # many rows it stands for.
+    # n is the number of rows that a row stands for, so that equal values can be
+    # folded below without changing the sums.
     weighted = rows.select(
         "serie_nome",
         "valor",
