@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeseries.llm.suffixes import without_repeats
 from lakeseries.llm.windows import repeated_windows
 
 
@@ -18,12 +19,20 @@ def _sha(column: str) -> Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op6_sorted_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = without_repeats(_texts(spark, sf_dir), window=50)
+    return found.select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", _sha("kept_bytes").alias("kept_sha256")
+    )
+
+
 def op7_superkmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = repeated_windows(_texts(spark, sf_dir), window=35)
     return found.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
 QUERIES = {
+    "op6_sorted_suffixes": op6_sorted_suffixes,
     "op7_superkmer_windows": op7_superkmer_windows,
 }
 

@@ -287,3 +287,21 @@ def merged(ranges: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     new[1:] = lo[1:] > hi[:-1]
     first = np.flatnonzero(new)
     return lo[first], hi[np.append(first[1:], len(lo)) - 1]
+
+
+def with_runs(
+    strings: Strings, occurrence: np.ndarray, lo: np.ndarray, window: int
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Document, begin and end of windows in a row as one range, and of what went before.
+
+    ``occurrence`` and ``lo`` (first symbol of the window) are sorted.
+    """
+    new = np.ones(len(lo), bool)
+    new[1:] = (occurrence[1:] != occurrence[:-1]) | (lo[1:] != lo[:-1] + 1)
+    head = np.flatnonzero(new)
+    end = lo[np.append(head[1:], len(lo))[: len(head)] - 1] + window
+    return (
+        np.concatenate([strings.gone_doc, strings.doc[occurrence[head]]]),
+        np.concatenate([strings.gone_from, lo[head]]),
+        np.concatenate([strings.gone_to, end]),
+    )

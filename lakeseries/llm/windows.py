@@ -101,24 +101,11 @@ def _settle(window: int):
         hit = repeated[flat]
         occurrence = np.repeat(np.arange(len(strings.of)), per)[hit]
         lo = strings.place[occurrence] + (flat - first_window[strings.of].repeat(per))[hit]
-        return _runs_with(strings, strings.doc[occurrence], lo, window)
+        return superkmers.with_runs(strings, occurrence, lo, window)
 
     return settle
 
 
-def _runs_with(strings: Strings, doc: np.ndarray, lo: np.ndarray, window: int):
-    """Windows in a row as one range, together with the ranges known before."""
-    new = np.ones(len(lo), bool)
-    new[1:] = (doc[1:] != doc[:-1]) | (lo[1:] != lo[:-1] + 1)
-    head = np.flatnonzero(new)
-    end = lo[np.append(head[1:], len(lo))[: len(head)] - 1] + window
-    return (
-        np.concatenate([strings.gone_doc, doc[head]]),
-        np.concatenate([strings.gone_from, lo[head]]),
-        np.concatenate([strings.gone_to, end]),
-    )
-
-
 def _kept_words(text_field: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
