@@ -17,7 +17,16 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm import superkmers
 from lakeseries.llm.superkmers import Strings
-from lakeseries.llm.vectors import PrefixHash, column_bytes, equal_strings, mix, ragged, slices
+from lakeseries.llm.vectors import (
+    PrefixHash,
+    column_bytes,
+    equal_strings,
+    gathered,
+    mix,
+    ragged,
+    slices,
+    string_hashes,
+)
 
 WINDOW = 50
 GRAM = 20
@@ -97,7 +106,7 @@ def _cut(window: int, gram: int):
             doc = np.searchsorted(bounds, first, "right") - 1
             n = np.arange(len(first))
             strings = Strings(
-                text=text[ragged(first, size)], length=size, anchor=grams[least],
+                text=gathered(text, first, size), length=size, anchor=grams[least],
                 offset=least - first, weight=np.ones(len(n), np.uint8),
                 text_id=ids[first_doc:last_doc], text_variant=variants[first_doc:last_doc],
                 of=n, doc=doc, place=first - bounds[doc], symbols=size,
@@ -108,11 +117,11 @@ def _cut(window: int, gram: int):
     return cut
 
 
-def _settle(window: int):
+def _settle(window: int, gram: int):
     def settle(strings: Strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         text = strings.text
         starts = np.cumsum(strings.length) - strings.length
-        hashes = mix(PrefixHash(text).of(starts, strings.length))
+        hashes = string_hashes(text, starts, strings.length)
         strings = superkmers.collapse(strings, hashes, by_order=True)
         text = strings.text
         starts = np.cumsum(strings.length) - strings.length
@@ -120,9 +129,10 @@ def _settle(window: int):
         least[strings.of] = strings.text_id[strings.doc]
 
         # Only strings that share their minimiser with a string of another text count.
-        order = np.argsort(strings.anchor, kind="stable")
+        anchor = string_hashes(text, starts + strings.offset, np.full(len(starts), gram))
+        order = np.argsort(anchor, kind="stable")
         new = np.ones(len(order), bool)
-        new[1:] = np.diff(strings.anchor[order]) != 0
+        new[1:] = np.diff(anchor[order]) != 0
         head = np.flatnonzero(new)
         number = np.cumsum(new) - 1
         if len(order):
@@ -133,14 +143,16 @@ def _settle(window: int):
         else:
             shared = shared_number = order
 
-        n_windows = strings.length[shared] - window + 1
-        owner = np.repeat(shared, n_windows)
-        place = ragged(np.zeros(len(shared), np.int64), n_windows)
-        key = np.repeat(shared_number, n_windows) * window + strings.offset[owner] - place
+        size = strings.length[shared]
+        text = gathered(text, starts[shared], size)
+        own = np.repeat(np.arange(len(shared)), size - window + 1)
+        place = ragged(np.zeros(len(shared), np.int64), size - window + 1)
+        owner = shared[own]
+        key = shared_number[own] * window + strings.offset[owner] - place
         by_key = np.argsort(key, kind="stable")
         bounds = np.flatnonzero(np.diff(key[by_key], prepend=-1, append=-1))
-        owner, place = owner[by_key], place[by_key]
-        at = starts[owner] + place
+        own, owner, place = own[by_key], owner[by_key], place[by_key]
+        at = (np.cumsum(size) - size)[own] + place
         ranked = sort_suffixes(text, PrefixHash(text), at, bounds, window)
         owner, place, at = owner[ranked], place[ranked], at[ranked]
 
@@ -210,7 +222,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     rows, row_type = superkmers.packed_rows(docs, text, new)
     keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     n_buckets = superkmers.bucket_count(keyed)
-    found = superkmers.gone_ranges(keyed, n_buckets, _cut(window, gram), _settle(window))
+    found = superkmers.gone_ranges(keyed, n_buckets, _cut(window, gram), _settle(window, gram))
     out = superkmers.with_gone(keyed, found).mapInArrow(
         _kept_bytes(text),
         f"_row {row_type}, n_bytes long, n_removed long, n_spans long, kept_bytes binary",

@@ -18,15 +18,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeseries.llm.vectors import exact_classes, mix, ragged, sliding_minimum
+from lakeseries.llm.vectors import exact_classes, gathered, mix, sliding_minimum
 
-BUCKET_BYTES = 6_000_000
+BUCKET_BYTES = 2_000_000
 MIN_BUCKETS = 256
 MAX_ID = (1 << 63) - 1
 
 _BLOCK = 1 << 22
 _PLACE = np.uint64((1 << 24) - 1)
-_CODEC = pa.Codec("zstd", 1)
+_CODEC = pa.Codec("zstd", 3)
 
 
 @dataclass
@@ -40,7 +40,7 @@ class Strings:
 
     text: np.ndarray  # uint8
     length: np.ndarray  # bytes of each string
-    anchor: np.ndarray  # hash of its minimiser
+    anchor: np.ndarray  # hash of its minimiser; it does not travel
     offset: np.ndarray  # place of its minimiser, in symbols
     weight: np.ndarray
     text_id: np.ndarray
@@ -156,7 +156,9 @@ def collapse(strings: Strings, hashes: np.ndarray, by_order: bool) -> Strings:
         keep[kept] = True
         text = text[np.repeat(keep, length)]
     return Strings(
-        text=text, length=length[kept], anchor=strings.anchor[kept], offset=strings.offset[kept],
+        text=text, length=length[kept],
+        anchor=strings.anchor[kept] if len(strings.anchor) else strings.anchor,
+        offset=strings.offset[kept],
         weight=weight, text_id=strings.text_id, text_variant=strings.text_variant,
         of=of[~gone], doc=strings.doc[~gone], place=strings.place[~gone],
         symbols=strings.symbols[kept],
@@ -172,7 +174,7 @@ def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     order = np.argsort(bucket, kind="stable")
     starts = np.cumsum(strings.length) - strings.length
     length = strings.length[order]
-    text = strings.text[ragged(starts[order], length)]
+    text = gathered(strings.text, starts[order], length)
     ends = np.cumsum(length)
     number = np.empty(len(order), np.int64)
     number[order] = np.arange(len(order))
@@ -188,7 +190,7 @@ def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
         docs, own = np.unique(doc[lo:hi], return_inverse=True)
         part = Strings(
             text=text[ends[first] - length[first] : ends[last - 1]], length=length[first:last],
-            anchor=strings.anchor[chosen], offset=strings.offset[chosen],
+            anchor=none, offset=strings.offset[chosen],
             weight=strings.weight[chosen], text_id=strings.text_id[docs],
             text_variant=strings.text_variant[docs], of=of[lo:hi] - first, doc=own,
             place=place[lo:hi], symbols=strings.symbols[chosen],

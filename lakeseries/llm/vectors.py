@@ -74,12 +74,14 @@ def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return buffer, offsets
 
 
-def slices(offsets: np.ndarray, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int]]:
-    """Ranges of whole texts of about ``limit`` bytes, one text at least."""
+def slices(
+    offsets: np.ndarray, limit: int = SLICE_BYTES, texts: int = 1 << 30
+) -> Iterator[tuple[int, int]]:
+    """Ranges of whole texts of about ``limit`` bytes and ``texts`` texts, one at least."""
     first, n = 0, len(offsets) - 1
     while first < n:
         last = int(np.searchsorted(offsets, offsets[first] + limit, "right")) - 1
-        last = min(n, max(first + 1, last))
+        last = min(n, first + texts, max(first + 1, last))
         yield first, last
         first = last
 
@@ -129,21 +131,46 @@ def ragged(starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
     return np.cumsum(steps)
 
 
+_CHUNK = 500_000
+
+
+def _chunks(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of strings of about ``_CHUNK`` bytes, one string at least."""
+    bounds = np.concatenate([[0], np.cumsum(lengths)])
+    return slices(bounds, _CHUNK)
+
+
+def gathered(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The strings at ``starts``, one after the other."""
+    out = np.empty(int(lengths.sum()), text.dtype)
+    at = 0
+    for first, last in _chunks(lengths):
+        part = text[ragged(starts[first:last], lengths[first:last])]
+        out[at : at + len(part)] = part
+        at += len(part)
+    return out
+
+
+def string_hashes(text: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """Mixed hash of every string; ``starts`` ascend and strings do not overlap."""
+    out = np.empty(len(starts), np.uint64)
+    for first, last in _chunks(lengths):
+        lo = starts[first]
+        prefix = PrefixHash(text[lo : starts[last - 1] + lengths[last - 1]])
+        out[first:last] = prefix.of(starts[first:last] - lo, lengths[first:last])
+    return mix(out)
+
+
 def equal_strings(
     buffer: np.ndarray, left: np.ndarray, right: np.ndarray, lengths: np.ndarray
 ) -> np.ndarray:
     """Whether the byte strings at ``left`` and at ``right`` are the same."""
     out = np.ones(len(left), bool)
-    bounds = np.concatenate([[0], np.cumsum(lengths)])
-    first = 0
-    while first < len(left):
-        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 4_000_000, "right")) - 1)
+    for first, last in _chunks(lengths):
         size = lengths[first:last]
         other = buffer[ragged(left[first:last], size)] != buffer[ragged(right[first:last], size)]
-        differ = np.flatnonzero(other)
-        owner = np.searchsorted(bounds[first : last + 1] - bounds[first], differ, "right") - 1
+        owner = np.searchsorted(np.cumsum(size), np.flatnonzero(other), "right")
         out[first + owner] = False
-        first = last
     return out
 
 

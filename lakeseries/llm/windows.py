@@ -14,11 +14,20 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm import superkmers
 from lakeseries.llm.superkmers import Strings
-from lakeseries.llm.vectors import PrefixHash, column_bytes, exact_classes, mix, ragged
-from lakeseries.llm.vectors import slices, word_bounds
+from lakeseries.llm.vectors import (
+    PrefixHash,
+    column_bytes,
+    exact_classes,
+    gathered,
+    mix,
+    ragged,
+    slices,
+    string_hashes,
+    word_bounds,
+)
 
 WINDOW = 35
-GRAM = 5
+GRAM = 3
 
 _SPACE = np.uint8(32)
 
@@ -35,10 +44,6 @@ def _spaced(buffer: np.ndarray, offsets: np.ndarray):
     return text, heads, lengths, words
 
 
-def _word_values(text: np.ndarray, heads: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    return mix(PrefixHash(text).of(heads, lengths))
-
-
 def _cut(window: int, gram: int):
     def cut(batch: pa.RecordBatch) -> Iterator[Strings]:
         ids = batch.column(0).to_numpy()
@@ -49,7 +54,7 @@ def _cut(window: int, gram: int):
             text, heads, lengths, words = _spaced(
                 everything[lo : offsets[last_doc]], offsets[first_doc : last_doc + 1] - lo
             )
-            grams = PrefixHash(_word_values(text, heads, lengths)).grams(gram)
+            grams = PrefixHash(string_hashes(text, heads, lengths)).grams(gram)
             first, last, least = superkmers.runs(grams, words, window, gram)
             if not len(first):
                 continue
@@ -59,7 +64,7 @@ def _cut(window: int, gram: int):
             doc = np.searchsorted(words, first, "right") - 1
             n = np.arange(len(first))
             strings = Strings(
-                text=text[ragged(start, size)], length=size, anchor=grams[least],
+                text=gathered(text, start, size), length=size, anchor=grams[least],
                 offset=least - first, weight=np.ones(len(n), np.uint8),
                 text_id=ids[first_doc:last_doc], text_variant=variants[first_doc:last_doc],
                 of=n, doc=doc, place=first - words[doc], symbols=stop + 1 - first,
@@ -71,15 +76,12 @@ def _cut(window: int, gram: int):
     return cut
 
 
-def _string_hashes(strings: Strings) -> np.ndarray:
-    starts = np.cumsum(strings.length) - strings.length
-    return mix(PrefixHash(strings.text).of(starts, strings.length))
-
-
 def _settle(window: int):
     def settle(strings: Strings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Count every window of the bucket by sorting."""
-        strings = superkmers.collapse(strings, _string_hashes(strings), by_order=False)
+        starts = np.cumsum(strings.length) - strings.length
+        hashes = string_hashes(strings.text, starts, strings.length)
+        strings = superkmers.collapse(strings, hashes, by_order=False)
         text = strings.text
         word_end = np.flatnonzero(text == _SPACE) + 1
         heads = np.concatenate([[0], word_end])[:-1].astype(np.int64)
@@ -88,7 +90,7 @@ def _settle(window: int):
         n_windows = strings.symbols - window + 1
         owner = np.repeat(np.arange(len(n_windows)), n_windows)
         at = ragged(words[:-1], n_windows)
-        hashes = mix(PrefixHash(_word_values(text, heads, lengths)).of(at, window))
+        hashes = mix(PrefixHash(string_hashes(text, heads, lengths)).of(at, window))
         start = heads[at]
         size = heads[at + window - 1] + lengths[at + window - 1] - start
         classes = exact_classes(text, start, size, hashes)
