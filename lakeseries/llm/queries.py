@@ -1,9 +1,14 @@
 """The registered queries of this subpackage, and SQL where it can express them."""
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeseries.llm.bpe import decode, encode
+from lakeseries.llm.minhash import near_duplicates
+from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
+from lakeseries.llm.warc import read_archives, resolved, write_archives
 from lakeseries.llm.windows import repeated_windows
 
 
@@ -19,6 +24,23 @@ def _sha(column: str) -> Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    tokens = encode(_texts(spark, sf_dir), path, public_tokenizers.PATTERN).select("doc_id", "ids")
+    return decode(tokens, path).select(
+        "doc_id",
+        F.size("ids").cast("long").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " ").cast("binary"), 256).alias(
+            "ids_sha256"
+        ),
+        _sha("decoded").alias("decoded_sha256"),
+    )
+
+
+def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_texts(spark, sf_dir))
+
+
 def op6_sorted_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeats(_texts(spark, sf_dir), window=50)
     return found.select(
@@ -31,9 +53,19 @@ def op7_superkmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = fresh_path(spark, "archives")
+    write_archives(_table(spark, sf_dir, "pages"), path)
+    records = resolved(read_archives(spark, path, payloads=False))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 QUERIES = {
+    "op2_byte_bpe": op2_byte_bpe,
+    "op3_dart_minhash": op3_dart_minhash,
     "op6_sorted_suffixes": op6_sorted_suffixes,
     "op7_superkmer_windows": op7_superkmer_windows,
+    "op10_warc_revisits": op10_warc_revisits,
 }
 
 ORACLES: dict[str, str] = {}
