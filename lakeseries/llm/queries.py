@@ -5,6 +5,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.llm.bpe import decode, encode
+from lakeseries.llm.fingerprints import with_next
 from lakeseries.llm.minhash import near_duplicates
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
@@ -53,6 +54,18 @@ def op7_superkmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "n_words", "n_removed", _sha("kept_text").alias("kept_sha256"))
 
 
+def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_next(_texts(spark, sf_dir)).select(
+        "doc_id",
+        "n_chars",
+        _sha("edited").alias("edited_sha256"),
+        "fingerprint",
+        "edited_fingerprint",
+        "near_edited",
+        "near_next",
+    )
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archives")
     write_archives(_table(spark, sf_dir, "pages"), path)
@@ -65,6 +78,7 @@ QUERIES = {
     "op3_dart_minhash": op3_dart_minhash,
     "op6_sorted_suffixes": op6_sorted_suffixes,
     "op7_superkmer_windows": op7_superkmer_windows,
+    "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op10_warc_revisits": op10_warc_revisits,
 }
 
