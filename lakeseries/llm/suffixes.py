@@ -1,6 +1,8 @@
 """Byte-level deduplication over sorted suffixes.
 
-Windows of bytes meet in the bucket of their minimiser (``superkmers``). There,
+Windows of bytes meet in the bucket of their minimiser (``superkmers``). First,
+only the minimisers of every slice of texts travel, as five bytes each; strings
+whose minimiser no other text has stay behind. In the bucket of the others,
 the suffixes that start at windows with the same minimiser at the same place are
 sorted by a mergesort. Two suffixes are compared through prefix polynomial
 hashes: a binary search finds their common extension in logarithmic time, and
@@ -24,7 +26,6 @@ from lakeseries.llm.vectors import (
     gathered,
     mix,
     ragged,
-    slices,
     string_hashes,
 )
 
@@ -89,32 +90,131 @@ def sort_suffixes(
     return order
 
 
-def _cut(window: int, gram: int):
-    def cut(batch: pa.RecordBatch) -> Iterator[Strings]:
-        ids = batch.column(0).to_numpy()
-        variants = batch.column(1).to_numpy()
-        everything, offsets = column_bytes(batch.column(2))
-        for first_doc, last_doc in slices(offsets):
-            bounds = offsets[first_doc : last_doc + 1] - offsets[first_doc]
-            text = everything[offsets[first_doc] : offsets[last_doc]]
-            prefix = PrefixHash(text)
-            grams = prefix.grams(gram)
-            first, last, least = superkmers.runs(grams, bounds, window, gram)
-            if not len(first):
-                continue
-            size = last + window - first
-            doc = np.searchsorted(bounds, first, "right") - 1
-            n = np.arange(len(first))
+def _super_kmers(texts: pa.ChunkedArray, window: int, gram: int):
+    """Bytes and bounds of the texts; first window, length, minimiser, text of each string."""
+    text, offsets = column_bytes(texts)
+    bounds = offsets - offsets[0]
+    text = text[offsets[0] : offsets[-1]]
+    grams = PrefixHash(text).grams(gram)
+    first, last, least = superkmers.runs(grams, bounds, window, gram)
+    doc = np.searchsorted(bounds, first, "right") - 1
+    return text, bounds, first, last + window - first, least - first, grams[least], doc
+
+
+def _named(anchor: np.ndarray, n_buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """Bucket of every minimiser and a name of 40 bits inside it."""
+    spread = mix(anchor)
+    return (spread % np.uint64(n_buckets)).astype(np.int64), spread >> np.uint64(24)
+
+
+def _distinct(bucket: np.ndarray, name: np.ndarray):
+    """Distinct (bucket, name) in order, and the number of each one given."""
+    order = np.lexsort((name, bucket))
+    new = np.ones(len(order), bool)
+    new[1:] = (np.diff(bucket[order]) != 0) | (np.diff(name[order]) != 0)
+    number = np.empty(len(order), np.int64)
+    number[order] = np.cumsum(new) - 1
+    return bucket[order[new]], name[order[new]], number
+
+
+def _minimisers(field: str, window: int, gram: int, n_buckets: int):
+    """The minimisers of a slice of texts, five bytes each, and whether two texts share them."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        texts = table.column("_row").combine_chunks().field(field)
+        *_, anchor, doc = _super_kmers(texts, window, gram)
+        bucket, name, number = _distinct(*_named(anchor, n_buckets))
+        ids = table.column("_id").to_numpy()[doc]
+        low = np.full(len(bucket), superkmers.MAX_ID)
+        high = np.full(len(bucket), -superkmers.MAX_ID - 1)
+        np.minimum.at(low, number, ids)
+        np.maximum.at(high, number, ids)
+        several = low < high
+        heads = np.flatnonzero(np.diff(bucket, prepend=-1))
+        packs = []
+        for first, last in zip(heads, np.append(heads[1:], len(bucket))[: len(heads)], strict=True):
+            five = name[first:last].view(np.uint8).reshape(-1, 8)[:, :5]
+            packs.append(np.packbits(several[first:last]).tobytes() + five.tobytes())
+        return pa.table(
+            {"bucket": pa.array(bucket[heads], pa.int32()),
+             "slice": pa.array(np.full(len(heads), key[0].as_py()), pa.int32()),
+             "packed": pa.array(packs, pa.binary())}
+        )
+
+    return run
+
+
+def _unpacked(pack: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Names and flags of a pack of ``n`` names: ``n`` bits and five bytes each."""
+    n = len(pack) * 8 // 41
+    flags = -(-n // 8)
+    raw = np.zeros((n, 8), np.uint8)
+    raw[:, :5] = np.frombuffer(pack, np.uint8, 5 * n, flags).reshape(-1, 5)
+    several = np.unpackbits(np.frombuffer(pack, np.uint8, flags), count=n).astype(bool)
+    return raw.view(np.uint64).reshape(-1), several
+
+
+def _shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Which minimisers of a bucket two texts or two slices have, as bits for every slice."""
+    slices_, packs, bucket = [], [], None
+    for batch in batches:
+        bucket = batch.column("bucket")[0]
+        slices_ += batch.column("slice").to_pylist()
+        packs += [_unpacked(x) for x in batch.column("packed").to_pylist()]
+    names = np.concatenate([x[0] for x in packs])
+    known, number = np.unique(names, return_inverse=True)
+    wanted = np.bincount(number, minlength=len(known)) > 1
+    wanted[number[np.concatenate([x[1] for x in packs])]] = True
+    out = {"slice": [], "bits": []}
+    at = 0
+    for slice_, (part, _) in zip(slices_, packs, strict=True):
+        bits = wanted[number[at : at + len(part)]]
+        at += len(part)
+        if bits.any():
+            out["slice"].append(slice_)
+            out["bits"].append(np.packbits(bits).tobytes())
+    yield pa.RecordBatch.from_arrays(
+        [pa.array(out["slice"], pa.int32()), pa.array([bucket.as_py()] * len(out["bits"]), pa.int32()),
+         pa.array(out["bits"], pa.binary())],
+        ["slice", "bucket", "bits"],
+    )
+
+
+def _strings(field: str, window: int, gram: int, n_buckets: int):
+    """Packs of the strings of a slice whose minimiser is shared."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, marks: pa.Table) -> pa.Table:
+        out = {"bucket": [], "packed": []}
+        if table.num_rows and marks.num_rows:
+            texts = table.column("_row").combine_chunks().field(field)
+            text, bounds, first, size, offset, anchor, doc = _super_kmers(texts, window, gram)
+            bucket, name, number = _distinct(*_named(anchor, n_buckets))
+            wanted = np.zeros(len(bucket), bool)
+            for at, bits in zip(marks.column("bucket").to_pylist(), marks.column("bits"), strict=True):
+                lo, hi = np.searchsorted(bucket, [at, at + 1])
+                bits = np.frombuffer(bits.as_py(), np.uint8)
+                wanted[lo:hi] = np.unpackbits(bits, count=hi - lo).astype(bool)
+            keep = np.flatnonzero(wanted[number])
+            first, size, offset, anchor, doc = (x[keep] for x in (first, size, offset, anchor, doc))
+            n = np.arange(len(keep))
+            hashes = mix(PrefixHash(text).of(first, size))
             strings = Strings(
-                text=gathered(text, first, size), length=size, anchor=grams[least],
-                offset=least - first, weight=np.ones(len(n), np.uint8),
-                text_id=ids[first_doc:last_doc], text_variant=variants[first_doc:last_doc],
-                of=n, doc=doc, place=first - bounds[doc], symbols=size,
+                text=gathered(text, first, size), length=size, anchor=anchor, offset=offset,
+                weight=np.ones(len(n), np.uint8), text_id=table.column("_id").to_numpy(),
+                text_variant=table.column("_variant").to_numpy(), of=n, doc=doc,
+                place=first - bounds[doc], symbols=size,
                 gone_doc=n[:0], gone_from=n[:0], gone_to=n[:0],
             )
-            yield superkmers.collapse(strings, mix(prefix.of(first, size)), by_order=True)
+            strings = superkmers.collapse(strings, hashes, by_order=True)
+            for at, packed in superkmers.dealt(strings, n_buckets):
+                out["bucket"].append(at)
+                out["packed"].append(packed)
+        return pa.table(
+            {"bucket": pa.array(out["bucket"], pa.int32()),
+             "packed": pa.array(out["packed"], pa.binary())}
+        )
 
-    return cut
+    return run
 
 
 def _settle(window: int, gram: int):
@@ -179,28 +279,38 @@ def _settle(window: int, gram: int):
     return settle
 
 
-def _kept_bytes(text_field: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            n_bytes, removed, n_spans, kept = [], [], [], []
-            texts = batch.column("_row").field(text_field)
-            for value, gone in zip(texts, batch.column("_gone"), strict=True):
-                text = (value.as_py() or "").encode()
-                n_bytes.append(len(text))
-                ranges = gone.as_py()
-                n_spans.append(0)
-                if ranges:
-                    lo, hi = superkmers.merged(ranges)
-                    n_spans[-1] = len(lo)
-                    cuts = zip([0, *hi.tolist()], [*lo.tolist(), len(text)], strict=True)
-                    text = b"".join(text[a:b] for a, b in cuts)
-                removed.append(n_bytes[-1] - len(text))
-                kept.append(text)
-            counts = [pa.array(x, pa.int64()) for x in (n_bytes, removed, n_spans)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), *counts, pa.array(kept, pa.binary())],
-                ["_row", "n_bytes", "n_removed", "n_spans", "kept_bytes"],
-            )
+def _kept_bytes(field: str):
+    """The texts of a slice without the ranges that go."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table, ranges: pa.Table) -> pa.Table:
+        ids, variants = ranges.column("_id").to_numpy(), ranges.column("_variant").to_numpy()
+        lo, hi = ranges.column("lo").to_numpy(), ranges.column("hi").to_numpy()
+        order = np.lexsort((variants, ids))
+        new = np.ones(len(order), bool)
+        new[1:] = (np.diff(ids[order]) != 0) | (np.diff(variants[order]) != 0)
+        heads = np.flatnonzero(new)
+        of_text = {
+            (int(ids[order[a]]), int(variants[order[a]])): order[a:b]
+            for a, b in zip(heads, np.append(heads[1:], len(order))[: len(heads)], strict=True)
+        }
+        rows = table.column("_row").combine_chunks()
+        counts, kept = [], []
+        keys = zip(table.column("_id").to_pylist(), table.column("_variant").to_pylist(), strict=True)
+        for value, text_key in zip(rows.field(field), keys, strict=True):
+            text = whole = (value.as_py() or "").encode()
+            spans = 0
+            if (mine := of_text.get(text_key)) is not None:
+                start, end = superkmers.merged(lo[mine], hi[mine])
+                spans = len(start)
+                cuts = zip([0, *end.tolist()], [*start.tolist(), len(text)], strict=True)
+                text = b"".join(text[a:b] for a, b in cuts)
+            counts.append((len(whole), len(whole) - len(text), spans))
+            kept.append(text)
+        numbers = np.array(counts, np.int64).reshape(-1, 3)
+        return pa.table(
+            {"_row": rows, "n_bytes": numbers[:, 0], "n_removed": numbers[:, 1],
+             "n_spans": numbers[:, 2], "kept_bytes": pa.array(kept, pa.binary())}
+        )
 
     return run
 
@@ -222,9 +332,20 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     rows, row_type = superkmers.packed_rows(docs, text, new)
     keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     n_buckets = superkmers.bucket_count(keyed)
-    found = superkmers.gone_ranges(keyed, n_buckets, _cut(window, gram), _settle(window, gram))
-    out = superkmers.with_gone(keyed, found).mapInArrow(
+    slice_of = F.pmod(F.xxhash64("_id", "_variant"), F.lit(n_buckets)).cast("int")
+    # One exchange of the texts serves all three steps that read them.
+    dealt = keyed.select(slice_of.alias("slice"), "_id", "_variant", "_row")
+    names = dealt.groupBy("slice").applyInArrow(
+        _minimisers(text, window, gram, n_buckets), "bucket int, slice int, packed binary"
+    )
+    marks = names.groupBy("bucket").applyInArrow(_shared, "slice int, bucket int, bits binary")
+    packs = dealt.groupBy("slice").cogroup(marks.groupBy("slice")).applyInArrow(
+        _strings(text, window, gram, n_buckets), "bucket int, packed binary"
+    )
+    ranges = superkmers.settled(packs, _settle(window, gram))
+    ranges = ranges.select(slice_of.alias("slice"), "_id", "_variant", "lo", "hi")
+    out = dealt.groupBy("slice").cogroup(ranges.groupBy("slice")).applyInArrow(
         _kept_bytes(text),
         f"_row {row_type}, n_bytes long, n_removed long, n_spans long, kept_bytes binary",
     )
-    return out.select("_row.*", *[F.col(c) for c in new])
+    return out.select("_row.*", *new)

@@ -184,7 +184,7 @@ def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     doc, place = strings.doc[by_string], strings.place[by_string]
     none = np.zeros(0, np.int64)
     heads = np.flatnonzero(np.diff(bucket[order], prepend=-1))
-    for first, last in zip(heads, [*heads[1:], len(order)], strict=True):
+    for first, last in zip(heads, np.append(heads[1:], len(order))[: len(heads)], strict=True):
         chosen = order[first:last]
         lo, hi = np.searchsorted(of, [first, last])
         docs, own = np.unique(doc[lo:hi], return_inverse=True)
@@ -255,23 +255,28 @@ def gone_ranges(
                      "packed": pa.array([r[1] for r in rows], pa.binary())}
                 )
 
+    packed = keyed.select("_id", "_variant", "_text").mapInArrow(spread, "bucket int, packed binary")
+    return settled(packed, settle).groupBy("_id", "_variant").agg(
+        F.collect_list(F.struct("lo", "hi")).alias("_gone")
+    )
+
+
+def settled(
+    packed: DataFrame, settle: Callable[[Strings], tuple[np.ndarray, np.ndarray, np.ndarray]]
+) -> DataFrame:
+    """Ranges (``_id``, ``_variant``, ``lo``, ``hi``) that ``settle`` finds in every bucket."""
+
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        parts = [unpack(x) for batch in batches for x in batch.column("packed").to_pylist()]
-        strings = joined(parts)
-        del parts
+        strings = joined([unpack(x) for b in batches for x in b.column("packed").to_pylist()])
         doc, first, end = settle(strings)
         yield pa.RecordBatch.from_pydict(
             {"_id": pa.array(strings.text_id[doc]), "_variant": pa.array(strings.text_variant[doc]),
              "lo": pa.array(first, pa.int64()), "hi": pa.array(end, pa.int64())}
         )
 
-    packed = keyed.select("_id", "_variant", "_text").mapInArrow(spread, "bucket int, packed binary")
-    found = packed.groupBy("bucket").applyInArrow(
+    return packed.groupBy("bucket").applyInArrow(
         gather, "_id long, _variant long, lo long, hi long"
     )
-    return found.groupBy("_id", "_variant").agg(
-        F.collect_list(F.struct("lo", "hi")).alias("_gone")
-    )
 
 
 def with_gone(keyed: DataFrame, found: DataFrame) -> DataFrame:
@@ -279,10 +284,8 @@ def with_gone(keyed: DataFrame, found: DataFrame) -> DataFrame:
     return keyed.join(found, ["_id", "_variant"], "left").select("_row", "_gone")
 
 
-def merged(ranges: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+def merged(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Ranges as maximal runs; those that touch or overlap become one."""
-    lo = np.fromiter((r["lo"] for r in ranges), np.int64, len(ranges))
-    hi = np.fromiter((r["hi"] for r in ranges), np.int64, len(ranges))
     order = np.argsort(lo, kind="stable")
     lo, hi = lo[order], np.maximum.accumulate(hi[order])
     new = np.ones(len(lo), bool)

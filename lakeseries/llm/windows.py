@@ -113,12 +113,15 @@ def _kept_words(text_field: str):
         for batch in batches:
             kept, counts, removed = [], [], []
             texts = batch.column("_row").field(text_field)
-            for text, gone in zip(texts, batch.column("_gone"), strict=True):
+            gone = batch.column("_gone")
+            ends = gone.offsets.to_numpy()
+            lo_all, hi_all = (gone.values.field(x).to_numpy(False) for x in ("lo", "hi"))
+            for i, text in enumerate(texts):
                 words = (text.as_py() or "").encode().split()
                 counts.append(len(words))
-                ranges = gone.as_py()
-                if ranges:
-                    lo, hi = superkmers.merged(ranges)
+                if ends[i + 1] > ends[i]:
+                    mine = slice(ends[i], ends[i + 1])
+                    lo, hi = superkmers.merged(lo_all[mine], hi_all[mine])
                     stay = np.ones(len(words), bool)
                     stay[ragged(lo, hi - lo)] = False
                     words = [words[i] for i in np.flatnonzero(stay)]
