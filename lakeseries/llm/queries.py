@@ -9,6 +9,7 @@ from lakeseries.llm.fingerprints import with_next
 from lakeseries.llm.minhash import near_duplicates
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
+from lakeseries.llm.toxicity import THRESHOLD, train_and_score, training_row
 from lakeseries.llm.warc import read_archives, resolved, write_archives
 from lakeseries.llm.windows import repeated_windows
 
@@ -25,6 +26,18 @@ def _sha(column: str) -> Column:
     return F.sha2(F.col(column).cast("binary"), 256)
 
 
+def op1_toxicity_crf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _texts(spark, sf_dir)
+    scored = train_and_score(docs, docs, _table(spark, sf_dir, "labels"))
+    return scored.select(
+        "doc_id",
+        F.coalesce(~training_row(), F.lit(False)).alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "spans",
+    )
+
+
 def op2_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path("byte_bpe_50k.tiktoken")
     tokens = encode(_texts(spark, sf_dir), path, public_tokenizers.PATTERN).select("doc_id", "ids")
@@ -74,6 +87,7 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_toxicity_crf": op1_toxicity_crf,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_dart_minhash": op3_dart_minhash,
     "op6_sorted_suffixes": op6_sorted_suffixes,

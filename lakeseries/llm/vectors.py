@@ -86,26 +86,34 @@ def slices(
         first = last
 
 
-def word_bounds(buffer: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Start and end of every word, and the number of the first word of each text.
+def run_bounds(
+    inside: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Start and end of every run of true bytes, and the first run of each text.
 
-    Words are runs of bytes other than ``\\x20`` and ``\\x09`` to ``\\x0D``.
-    ``offsets`` start at 0. The last array has an entry more than texts.
+    Runs end where texts do. ``offsets`` start at 0. The last array has an entry
+    more than texts.
     """
-    word = ~((buffer == 32) | ((buffer >= 9) & (buffer <= 13)))
-    before = np.empty(len(word) + 1, bool)
+    before = np.empty(len(inside) + 1, bool)
     before[0] = False
-    before[1:] = word
+    before[1:] = inside
     before[offsets] = False
-    after = np.empty(len(word) + 1, bool)
-    after[:-1] = word
+    after = np.empty(len(inside) + 1, bool)
+    after[:-1] = inside
     after[-1] = False
     after[offsets] = False
-    starts = np.flatnonzero(word & ~before[:-1])
-    ends = np.flatnonzero(word & ~after[1:]) + 1
+    starts = np.flatnonzero(inside & ~before[:-1])
+    ends = np.flatnonzero(inside & ~after[1:]) + 1
     return starts, ends, np.searchsorted(starts, offsets)
 
 
+def word_bounds(
+    buffer: np.ndarray, offsets: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Bounds of words: runs of bytes other than ``\\x20`` and ``\\x09`` to ``\\x0D``."""
+    return run_bounds(~((buffer == 32) | ((buffer >= 9) & (buffer <= 13))), offsets)
+
+
 def sliding_minimum(values: np.ndarray, width: int) -> np.ndarray:
     """Minimum of every ``width`` neighbours."""
     size = 1
