@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm.vectors import gathered
 
-_CACHED = 250_000  # matches whose ids a worker remembers; it only saves time
+_CACHED = 300_000  # matches in a generation of those a worker remembers; it only saves time
 _CACHED_CHARS = 64
 _LONG = 1_000_000  # texts whose matches are taken one by one
 
@@ -84,16 +84,24 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Ids(dict):
-    """Ids of matches, worked out when first asked for."""
+    """Ids of matches, worked out when first asked for.
+
+    Two generations: when the young one is full it becomes the old one, so
+    matches in use stay known and memory stays bounded.
+    """
 
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self._ranks = ranks
+        self._old: dict[str, tuple[int, ...]] = {}
 
     def __missing__(self, piece: str) -> tuple[int, ...]:
-        ids = tuple(merge(piece.encode(), self._ranks))
+        ids = self._old.get(piece)
+        if ids is None:
+            ids = tuple(merge(piece.encode(), self._ranks))
         if len(piece) <= _CACHED_CHARS:
             if len(self) >= _CACHED:
+                self._old = dict(self)
                 self.clear()
             self[piece] = ids
         return ids
