@@ -5,7 +5,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.llm.bpe import decode, encode
+from lakeseries.llm.decontaminate import benchmark_overlaps
 from lakeseries.llm.fingerprints import with_next
+from lakeseries.llm.licenses import license_notices, templates
 from lakeseries.llm.minhash import near_duplicates
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
@@ -55,6 +57,16 @@ def op3_dart_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(_texts(spark, sf_dir))
 
 
+def op4_spaced_seeds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = benchmark_overlaps(_texts(spark, sf_dir), _table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("doc").alias("doc_id"), "item_id", "matched")
+
+
+def op5_license_notices(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = license_notices(_texts(spark, sf_dir), templates(spark))
+    return found.select(F.col("doc").alias("doc_id"), "license", "containment")
+
+
 def op6_sorted_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = without_repeats(_texts(spark, sf_dir), window=50)
     return found.select(
@@ -90,6 +102,8 @@ QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_byte_bpe": op2_byte_bpe,
     "op3_dart_minhash": op3_dart_minhash,
+    "op4_spaced_seeds": op4_spaced_seeds,
+    "op5_license_notices": op5_license_notices,
     "op6_sorted_suffixes": op6_sorted_suffixes,
     "op7_superkmer_windows": op7_superkmer_windows,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
