@@ -9,6 +9,7 @@ from lakeseries.llm.decontaminate import benchmark_overlaps
 from lakeseries.llm.fingerprints import with_next
 from lakeseries.llm.licenses import license_notices, templates
 from lakeseries.llm.minhash import near_duplicates
+from lakeseries.llm.quality import KEEP, fit, rate
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
 from lakeseries.llm.toxicity import THRESHOLD, train_and_score, training_row
@@ -91,6 +92,23 @@ def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Grades from the labels: 0 poor, 1 well written but toxic, 2 well written."""
+    docs = _texts(spark, sf_dir)
+    labels = _table(spark, sf_dir, "labels").where("quality is not null and toxic is not null")
+    grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
+    graded = labels.groupBy("doc_id").agg(F.min(grade).alias("grade"))
+    rated = docs.where(training_row()).join(graded, "doc_id")
+    tail = F.element_at("tails", 1)
+    return rate(docs, fit(rated)).select(
+        "doc_id",
+        F.coalesce(~training_row(), F.lit(False)).alias("held_out"),
+        "expected_grade",
+        tail.alias("tail"),
+        (tail >= KEEP).alias("keep"),
+    )
+
+
 def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "archives")
     write_archives(_table(spark, sf_dir, "pages"), path)
@@ -107,6 +125,7 @@ QUERIES = {
     "op6_sorted_suffixes": op6_sorted_suffixes,
     "op7_superkmer_windows": op7_superkmer_windows,
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
+    "op9_ordinal_quality": op9_ordinal_quality,
     "op10_warc_revisits": op10_warc_revisits,
 }
 
