@@ -9,9 +9,10 @@ coordinate empty throws on to twice the rank. Two texts agree in a coordinate
 with the probability of their weighted Jaccard similarity.
 
 Bands of coordinates are joined. In each bucket, members are compared with a
-hub, not with each other; members outside the hub's class become hubs in turn,
-so no candidate of another class is left out, and a bucket of near copies costs
-one comparison per member. Every link is checked on the shingles themselves.
+hub, not with each other; members that are of another class after that are
+compared inside the bucket's task, which returns links between classes only. No
+pair of candidates is left out, and none but links and hub pairs is written.
+Every link is checked on the shingles themselves.
 """
 
 import math
@@ -21,7 +22,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from lakeseries.llm.components import components
 from lakeseries.llm.stores import stored
@@ -31,6 +31,7 @@ SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
+BLOCK = 4_096
 
 _TEXTS = 512
 _LAYER = np.uint64(0xD6E8FEB86659FD93)
@@ -159,54 +160,76 @@ def _checked(pairs: DataFrame, elements: DataFrame, similarity: float) -> DataFr
     return pairs.join(a, "a").join(b, "b").where(common >= whole * similarity).select("a", "b")
 
 
+def _spanning(similarity: float):
+    """Links between members of different classes of a bucket, one per pair of classes."""
+
+    def run(key: tuple[pa.Scalar, ...], members: pa.Table) -> pa.Table:
+        node = members.column("node").to_numpy()
+        lists = members.column("elements").combine_chunks()
+        first = np.asarray(lists.offsets, np.int64)
+        item = lists.values.to_numpy()
+        size = np.diff(first)
+        _, root = np.unique(members.column("root").to_numpy(), return_inverse=True)
+        # Who has each element, by element.
+        known, number = np.unique(item, return_inverse=True)
+        owner = np.repeat(np.arange(len(node)), size)[np.argsort(number, kind="stable")]
+        begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(known)))])
+        parent = np.arange(root.max() + 1)
+        links = []
+        for u in np.flatnonzero(root != np.bincount(root).argmax()):
+            mine = number[first[u] : first[u + 1]]
+            common = np.bincount(
+                owner[ragged(begin[mine], begin[mine + 1] - begin[mine])], minlength=len(node)
+            )
+            near = np.flatnonzero(common >= similarity * (size[u] + size - common))
+            for v in near[parent[root[near]] != parent[root[u]]]:
+                here, there = parent[root[u]], parent[root[v]]
+                if here != there:
+                    parent[parent == there] = here
+                    links.append((node[u], node[v]))
+        pairs = np.array(links, np.int64).reshape(-1, 2)
+        return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
+
+    return run
+
+
 def _links(buckets: DataFrame, elements: DataFrame, similarity: float) -> DataFrame:
-    """Links between texts of different classes, from hubs of each bucket.
+    """Links that connect all candidates of a bucket that are similar enough.
 
-    In every round, the hubs of a bucket are members that lie outside the class
-    of its first member and were no hub yet; they meet all members of other
-    classes. The number of hubs doubles, so rounds are few.
+    Every bucket first gets a hub, which meets all other members. That settles
+    buckets of two, and joins most of a group of near copies. Buckets of more
+    members that are not of one class then go to a task as a whole, each member
+    once with its shingles; a bucket of over ``BLOCK`` members goes in pairs of
+    blocks. Only links between classes come out.
     """
-    first = buckets.groupBy("bucket").agg(F.min(_order("node")).alias("hub"))
-    pairs = buckets.join(first.select("bucket", F.col("hub.node").alias("hub")), "bucket")
-    pairs = pairs.where("hub <> node").select(
+    stats = buckets.groupBy("bucket").agg(
+        F.min(_order("node")).alias("hub"), F.count("*").alias("n")
+    )
+    stats = stored(stats.select("bucket", F.col("hub.node").alias("hub"), "n"), "stats")
+    pairs = buckets.join(stats, "bucket").where("hub <> node").select(
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
     )
-    tested = stored(pairs.distinct(), "pairs")
-    links = stored(_checked(tested, elements, similarity), "links")
-    classes = components(links)
-    hubs = None
-    n_hubs = 1
-    while True:
-        members = buckets.join(classes, "node", "left").select(
-            "bucket", "node", F.coalesce("root", "node").alias("root")
-        )
-        main = members.groupBy("bucket").agg(
-            F.min(F.struct(_order("node").alias("o"), "root")).alias("main"),
-            F.count_if(F.lit(True)).alias("n"),
-            F.min("root").alias("low"), F.max("root").alias("high"),
-        )
-        main = main.where("low < high").select("bucket", F.col("main.root").alias("main"))
-        members = stored(members.join(main, "bucket"), "members")
-        outside = members.where("root <> main")
-        if hubs is not None:
-            outside = outside.join(hubs, ["bucket", "node"], "left_anti")
-        rank = F.row_number().over(Window.partitionBy("bucket").orderBy(_order("node")))
-        chosen = stored(outside.withColumn("rank", rank).where(F.col("rank") <= n_hubs), "hubs")
-        if chosen.isEmpty():
-            return links
-        hub = chosen.select("bucket", F.col("node").alias("hub"), F.col("root").alias("hub_root"))
-        pairs = members.join(hub, "bucket").where("root <> hub_root").select(
-            F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
-        )
-        fresh = stored(pairs.distinct().join(tested, ["a", "b"], "left_anti"), "pairs")
-        more = stored(_checked(fresh, elements, similarity), "links")
-        tested = tested.union(fresh)
-        spent = chosen.select("bucket", "node")
-        hubs = spent if hubs is None else hubs.union(spent)
-        if not more.isEmpty():
-            links = links.union(more)
-            classes = components(links)
-        n_hubs *= 2
+    links = stored(_checked(pairs.distinct(), elements, similarity), "links")
+    members = buckets.join(stats.where("n > 2").select("bucket", "n"), "bucket")
+    members = members.join(components(links), "node", "left").select(
+        "bucket", "node", "n", F.coalesce("root", "node").alias("root")
+    )
+    members = stored(members, "members")
+    open_ = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
+    open_ = open_.where("low < high").select("bucket")
+    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    placed = members.join(open_, "bucket").select(
+        "bucket", "node", "root", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"),
+        F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
+    )
+    placed = placed.select(
+        "bucket", "node", "root",
+        F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
+    )
+    more = placed.join(elements, "node").groupBy("bucket", "i", "j").applyInArrow(
+        _spanning(similarity), "a long, b long"
+    )
+    return links.unionByName(more)
 
 
 def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
