@@ -15,8 +15,8 @@ import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
+from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.vectors import gathered
 
 _CACHED = 300_000  # matches in a generation of those a worker remembers; it only saves time
@@ -128,8 +128,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     """
     spark: SparkSession = docs.sparkSession
     ranks = spark.sparkContext.broadcast(read_ranks(path))  # one entry per vocabulary item
-    own = [c for c in docs.columns if c.lower() != "ids"]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    rows = as_rows(docs, [text], ["ids"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, ids_of = _encoder(path, pattern, ranks)
@@ -149,8 +148,7 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
             )
             yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], ["_row", "ids"])
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_row {row_type}, ids array<int>").select("_row.*", "ids")
+    return rows.mapInArrow(run, with_fields(rows, "ids array<int>")).select("_row.*", "ids")
 
 
 def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
@@ -164,8 +162,7 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
     for token, rank in ranks.items():
         table[rank] = token
     vocabulary = spark.sparkContext.broadcast(table)
-    own = [c for c in tokens.columns if c.lower() != "decoded"]
-    rows = tokens.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    rows = as_rows(tokens, [ids], ["decoded"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         items = vocabulary.value
@@ -182,5 +179,4 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                 [batch.column("_row"), pa.array(decoded, pa.binary())], ["_row", "decoded"]
             )
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"_row {row_type}, decoded binary").select("_row.*", "decoded")
+    return rows.mapInArrow(run, with_fields(rows, "decoded binary")).select("_row.*", "decoded")

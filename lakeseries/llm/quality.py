@@ -16,6 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, slices, word_bounds
 
 SIZE = 1 << 16
@@ -149,8 +150,7 @@ def rate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [c for c in docs.columns if c.lower() not in ("expected_grade", "tails")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    rows = as_rows(docs, [text], ["expected_grade", "tails"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
@@ -168,6 +168,5 @@ def rate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     ["_row", "expected_grade", "tails"],
                 )
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    kinds = f"_row {row_type}, expected_grade double, tails array<double>"
+    kinds = with_fields(rows, "expected_grade double, tails array<double>")
     return rows.mapInArrow(run, kinds).select("_row.*", "expected_grade", "tails")

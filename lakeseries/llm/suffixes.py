@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm import superkmers
+from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.superkmers import Strings
 from lakeseries.llm.vectors import (
     PrefixHash,
@@ -329,7 +330,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     each other. Columns named like the new ones are replaced.
     """
     new = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
-    rows, row_type = superkmers.packed_rows(docs, text, new)
+    rows = as_rows(docs, [id_column, text], new)
     keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     n_buckets = superkmers.bucket_count(keyed)
     slice_of = F.pmod(F.xxhash64("_id", "_variant"), F.lit(n_buckets)).cast("int")
@@ -346,6 +347,6 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     ranges = ranges.select(slice_of.alias("slice"), "_id", "_variant", "lo", "hi")
     out = dealt.groupBy("slice").cogroup(ranges.groupBy("slice")).applyInArrow(
         _kept_bytes(text),
-        f"_row {row_type}, n_bytes long, n_removed long, n_spans long, kept_bytes binary",
+        with_fields(rows, "n_bytes long, n_removed long, n_spans long, kept_bytes binary"),
     )
     return out.select("_row.*", *new)

@@ -209,15 +209,6 @@ def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
         yield int(at), pack(decided)
 
 
-def packed_rows(docs: DataFrame, text: str, new: list[str]) -> tuple[DataFrame, str]:
-    """The rows as one struct ``_row``, without columns named like the new ones; its type."""
-    own = [c for c in docs.columns if c.lower() not in new]
-    if text not in own:
-        raise ValueError(f"the result has a column of the name {text}: rename the text")
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
-    return rows, rows.schema["_row"].dataType.simpleString()
-
-
 def with_key(rows: DataFrame, id_column: str, text: str) -> DataFrame:
     """Add ``_text``, and ``_id`` (null: the greatest) and ``_variant``, which tell rows apart."""
     return rows.select(

@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, run_bounds, slices
 
 SIZE = 1 << 18
@@ -301,8 +302,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     evidence. Columns named like the new ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    own = [c for c in docs.columns if c.lower() not in ("score", "spans")]
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in own]).alias("_row"))
+    rows = as_rows(docs, [text], ["score", "spans"])
     span = pa.list_(pa.struct([("begin", pa.int64()), ("end", pa.int64())]))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,8 +315,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                     [part, pa.array(scores), pa.array(spans, span)], ["_row", "score", "spans"]
                 )
 
-    row_type = rows.schema["_row"].dataType.simpleString()
-    kinds = f"_row {row_type}, score double, spans array<struct<begin: long, end: long>>"
+    kinds = with_fields(rows, "score double, spans array<struct<begin: long, end: long>>")
     return rows.mapInArrow(run, kinds).select("_row.*", "score", "spans")
 
 

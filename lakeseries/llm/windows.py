@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm import superkmers
+from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.superkmers import Strings
 from lakeseries.llm.vectors import (
     PrefixHash,
@@ -149,12 +150,12 @@ def repeated_windows(docs: DataFrame, text: str = "text", id_column: str = "doc_
     Repeated rows are separate texts and so repeat each other. Null ids are
     allowed. Columns named like the new ones are replaced.
     """
-    rows, row_type = superkmers.packed_rows(docs, text, ["n_words", "n_removed", "kept_text"])
+    rows = as_rows(docs, [id_column, text], ["n_words", "n_removed", "kept_text"])
     keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     n_buckets = superkmers.bucket_count(keyed)
     found = superkmers.gone_ranges(keyed, n_buckets, _cut(window, gram), _settle(window))
     out = superkmers.with_gone(keyed, found).mapInArrow(
-        _kept_words(text), f"_row {row_type}, n_words long, n_removed long, _kept binary"
+        _kept_words(text), with_fields(rows, "n_words long, n_removed long, _kept binary")
     )
     return out.select(
         "_row.*", "n_words", "n_removed", F.col("_kept").cast("string").alias("kept_text")
