@@ -8,9 +8,9 @@ toxic if it is in a toxic document and has a telling feature.
 The field has two states. Its emissions are hashed weights of a token's form,
 beginnings, ending and neighbour, so new forms of a known stem are found; its
 transitions tie neighbours. Forward-backward gives each token's marginal. A
-document's score is a logistic function of its greatest marginal, their sum and
-their density, fitted on documents that the field did not see. Runs of tokens
-with a marginal of a half or more are the offending offsets.
+document's score is a logistic function of its greatest marginal, of the sum of
+clear marginals and of their density, fitted on documents that the field did not
+see. Runs of tokens with a marginal of a half or more are the offending offsets.
 """
 
 from collections.abc import Iterator
@@ -32,6 +32,7 @@ EVIDENCE = 20.0
 PRECISION = 0.8
 ROUNDS = 60
 THRESHOLD = 0.7
+CLEAR = 0.3  # marginals that count in sums
 CHAIN_BYTES = 6_000_000  # texts whose chains run side by side
 
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -49,7 +50,7 @@ class Model:
     bias: float
     start: float
     transition: np.ndarray  # log weights, from state, to state
-    document: np.ndarray  # intercept, greatest marginal, log of their sum, density
+    document: np.ndarray  # intercept, greatest marginal, log of the sum, density
 
 
 def training_row(id_column: str = "doc_id") -> Column:
@@ -191,7 +192,7 @@ def _fit_field(features: np.ndarray, first: np.ndarray, gold: np.ndarray) -> Mod
             np.bincount(features.ravel(), np.repeat(error, features.shape[1]), SIZE),
             [error.sum(), error[first[:-1][np.diff(first) > 0]].sum()],
             (pairs.sum(axis=2) - seen).ravel(),
-        ]) + 0.1 * theta
+        ]) + 0.02 * theta
         m = 0.9 * m + 0.1 * grad
         v = 0.99 * v + 0.01 * grad * grad
         theta = theta - 0.2 * (m / (1 - 0.9**step)) / (np.sqrt(v / (1 - 0.99**step)) + 1e-8)
@@ -204,7 +205,9 @@ def _document_features(first: np.ndarray, marginal: np.ndarray) -> np.ndarray:
     out[:, 0] = 1
     has = sizes > 0
     if has.any():
-        total = np.add.reduceat(marginal, first[:-1][has])
+        # Small marginals of many clean tokens must not add up in long texts.
+        clear = np.where(marginal >= CLEAR, marginal, 0)
+        total = np.add.reduceat(clear, first[:-1][has])
         out[has, 1] = np.maximum.reduceat(marginal, first[:-1][has])
         out[has, 2] = np.log1p(total)
         out[has, 3] = np.sqrt(total / sizes[has])

@@ -1,0 +1,85 @@
+import hashlib
+import random
+
+import numpy as np
+
+from lakeseries.llm.fingerprints import fingerprint_texts, phrases, with_next
+
+
+def expected(rows):
+    """The edited text by row, for ids that do not repeat."""
+    ordered = sorted(rows, key=lambda r: -(10**30) if r[0] is None else r[0], reverse=True)
+    out = {}
+    for i, (name, text) in enumerate(ordered):
+        text, after = text or "", ordered[(i + 1) % len(ordered)][1] or ""
+        n = len(text) // 3
+        out[name] = (len(text), text[: len(text) - n] + after[:n])
+    return out
+
+
+def check(docs, rows):
+    found = with_next(docs).collect()
+    assert len(found) == len(rows)
+    assert {r.doc_id: (r.n_chars, r.edited) for r in found} == expected(rows)
+    return {r.doc_id: r for r in found}
+
+
+def test_edited_and_likeness(make_docs):
+    rng = random.Random(7)
+    syllables = ["ba", "né", "ti", "ou", "ström", "x", " ", " the ", "ing"]
+    rows = [(i * i - 50, "".join(rng.choice(syllables) for _ in range(rng.randint(0, 600)))) for i in range(120)]
+    found = check(make_docs(rows), rows)
+    long = [r for r in found.values() if r.n_chars > 300]
+    assert min(r.near_edited for r in long) > 0.2
+    assert max(r.near_next for r in long) < 0.2
+    names = {r.doc_id: r.fingerprint for r in fingerprint_texts(make_docs(rows)).collect()}
+    assert names == {i: r.fingerprint for i, r in found.items()}
+    edited = {r.doc_id: r.edited_fingerprint for r in found.values()}
+    again = fingerprint_texts(make_docs([(i, r.edited) for i, r in found.items()])).collect()
+    assert {r.doc_id: r.fingerprint for r in again} == edited
+
+
+def test_odd_texts(make_docs, odd_texts):
+    rows = list(enumerate(odd_texts)) + [(None, "no id")]
+    found = check(make_docs(rows, "k int, part int, guest string"), rows)
+    assert found[0].fingerprint == found[1].fingerprint == found[8].fingerprint
+    assert found[5].fingerprint == found[6].fingerprint
+    assert found[6].near_next == 1.0
+    assert found[2].near_next == 0.0 or found[2].fingerprint == found[1].fingerprint
+
+
+def test_one_document_is_its_own_next(make_docs):
+    found = check(make_docs([(5, "abcdef")]), [(5, "abcdef")])
+    assert found[5].edited == "abcdab"
+    assert with_next(make_docs([])).count() == 0
+
+
+def test_repeated_rows_all_come_out(make_docs):
+    rows = [(1, "same text here"), (1, "same text here"), (1, "another"), (0, "z" * 9)]
+    found = with_next(make_docs(rows)).collect()
+    assert sorted(r.n_chars for r in found) == [7, 9, 14, 14]
+
+
+def test_equal_substrings_share_interior_phrases():
+    rng = random.Random(8)
+    common = bytes(rng.choice(b"abcdefgh ") for _ in range(2_000))
+    names = []
+    for head in (b"", b"x", b"some other words ", b"aaaaaaaaa"):
+        data = np.frombuffer(head + common + b"tail" + head, np.uint8)
+        symbols, bounds = data, np.array([0, len(data)])
+        for _ in range(3):
+            symbols, bounds = phrases(symbols, bounds)
+        names.append(set(symbols.tolist()))
+    for other in names[1:]:
+        assert len(names[0] - other) <= 4 < len(names[0])
+
+
+def test_query_digest(spark):
+    from lakeseries.llm.queries import op8_phrase_fingerprints
+
+    folder = "/root/testdata/sf0.001"
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    want = expected(rows)
+    for r in op8_phrase_fingerprints(spark, folder).collect():
+        n_chars, edited = want[r.doc_id]
+        assert (r.n_chars, r.edited_sha256) == (n_chars, hashlib.sha256(edited.encode()).hexdigest())

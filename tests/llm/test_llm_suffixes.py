@@ -1,0 +1,84 @@
+import random
+
+import numpy as np
+
+from lakeseries.llm.suffixes import common_extension, sort_suffixes, without_repeats
+from lakeseries.llm.vectors import PrefixHash
+
+
+def brute_force(rows, window):
+    low = {}
+    data = [(10**30 if i is None else i, (t or "").encode()) for i, t in rows]
+    for i, w in data:
+        for j in range(len(w) - window + 1):
+            k = w[j : j + window]
+            low[k] = min(low.get(k, i), i)
+    out = []
+    for i, w in data:
+        stay = bytearray(b"\1" * len(w))
+        for j in range(len(w) - window + 1):
+            if low[w[j : j + window]] < i:
+                stay[j : j + window] = bytes(window)
+        kept = bytes(x for x, s in zip(w, stay, strict=True) if s)
+        spans = len([x for x in bytes(stay).split(b"\1") if x])
+        out.append((len(w), len(w) - len(kept), spans, kept))
+    return out
+
+
+def check(docs, rows, window, gram):
+    found = without_repeats(docs, window=window, gram=gram).collect()
+    found = [(r.doc_id, r.n_bytes, r.n_removed, r.n_spans, bytes(r.kept_bytes)) for r in found]
+    expected = [(r[0], *x) for r, x in zip(rows, brute_force(rows, window), strict=True)]
+    assert sorted(found, key=repr) == sorted(expected, key=repr)
+
+
+def test_random_texts(make_docs):
+    rng = random.Random(2)
+    parts = ["".join(rng.choice("abé") for _ in range(20)) for _ in range(5)]
+    rows = [
+        (i, "".join(rng.choice([*parts, *"abcdefgh"]) for _ in range(rng.randint(0, 25))))
+        for i in range(80)
+    ]
+    rng.shuffle(rows)
+    check(make_docs(rows), rows, 12, 4)
+
+
+def test_runs_of_one_byte(make_docs):
+    rows = [(3, "a" * 30), (2, "a" * 12), (1, "b" + "a" * 11), (4, "ab" * 20), (5, "b" * 40 + "a" * 13)]
+    check(make_docs(rows), rows, 12, 4)
+
+
+def test_odd_texts(make_docs, odd_texts):
+    rows = list(enumerate(odd_texts))
+    check(make_docs(rows), rows, 50, 20)
+
+
+def test_ids_repeat_or_are_null(make_docs):
+    text = "0123456789" * 3
+    rows = [(2, text), (2, text), (2, text + "x"), (None, "y" + text), (None, text), (1, text[:15])]
+    check(make_docs(rows), rows, 12, 4)
+
+
+def test_empty_table_and_clashing_columns(make_docs):
+    assert without_repeats(make_docs([], "n_spans int, slice int")).count() == 0
+    row = without_repeats(make_docs(["abc"], "kept_bytes string, slice int, lo int")).collect()[0]
+    assert (bytes(row.kept_bytes), row["slice"], row["lo"]) == (b"abc", None, None)
+
+
+def test_suffixes_are_sorted_in_groups():
+    rng = random.Random(5)
+    data = bytes(rng.choice(b"ab") for _ in range(3_000))
+    text = np.frombuffer(data, np.uint8)
+    at = np.array(rng.sample(range(2_900), 700))
+    bounds = np.array([0, 1, 1, 4, 300, 700])
+    order = sort_suffixes(text, PrefixHash(text), at, bounds, 30)
+    for a, b in zip(bounds, bounds[1:], strict=False):
+        group = [data[i : i + 30] for i in at[order[a:b]]]
+        assert group == sorted(data[i : i + 30] for i in at[a:b])
+        assert sorted(order[a:b]) == list(range(a, b))
+
+
+def test_common_extension():
+    text = np.frombuffer(b"abcabcabdxabcabcabd", np.uint8)
+    left, right = np.array([0, 0, 3]), np.array([3, 10, 13])
+    assert common_extension(PrefixHash(text), left, right, 6).tolist() == [5, 6, 6]
