@@ -12,7 +12,7 @@ from lakeseries.llm.minhash import near_duplicates
 from lakeseries.llm.quality import KEEP, fit, rate
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
-from lakeseries.llm.toxicity import THRESHOLD, train_and_score, training_row
+from lakeseries.llm.toxicity import THRESHOLD, train_and_score, training_row, with_labels
 from lakeseries.llm.warc import read_archives, resolved, write_archives
 from lakeseries.llm.windows import repeated_windows
 
@@ -98,7 +98,7 @@ def op9_ordinal_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     labels = _table(spark, sf_dir, "labels").where("quality is not null and toxic is not null")
     grade = F.when(F.col("quality") == 0, 0).when(F.col("toxic") == 1, 1).otherwise(2)
     graded = labels.groupBy("doc_id").agg(F.min(grade).alias("grade"))
-    rated = docs.where(training_row()).join(graded, "doc_id")
+    rated = with_labels(docs.where(training_row()), graded)
     tail = F.element_at("tails", 1)
     return rate(docs, fit(rated)).select(
         "doc_id",

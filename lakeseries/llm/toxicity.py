@@ -22,6 +22,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
+from lakeseries.llm.stores import stored
 from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, run_bounds, slices
 
 SIZE = 1 << 18
@@ -335,10 +336,18 @@ def _spans(text: str, hits: np.ndarray) -> list[dict]:
     return [{"begin": a, "end": b} for a, b in zip(begin.tolist(), end.tolist(), strict=True)]
 
 
+def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """The rows of ``docs`` that have labels, written once since fitting reads them often.
+
+    Labels grow with the documents, so both sides are always shuffled.
+    """
+    return stored(docs.hint("merge").join(labels, "doc_id"), "labelled")
+
+
 def train_and_score(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
     """Score ``docs`` by a model of the training rows of ``labelled`` (``doc_id``, ``text``)."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")
     )
-    train = labelled.select("doc_id", "text").where(training_row()).join(known, "doc_id")
+    train = with_labels(labelled.select("doc_id", "text").where(training_row()), known)
     return score(docs, fit(train))

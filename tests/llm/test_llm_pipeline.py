@@ -1,0 +1,75 @@
+import random
+
+import corpus_pipeline
+import pytest
+
+from lakeseries.llm.decontaminate import WINDOW
+
+HEAD, TAIL = (" ".join(f"{x}{i}" for i in range(30)) for x in ("head", "tail"))
+
+
+def test_stages_in_order():
+    assert [name for name, _ in corpus_pipeline.STAGES] == [
+        "toxicity", "near_dedup", "substring_dedup", "decontaminate", "tokenize",
+    ]
+
+
+@pytest.fixture
+def folder(spark, tmp_path, make_docs):
+    leak = [f"item{i}" for i in range(20)]
+    passage = " ".join(f"p{i}" for i in range(60))
+    rng = random.Random(9)
+    rows = []
+    for i in range(90):
+        words = [f"w{rng.randrange(1000)}" for _ in range(60)]
+        if i % 5 == 0:
+            words[10:12] = ["nastyword", f"nasty{i}"]
+        rows.append((i, " ".join(words)))
+    rows += [(200, rows[1][1]), (201, rows[2][1] + " end"), (202, rows[1][1]), (None, rows[3][1])]
+    rows += [(300, f"{HEAD}\tstart {passage} own end"), (301, f"more\n{TAIL} {passage}")]
+    rows += [(400, "some words " + " ".join(leak)), (401, None), (402, "")]
+    make_docs(rows).write.parquet(f"{tmp_path}/documents.parquet")
+    labels = [(i, 1, int(i % 5 == 0)) for i in range(90)]
+    spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.parquet(
+        f"{tmp_path}/labels.parquet"
+    )
+    spark.createDataFrame([(7, " ".join(leak))], "item_id long, text string").write.parquet(
+        f"{tmp_path}/benchmark.parquet"
+    )
+    assert len(leak) >= WINDOW
+    return str(tmp_path)
+
+
+def test_decisions_take_effect(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet")
+    at = {}
+    for name, stage in corpus_pipeline.STAGES:
+        before = docs
+        docs = stage(spark, docs, folder)
+        if name != "tokenize":
+            assert docs.columns == before.columns == list(corpus_pipeline.COLUMNS)
+            docs = spark.createDataFrame(docs.collect(), docs.schema)
+            at[name] = {r.doc_id: r for r in docs.collect()}
+    clean = {i for i in range(90) if i % 5} | {200, 201, 202, None, 300, 301, 400, 401, 402}
+    assert set(at["toxicity"]) == clean
+    near = clean - {200, 201, 202}
+    assert set(at["near_dedup"]) == near
+    assert at["near_dedup"][3].text == at["near_dedup"][None].text
+    assert set(at["substring_dedup"]) == near
+    text = {i: r.text for i, r in at["substring_dedup"].items()}
+    assert text[300] == f"{HEAD} start own end" and text[301] == f"more {TAIL}"
+    assert at["substring_dedup"][300].n_chars == len(text[300])
+    assert text[4] == at["near_dedup"][4].text and text[401] is None
+    assert text[3] == text[None] == ""
+    assert set(at["decontaminate"]) == near - {400}
+    rows = {r.doc_id: r for r in docs.collect()}
+    assert set(rows) == near - {400}
+    assert all(r.round_trip for r in rows.values())
+    assert rows[401].n_tokens == rows[402].n_tokens == 0
+
+
+def test_empty_documents(spark, folder, tmp_path):
+    other = tmp_path / "empty"
+    for name in ("documents", "labels", "benchmark"):
+        spark.read.parquet(f"{folder}/{name}.parquet").limit(0).write.parquet(f"{other}/{name}.parquet")
+    assert corpus_pipeline.run(spark, str(other)).count() == 0
