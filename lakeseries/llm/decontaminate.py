@@ -13,12 +13,11 @@ substitutions, wherever they are, holds a whole seed: no such passage is missed.
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeseries.llm.shingled import hashes, keyed, words
+from lakeseries.llm.shingled import hashes, keyed, meet, words
 
 WINDOW = 13
 SUBSTITUTIONS = 3
 MASKS = ("110111", "111011", "1101000011")
-SEEDS_AT_ONCE = 250_000
 
 
 def _places(masks: tuple[str, ...]) -> int:
@@ -70,9 +69,8 @@ def benchmark_overlaps(
     and empty texts have no words. Repeated rows of documents or of the benchmark
     give one finding. Null ids are kept.
 
-    The seeds of the benchmark are broadcast in blocks of ``SEEDS_AT_ONCE`` rows
-    of a few numbers; each block is one pass over the documents, and a small
-    benchmark is one block.
+    The seeds of the benchmark are broadcast in blocks of bounded size, each of
+    which is one pass over the documents.
     """
     items = benchmark.select(F.col("item_id"), words(F.col("text")).alias("item_words"))
     items = items.where(F.size("item_words") >= window).distinct()
@@ -82,14 +80,9 @@ def benchmark_overlaps(
     rows = keyed(docs, text, id_column)
     hashed = rows.withColumn("hashed", hashes(words("text"))).select("doc", "variant", "hashed")
     doc_seeds = _seeds(hashed, masks, ["doc", "variant"])
-    blocks = max(1, -(-item_seeds.count() // SEEDS_AT_ONCE))
-    hits = None
-    for block in range(blocks):
-        part = item_seeds.where(F.pmod(F.xxhash64("seed"), F.lit(blocks)) == block)
-        met = doc_seeds.join(F.broadcast(part), "seed").select(
-            "doc", "variant", "item_id", (F.col("at") - F.col("item_at")).alias("shift")
-        )
-        hits = met if hits is None else hits.unionByName(met)
+    hits = meet(doc_seeds, item_seeds, "seed").select(
+        "doc", "variant", "item_id", (F.col("at") - F.col("item_at")).alias("shift")
+    )
     # Ways to lie, per document; then the words of both sides come together.
     lies = hits.distinct().groupBy("doc", "variant").agg(
         F.collect_set(F.struct("item_id", "shift")).alias("lies")

@@ -12,7 +12,7 @@ that meet a document are verified by exact containment of their shingles.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from lakeseries.llm.shingled import hashes, keyed, words
+from lakeseries.llm.shingled import hashes, keyed, meet, words
 
 SHINGLE = 5
 WINDOW = 8
@@ -102,8 +102,8 @@ def license_notices(
 
     Words are lower-cased runs of letters and digits. Null texts and texts or
     templates of fewer than five words have no shingles and no findings.
-    Repeated rows give one finding. Null ids are kept. ``notices`` is a table of
-    templates, small by nature; the planner decides whether to broadcast it.
+    Repeated rows give one finding. Null ids are kept. The bands of ``notices``
+    are broadcast in blocks of bounded size, each one pass over the documents.
     """
     known = notices.select(
         "template", "license", hashes(words(F.col("text"))).alias("hashed")
@@ -112,7 +112,7 @@ def license_notices(
     template_bands = _bands(known, ["template"], 1).distinct()
     rows = keyed(docs, text, id_column)
     hashed = rows.select("doc", "variant", hashes(words("text")).alias("hashed"))
-    met = _bands(hashed, ["doc", "variant"], WINDOW // 2).join(template_bands, "band")
+    met = meet(_bands(hashed, ["doc", "variant"], WINDOW // 2), template_bands, "band")
     met = met.select("doc", "variant", "template").distinct()
     met = met.groupBy("doc", "variant").agg(F.collect_set("template").alias("templates"))
     texts = rows.dropDuplicates(["doc", "variant"]).withColumnRenamed("doc", "_doc")

@@ -24,3 +24,21 @@ def keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
     )
 
 
+
+
+ROWS_AT_ONCE = 250_000
+
+
+def meet(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
+    """Inner join on a column of numbers, ``few`` broadcast in blocks of bounded size.
+
+    ``few`` is a stated query set of a few numbers per row. Each block of about
+    ``ROWS_AT_ONCE`` rows is one pass over ``many``; a small set is one block.
+    """
+    blocks = max(1, -(-few.count() // ROWS_AT_ONCE))
+    met = None
+    for block in range(blocks):
+        part = few.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block)
+        part = many.join(F.broadcast(part), key)
+        met = part if met is None else met.unionByName(part)
+    return met

@@ -2,7 +2,7 @@ import itertools
 
 import pytest
 
-from lakeseries.llm import decontaminate
+from lakeseries.llm import shingled
 from lakeseries.llm.decontaminate import benchmark_overlaps, without_overlaps
 
 ITEM = [f"item{i}" for i in range(16)]
@@ -32,7 +32,7 @@ def test_blocks_of_seeds_change_nothing(make_docs, benchmark, monkeypatch):
     docs = make_docs(["a " + " ".join(ITEM), "nothing", " ".join(ITEM[3:]) + " b"])
     whole = sorted(map(tuple, benchmark_overlaps(docs, benchmark).collect()))
     assert [(r[0], r[2], r[3]) for r in whole] == [(0, 1, 13), (2, 1, 13)]
-    monkeypatch.setattr(decontaminate, "SEEDS_AT_ONCE", 9)
+    monkeypatch.setattr(shingled, "ROWS_AT_ONCE", 9)
     assert sorted(map(tuple, benchmark_overlaps(docs, benchmark).collect())) == whole
 
 
