@@ -87,7 +87,8 @@ def benchmark_overlaps(
     lies = hits.distinct().groupBy("doc", "variant").agg(
         F.collect_set(F.struct("item_id", "shift")).alias("lies")
     )
-    texts = rows.dropDuplicates(["doc", "variant"]).withColumnRenamed("doc", "_doc")
+    # Repeated rows come together again in the last aggregate.
+    texts = rows.withColumnRenamed("doc", "_doc")
     met = lies.join(texts, "variant").where(F.col("doc").eqNullSafe(F.col("_doc")))
     met = met.select("doc", "variant", words("text").alias("doc_words"), "lies")
     shift = F.col("shift")

@@ -115,7 +115,8 @@ def license_notices(
     met = meet(_bands(hashed, ["doc", "variant"], WINDOW // 2), template_bands, "band")
     met = met.select("doc", "variant", "template").distinct()
     met = met.groupBy("doc", "variant").agg(F.collect_set("template").alias("templates"))
-    texts = rows.dropDuplicates(["doc", "variant"]).withColumnRenamed("doc", "_doc")
+    # Repeated rows come together again in the last aggregate.
+    texts = rows.withColumnRenamed("doc", "_doc")
     found = met.join(texts, "variant").where(F.col("doc").eqNullSafe(F.col("_doc")))
     found = found.select("doc", "variant", "templates", hashes(words("text")).alias("hashed"))
     found = found.withColumn("have", _shingles("hashed")).select(
