@@ -1,7 +1,12 @@
 """Spark-native medallion analytics for periodic indicator series."""
 
 from lakeseries.operators.gold import comparison, monthly, with_percent_change
-from lakeseries.operators.pages import assemble_documents, failed_series, validate_pages
+from lakeseries.operators.pages import (
+    assemble_documents,
+    failed_series,
+    series_totals,
+    validate_pages,
+)
 from lakeseries.operators.quality import DataQualityError, quality_report, require_quality
 from lakeseries.operators.serve import (
     comparison_long,
@@ -75,6 +80,7 @@ __all__ = [
     "run_ingestion",
     "series_options",
     "series_points",
+    "series_totals",
     "validate_pages",
     "with_percent_change",
     "write_bronze",

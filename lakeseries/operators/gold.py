@@ -73,10 +73,17 @@ def comparison(
 ) -> DataFrame:
     """One row per month and one column per series, in alphabetical order.
 
-    With ``names`` (from the catalog) no job is needed to discover the columns.
+    With ``names`` (from the catalog) no job is needed to discover the columns; a
+    row of another name fails the query, and a null name has no column.
     If two codes share a name in one month, the smaller code gives the cell.
     """
     columns = sorted(names) if names is not None else None
+    if columns is not None:
+        fault = F.raise_error(
+            F.concat(F.lit("series without a column in the comparison: "), F.col(name))
+        ).cast("boolean")
+        known = F.col(name).isNull() | F.col(name).isin(columns)
+        months = months.filter(F.when(known, True).otherwise(fault))
     cell = F.min(F.struct(code, value))[value]
     wide = months.groupBy("ano", "mes").pivot(name, columns).agg(cell)
     return wide.orderBy("ano", "mes") if ordered else wide

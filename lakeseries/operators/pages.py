@@ -1,24 +1,26 @@
 """Landed response pages -> raw documents, with failures isolated per series.
 
-A page is one response body for one window of one series. Bodies are parsed and
-checked where they are; only the surviving records are shuffled, once.
+A page is one response body for one window of one series, and becomes one raw
+document of its own at every size. The order of a series' records is that of
+(window start, page number, place in the page). A series with a failing page
+gives no document: the keys of such series are few and small, and are taken off
+by an anti join, so record payloads move no more than that join needs.
 """
 
 import datetime as dt
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lakeseries.operators.joins import salted_join
 from lakeseries.schemas import RECORD_SCHEMA
 
 HTTP_STATUS = "http_status"
 INVALID_JSON = "invalid_json"
 NOT_A_LIST = "not_a_list"
 MISSING_PAGE = "missing_page"
-
-# Series with more records than this are stored as one document per page.
-MAX_RECORDS_PER_DOCUMENT = 50_000
+UNPLANNED_PAGE = "unplanned_page"
 
 _STRICT = {"allowSingleQuotes": "false"}
 _RECORD = RECORD_SCHEMA.simpleString()
@@ -79,21 +81,6 @@ def validate_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def missing_pages(windows: DataFrame, pages: DataFrame) -> DataFrame:
-    """Planned windows for which no page landed, as failed pages."""
-    landed = pages.select("codigo", "janela_inicio").distinct()
-    return (
-        windows.join(landed, ["codigo", "janela_inicio"], "left_anti")
-        .select(
-            "codigo",
-            "nome",
-            "janela_inicio",
-            F.lit(0).cast("long").alias("pagina"),
-            F.lit(MISSING_PAGE).alias("erro"),
-        )
-    )
-
-
 def failed_series(checked: DataFrame) -> DataFrame:
     """One row per series with a failing page: the first error in window order."""
     first = F.min(F.struct("janela_inicio", "pagina", "erro"))
@@ -116,20 +103,12 @@ def _ingestion_date(value: Column | dt.date | str | None) -> Column:
 
 
 def assemble_documents(
-    checked: DataFrame,
-    ingestion_date: Column | dt.date | str | None = None,
-    max_records: int = MAX_RECORDS_PER_DOCUMENT,
+    checked: DataFrame, ingestion_date: Column | dt.date | str | None = None
 ) -> DataFrame:
-    """Concatenate the pages of each series into raw documents.
-
-    Records keep window order and, inside a page, the order of the response. A
-    series with a failing page gives no document. A series of at most
-    ``max_records`` records gives one document. A larger one gives one document
-    per page, which carries its window start and page number as order key, so
-    no group ever grows with a series.
+    """One raw document per page of every series without a failing page.
 
-    The pages are read three times (profile, whole series, split series): give
-    a stored table where the validation is dear.
+    Records keep the order of the response; ``janela_inicio`` and ``pagina``
+    place the page in its series. ``checked`` is read twice, once for its keys.
     """
     pages = _with_page_number(checked).select(
         "codigo",
@@ -140,45 +119,19 @@ def assemble_documents(
         "quantidade",
         "erro",
     )
-    # An empty page counts too, so that pages per document stay bounded as well.
-    runs = (
-        pages.groupBy(*_RUN)
-        .agg(
-            F.sum(F.greatest("quantidade", F.lit(1))).alias("peso"),
-            F.count("erro").alias("erros"),
-        )
-        .filter(F.col("erros") == 0)
-        .select(*_RUN, "peso")
-    )
-    usable = salted_join(
-        pages.filter(F.col("erro").isNull()).drop("erro", "quantidade"),
-        runs,
-        _RUN,
-        spread_by=_PAGE_ORDER,
-    )
-
-    in_order = F.array_sort(F.collect_list(F.struct(*_PAGE_ORDER, "registros")))
-    whole = (
-        usable.filter(F.col("peso") <= max_records)
-        .groupBy(*_RUN)
-        .agg(in_order.alias("paginas"))
-        .select(
-            *_RUN,
-            F.flatten(F.col("paginas.registros")).alias("registros"),
-            F.lit(None).cast("string").alias("janela_inicio"),
-            F.lit(None).cast("long").alias("pagina"),
-        )
-    )
-    split = usable.filter(F.col("peso") > max_records).select(
+    failed = pages.filter(F.col("erro").isNotNull()).select(*_RUN).distinct()
+    same = reduce(and_, [pages[c].eqNullSafe(failed[c]) for c in _RUN])
+    return pages.join(failed, same, "left_anti").select(
         *_RUN,
+        F.col("quantidade").alias("quantidade_registros"),
         "registros",
         F.date_format("janela_inicio", "yyyy-MM-dd").alias("janela_inicio"),
         F.col("pagina").cast("long").alias("pagina"),
     )
-    return whole.unionByName(split).select(
-        *_RUN,
-        F.size("registros").alias("quantidade_registros"),
-        "registros",
-        "janela_inicio",
-        "pagina",
+
+
+def series_totals(documents: DataFrame) -> DataFrame:
+    """Pages and records of every series and ingestion."""
+    return documents.groupBy(*_RUN).agg(
+        F.count(F.lit(1)).alias("paginas"), F.sum("quantidade_registros").alias("registros")
     )

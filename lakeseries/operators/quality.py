@@ -2,11 +2,11 @@
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.functions import is_missing
-from lakeseries.operators.joins import salted_join
+from lakeseries.sources.tables import write_table
 
 # Accepted closed range of each known series, the range of all
 # other series, and the expectation names of the report.
@@ -22,25 +22,26 @@ UNIQUE = "expect_compound_columns_to_be_unique"
 BETWEEN = "expect_column_values_to_be_between"
 
 GLOBAL_SCOPE = "global"
-# A range table up to this many rows is broadcast.
-BROADCAST_ROWS = 10_000
-# Failures spelled out in the text of DataQualityError; its report has all.
-LISTED_FAILURES = 100
 
+_NO_NAME = "\x00"
+
+REPORT_SCHEMA = "expectativa string, escopo string, unexpected_count long"
 Ranges = Mapping[str, tuple[float, float]] | DataFrame
 
 
 class DataQualityError(Exception):
     """The table did not pass the checks.
 
-    ``failures`` holds the first failures as dicts, ``report`` all of them as a
-    DataFrame.
+    ``count`` is the number of failures; all of them are stored at ``report_path``.
     """
 
-    def __init__(self, message: str, failures: list[dict], report: DataFrame):
-        super().__init__(message)
-        self.failures = failures
-        self.report = report
+    def __init__(self, count: int, report_path: str):
+        super().__init__(f"{count} quality problem(s), see the report at '{report_path}'")
+        self.count = count
+        self.report_path = report_path
+
+    def report(self, spark: SparkSession) -> DataFrame:
+        return read_report(spark, self.report_path)
 
 
 def not_null_counts(rows: DataFrame) -> DataFrame:
@@ -61,20 +62,25 @@ def duplicate_rows(rows: DataFrame, keys: tuple[str, ...] = ("serie_codigo", "da
 
 
 def _range_table(rows: DataFrame, ranges: Ranges) -> DataFrame:
-    if isinstance(ranges, DataFrame):
-        return ranges.select(
-            "serie_nome", F.col("minimo").cast("double"), F.col("maximo").cast("double")
+    """Ranges with one row per name; a null or repeated name fails the query."""
+    if not isinstance(ranges, DataFrame):
+        listed = [(name, float(low), float(high)) for name, (low, high) in ranges.items()]
+        ranges = rows.sparkSession.createDataFrame(
+            listed, "serie_nome string, minimo double, maximo double"
         )
-    listed = [(name, float(low), float(high)) for name, (low, high) in ranges.items()]
-    return rows.sparkSession.createDataFrame(
-        listed, "serie_nome string, minimo double, maximo double"
+    # The join only asks for names that are not null, so a null one gets a mark.
+    name = F.coalesce("serie_nome", F.lit(_NO_NAME)).alias("serie_nome")
+    named = ranges.groupBy(name).agg(
+        F.first(F.col("minimo").cast("double")).alias("minimo"),
+        F.first(F.col("maximo").cast("double")).alias("maximo"),
+        F.count(F.lit(1)).alias("_vezes"),
     )
-
-
-def _is_small(ranges: Ranges) -> bool:
-    if isinstance(ranges, DataFrame):
-        return ranges.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return len(ranges) <= BROADCAST_ROWS
+    fault = F.raise_error(
+        F.concat(F.lit("range name is null or repeated: "), F.col("serie_nome"))
+    ).cast("boolean")
+    unique = (F.col("serie_nome") != _NO_NAME) & (F.col("_vezes") == 1)
+    unique = F.when(unique, True).otherwise(fault)
+    return named.filter(unique).drop("_vezes")
 
 
 def series_profile(
@@ -82,40 +88,21 @@ def series_profile(
 ) -> DataFrame:
     """Per ``serie_nome``: rows, missing dates, missing values, values out of range.
 
-    Ends of a range belong to it. Missing values are not out of range.
+    Ends of a range belong to it. Missing values are not out of range. The join
+    with the ranges has one row per name on that side, so it keeps every row
+    once; adaptive execution decides how to run it and splits large series.
     """
-    bounds = _range_table(rows, ranges)
-    # n is the number of rows that a row stands for, so that equal values can be
-    # folded below without changing the sums.
-    weighted = rows.select(
-        "serie_nome",
-        "valor",
-        F.lit(1).cast("long").alias("n"),
-        F.col("data").isNull().cast("long").alias("sem_data"),
+    bounded = rows.select("serie_nome", "valor", "data").join(
+        _range_table(rows, ranges), "serie_nome", "left"
     )
-    if _is_small(ranges):
-        bounded = weighted.join(F.broadcast(bounds), "serie_nome", "left")
-    else:
-        # Too many ranges to broadcast: fold equal values first, so a frequent
-        # series reaches the join as its distinct values, spread by value.
-        folded = weighted.groupBy("serie_nome", "valor").agg(
-            F.sum("n").alias("n"), F.sum("sem_data").alias("sem_data")
-        )
-        bounded = salted_join(folded, bounds, ["serie_nome"], spread_by=["valor"], how="left")
-
     missing = is_missing(F.col("valor"))
     low = F.coalesce(F.col("minimo"), F.lit(float(default[0])))
     high = F.coalesce(F.col("maximo"), F.lit(float(default[1])))
-    outside = ~missing & ~F.col("valor").between(low, high)
-
-    def total(condition: Column) -> Column:
-        return F.sum(F.when(condition, F.col("n")).otherwise(0))
-
     return bounded.groupBy("serie_nome").agg(
-        F.sum("n").alias("linhas"),
-        F.sum("sem_data").alias("data_nula"),
-        total(missing).alias("valor_nulo"),
-        total(outside).alias("fora_da_faixa"),
+        F.count(F.lit(1)).alias("linhas"),
+        F.count_if(F.col("data").isNull()).alias("data_nula"),
+        F.count_if(missing).alias("valor_nulo"),
+        F.count_if(~missing & ~F.col("valor").between(low, high)).alias("fora_da_faixa"),
     )
 
 
@@ -174,17 +161,22 @@ def quality_report(
     return report.select("expectativa", "escopo", "unexpected_count")
 
 
+def read_report(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema(REPORT_SCHEMA).parquet(path)
+
+
 def require_quality(
-    rows: DataFrame, ranges: Ranges = SERIES_RANGES, default: tuple[float, float] = DEFAULT_RANGE
+    rows: DataFrame,
+    report_path: str,
+    ranges: Ranges = SERIES_RANGES,
+    default: tuple[float, float] = DEFAULT_RANGE,
 ) -> None:
-    """Raise :class:`DataQualityError` if any check fails; empty input passes."""
-    report = quality_report(rows, ranges, default)
-    first = [row.asDict() for row in report.limit(LISTED_FAILURES + 1).collect()]
-    if not first:
-        return
-    total, listed = len(first), first[:LISTED_FAILURES]
-    if total > LISTED_FAILURES:
-        total = report.count()
-    raise DataQualityError(
-        f"{total} quality problem(s), the first {len(listed)}: {listed}", listed, report
-    )
+    """Write the report as the table ``report_path``; raise if it has any row.
+
+    The report is computed once, and the error names its version, which the next
+    run still keeps. Empty input passes.
+    """
+    version = write_table(quality_report(rows, ranges, default, ordered=False), report_path)
+    count = read_report(rows.sparkSession, version).count()
+    if count:
+        raise DataQualityError(count, version)

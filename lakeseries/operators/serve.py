@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from lakeseries.functions import display_label, percent_text, period_start, two_decimals
 
+# The columns of the detail table, in order.
 DETAIL_COLUMNS = [
     "serie_nome",
     "periodo",

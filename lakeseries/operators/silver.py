@@ -63,6 +63,22 @@ def discard_metric(rows: DataFrame) -> DataFrame:
     ).withColumn("descartados", F.col("lidos") - F.col("validos"))
 
 
+def document_counts(bronze: DataFrame, corrupt: str) -> DataFrame:
+    """One row: what :func:`discard_metric` counts, and documents that cannot be read.
+
+    Records are counted inside their documents, without a row for each.
+    """
+    usable = F.filter(
+        "registros",
+        lambda r: br_date(r["data"]).isNotNull() & br_number(r["valor"]).isNotNull(),
+    )
+    return bronze.agg(
+        F.coalesce(F.sum(F.size("registros")), F.lit(0)).alias("lidos"),
+        F.coalesce(F.sum(F.size(usable)), F.lit(0)).alias("validos"),
+        F.count(corrupt).alias("corrompidos"),
+    )
+
+
 def keep_latest(rows: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Per key, the row that is greatest in ``order``; nulls are smallest.
 
@@ -84,30 +100,3 @@ def bronze_to_silver(bronze: DataFrame) -> DataFrame:
     The order matters: an unusable newer record never hides a good older one.
     """
     return keep_latest(drop_invalid(normalise(bronze)), KEY, RECENCY).select(*SILVER_COLUMNS)
-
-
-def silver_with_counts(bronze: DataFrame) -> DataFrame:
-    """The groups behind :func:`bronze_to_silver`, with record counts.
-
-    ``linha`` is the latest valid record, null if the key has none; ``lidos``
-    and ``validos`` count the key's records. Their totals are those of
-    :func:`discard_metric`, without another pass over the raw files. Copies of
-    a key are folded before the shuffle here as well.
-    """
-    newest = F.max(F.when(is_valid(), F.struct(*RECENCY)))
-    return (
-        normalise(bronze)
-        .groupBy(*KEY)
-        .agg(
-            newest.alias("linha"),
-            F.count(F.lit(1)).alias("lidos"),
-            F.count_if(is_valid()).alias("validos"),
-        )
-    )
-
-
-def silver_rows(counted: DataFrame) -> DataFrame:
-    """The silver rows of :func:`silver_with_counts`."""
-    return counted.filter(F.col("linha").isNotNull()).select(
-        "serie_codigo", "linha.serie_nome", "data", "linha.valor"
-    )

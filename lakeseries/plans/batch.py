@@ -5,15 +5,14 @@ from collections.abc import Sequence
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, Observation, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import StringType, StructType
 
 from lakeseries.operators.gold import comparison, monthly
 from lakeseries.operators.quality import DEFAULT_RANGE, SERIES_RANGES, Ranges, require_quality
-from lakeseries.operators.silver import silver_rows, silver_with_counts
+from lakeseries.operators.silver import bronze_to_silver, document_counts
 from lakeseries.schemas import BRONZE_SCHEMA, SILVER_SCHEMA
-from lakeseries.sources.bronze import read_bronze
-from lakeseries.sources.tables import read_table, save_in_place, write_table
+from lakeseries.sources.bronze import CORRUPT, read_bronze
+from lakeseries.sources.tables import read_table, write_table
 
 logger = logging.getLogger(__name__)
 
@@ -24,6 +23,8 @@ class BatchConfig:
     silver_path: str = "data/silver/series"
     gold_monthly_path: str = "data/gold/mensal_por_serie"
     gold_comparison_path: str = "data/gold/comparativo_mensal"
+    # Report of the quality check; beside silver if not given.
+    quality_report_path: str | None = None
     skip_quality_check: bool = False
     multi_line: bool = False
     fmt: str = "parquet"
@@ -32,54 +33,55 @@ class BatchConfig:
     # One directory per series. With very many series leave it empty: rows are
     # clustered and sorted by series in any case, so files can still be skipped.
     silver_partition_by: Sequence[str] = ("serie_codigo",)
-    # Column names of the comparison; discovered from the monthly table if None.
+    # Column names of the comparison, which must cover all series; discovered
+    # from the monthly table if None.
     series_names: Sequence[str] | None = None
     bronze_schema: StructType = BRONZE_SCHEMA
     silver_schema: StructType = SILVER_SCHEMA
 
 
+@dataclass(frozen=True)
+class SilverCounts:
+    read: int
+    discarded: int
+    corrupt: int
+    rows: int
+
+
 @dataclass(frozen=True)
 class BatchMetrics:
     records_read: int
     records_discarded: int
+    corrupt_documents: int
     silver_rows: int
     monthly_rows: int
     comparison_rows: int
 
 
-def counted_silver(bronze: DataFrame, counts: Observation) -> DataFrame:
-    """Silver rows, balanced by series, with record counts going to ``counts``.
+def refresh_silver(spark: SparkSession, config: BatchConfig) -> SilverCounts:
+    """Rebuild silver from all raw documents.
 
-    The counts ride on the deduplicated rows past the last shuffle, into the
-    stage that writes the files: there a task that is run again counts once.
+    Counts come from a pass of their own over the documents, which has no
+    shuffle: tasks that are run again cannot count twice there.
     """
-    balanced = silver_with_counts(bronze).hint("rebalance", "serie_codigo")
-    return silver_rows(
-        balanced.observe(
-            counts,
-            F.coalesce(F.sum("lidos"), F.lit(0)).alias("lidos"),
-            F.coalesce(F.sum("validos"), F.lit(0)).alias("validos"),
-            F.count("linha").alias("linhas"),
-        )
-    )
-
-
-def refresh_silver(spark: SparkSession, config: BatchConfig) -> tuple[int, int, int]:
-    """Rebuild silver from all raw documents in one pass.
-
-    Returns records read, records discarded and rows written.
-    """
-    bronze = read_bronze(spark, config.bronze_glob, config.multi_line, config.bronze_schema)
-    counts = Observation("silver")
-    save_in_place(
-        counted_silver(bronze, counts),
+    schema = StructType([*config.bronze_schema.fields]).add(CORRUPT, StringType())
+    bronze = read_bronze(spark, config.bronze_glob, config.multi_line, schema)
+    counts = document_counts(bronze, CORRUPT).first()
+    written = Observation("silver")
+    write_table(
+        bronze_to_silver(bronze),
         config.silver_path,
         config.fmt,
         partition_by=config.silver_partition_by,
         sort_by=["serie_codigo", "data"],
+        count_into=written,
+    )
+    return SilverCounts(
+        counts["lidos"],
+        counts["lidos"] - counts["validos"],
+        counts["corrompidos"],
+        written.get["linhas"],
     )
-    seen = counts.get
-    return seen["lidos"], seen["lidos"] - seen["validos"], seen["linhas"]
 
 
 def refresh_gold(spark: SparkSession, config: BatchConfig) -> tuple[int, int]:
@@ -113,18 +115,23 @@ def run_batch(spark: SparkSession, config: BatchConfig = BatchConfig()) -> Batch
     After a failure silver holds the rejected data and gold the previous result.
     The check runs on the stored silver, not on its lineage.
     """
-    read, discarded, kept = refresh_silver(spark, config)
-    if discarded:
-        logger.warning("%d of %d records discarded: no usable date or value", discarded, read)
-    logger.info("silver: %d rows in %s", kept, config.silver_path)
-
+    counts = refresh_silver(spark, config)
+    if counts.discarded:
+        logger.warning(
+            "%d of %d records discarded: no usable date or value", counts.discarded, counts.read
+        )
+    if counts.corrupt:
+        logger.error("%d raw documents cannot be read", counts.corrupt)
+    logger.info("silver: %d rows in %s", counts.rows, config.silver_path)
     if config.skip_quality_check:
         logger.warning("quality check skipped")
     else:
-        stored = read_table(spark, config.silver_path, config.fmt, config.silver_schema)
-        require_quality(stored, config.ranges, config.default_range)
-        logger.info("quality check passed on %d rows", kept)
-
+        silver = read_table(spark, config.silver_path, config.fmt, config.silver_schema)
+        report_path = config.quality_report_path or f"{config.silver_path.rstrip('/')}_qualidade"
+        require_quality(silver, report_path, config.ranges, config.default_range)
+        logger.info("quality check passed on %d rows", counts.rows)
     months, wide = refresh_gold(spark, config)
     logger.info("gold: %d monthly rows, %d comparison rows", months, wide)
-    return BatchMetrics(read, discarded, kept, months, wide)
+    return BatchMetrics(
+        counts.read, counts.discarded, counts.corrupt, counts.rows, months, wide
+    )

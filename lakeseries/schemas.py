@@ -43,8 +43,8 @@ RECORD_SCHEMA = StructType(
     ]
 )
 
-# janela_inicio and pagina are set only on the documents of a series too large
-# for one document (see operators.pages); other documents leave them out.
+# A document is one page; janela_inicio and pagina place it in its series. Documents
+# of a whole series, as older runs wrote them, lack both and stay readable.
 BRONZE_SCHEMA = StructType(
     [
         StructField("codigo", IntegerType()),

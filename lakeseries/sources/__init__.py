@@ -1,7 +1,7 @@
 from lakeseries.sources.bronze import bronze_glob, corrupt_documents, read_bronze, write_bronze
 from lakeseries.sources.catalog import catalog_from_rows, read_catalog
 from lakeseries.sources.tables import TableNotFoundError, read_table, write_table
-from lakeseries.sources.work import stored, work_path
+from lakeseries.sources.work import remove, stored, work_path
 
 __all__ = [
     "TableNotFoundError",
@@ -11,6 +11,7 @@ __all__ = [
     "read_bronze",
     "read_catalog",
     "read_table",
+    "remove",
     "stored",
     "work_path",
     "write_bronze",

@@ -25,7 +25,8 @@ def read_bronze(
 
     JSON Lines by default, which Spark can split. Set ``multi_line`` for files
     that hold one pretty-printed document each. Text that is no document gives
-    a row of nulls; :func:`corrupt_documents` shows it.
+    a row of nulls; :func:`corrupt_documents` shows it, and a field
+    ``_corrupt_record`` in ``schema`` holds it.
     """
     return spark.read.schema(schema).option("multiLine", multi_line).json(glob)
 

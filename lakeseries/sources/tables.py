@@ -1,4 +1,11 @@
-"""Typed tables on any path-based Spark format."""
+"""Typed tables of files, replaced version by version.
+
+A table is a folder with one data folder per version below ``dados`` and a log
+of versions in ``versoes``. A new version is complete before one small file is
+added to the log, which makes it the table; nothing is moved or renamed. Readers
+that opened the version before keep its files until the next version but one. A
+table has one writer at a time.
+"""
 
 import uuid
 from collections.abc import Sequence
@@ -8,14 +15,35 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from lakeseries.sources.work import children, remove
+
+FORMATS = ("parquet", "orc")
 
-_NOT_FOUND = ("PATH_NOT_FOUND", "DELTA_PATH_DOES_NOT_EXIST", "DELTA_TABLE_NOT_FOUND")
+_LOG = "numero long, pasta string"
 
 
 class TableNotFoundError(Exception):
     """The table has not been written yet."""
 
 
+def _versions(spark: SparkSession, path: str) -> list[tuple[int, str]]:
+    """The last two versions, the newest first; none if there is no table."""
+    try:
+        log = spark.read.schema(_LOG).json(f"{path.rstrip('/')}/versoes")
+    except AnalysisException as error:
+        if error.getCondition() == "PATH_NOT_FOUND":
+            return []
+        raise
+    newest = log.orderBy(F.desc("numero"), F.desc("pasta")).limit(2).collect()
+    return [(row["numero"], row["pasta"]) for row in newest]
+
+
+def _checked(fmt: str) -> str:
+    if fmt not in FORMATS:
+        raise ValueError(f"format {fmt} is not one of {', '.join(FORMATS)}")
+    return fmt
+
+
 def read_table(
     spark: SparkSession, path: str, fmt: str = "parquet", schema: StructType | None = None
 ) -> DataFrame:
@@ -24,17 +52,15 @@ def read_table(
     With a ``schema``, columns come in its order and with its types; otherwise
     partition columns come last, with types guessed from directory names.
     """
-    reader = spark.read.format(fmt)
-    # Transactional formats keep their own schema and refuse another one.
-    fixed = schema is not None and fmt == "parquet"
-    try:
-        table = (reader.schema(schema) if fixed else reader).load(path)
-    except AnalysisException as error:
-        if error.getCondition() in _NOT_FOUND:
-            raise TableNotFoundError(
-                f"No table at '{path}'. Run the batch first: lakeseries.run_batch(spark, config)"
-            ) from error
-        raise
+    versions = _versions(spark, path)
+    if not versions:
+        raise TableNotFoundError(
+            f"No table at '{path}'. Run the batch first: lakeseries.run_batch(spark, config)"
+        )
+    reader = spark.read.format(_checked(fmt))
+    table = (reader.schema(schema) if schema is not None else reader).load(
+        f"{path.rstrip('/')}/dados/{versions[0][1]}"
+    )
     return table.select(*schema.fieldNames()) if schema is not None else table
 
 
@@ -45,61 +71,33 @@ def write_table(
     partition_by: Sequence[str] = (),
     sort_by: Sequence[str] = (),
     count_into: Observation | None = None,
-) -> None:
-    """Replace the whole table, schema included.
+) -> str:
+    """Replace the whole table, schema included; returns the folder of the version.
 
     Rows are rebalanced on the partition columns: few files per partition, and
     a partition too large for one task is split. ``count_into`` receives the
     written rows as ``linhas``; it sits in the last stage, whose tasks Spark
-    counts once each even when some are run again.
-
-    File formats have no atomic overwrite, so the new files are completed
-    beside the table and then moved into its place: a job that fails halfway
-    leaves the table as it was, and a plan may read the table it replaces.
+    counts once each even when some are run again. A job that fails at any point
+    leaves the table as it was, and a plan may read the table it replaces. Data
+    of versions before the last one, and of failed runs, is removed at the end.
     """
     out = table.hint("rebalance", *partition_by)
     if count_into is not None:
         out = out.observe(count_into, F.count(F.lit(1)).alias("linhas"))
-    save_in_place(out, path, fmt, partition_by, sort_by)
-
-
-def save_in_place(
-    out: DataFrame,
-    path: str,
-    fmt: str = "parquet",
-    partition_by: Sequence[str] = (),
-    sort_by: Sequence[str] = (),
-) -> None:
-    """Replace the table by ``out`` as it is distributed, without another shuffle."""
     if sort_by:
         out = out.sortWithinPartitions(*sort_by)
-    writer = out.write.format(fmt)
+    writer = out.write.format(_checked(fmt))
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if fmt == "delta":
-        writer.mode("overwrite").option("overwriteSchema", "true").save(path)
-        return
-    path = path.rstrip("/")
-    staging = f"{path}.nova-{uuid.uuid4().hex}"
-    spark = out.sparkSession
-    hadoop = spark.sparkContext._jvm.org.apache.hadoop.fs.Path
-    files = hadoop(path).getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    try:
-        writer.mode("errorifexists").save(staging)
-        _move_into_place(files, hadoop, staging, path)
-    finally:
-        files.delete(hadoop(staging), True)
-
-
-def _move_into_place(files, hadoop, staging: str, path: str) -> None:
-    new, target = hadoop(staging), hadoop(path)
-    previous = hadoop(f"{path}.anterior-{uuid.uuid4().hex}")
-    replaced = files.exists(target)
-    if replaced and not files.rename(target, previous):
-        raise OSError(f"cannot move the previous table at '{path}'")
-    if not files.rename(new, target):
-        if replaced:
-            files.rename(previous, target)
-        raise OSError(f"cannot move the new table to '{path}'")
-    if replaced:
-        files.delete(previous, True)
+    spark, path = table.sparkSession, path.rstrip("/")
+    before = _versions(spark, path)
+    number = before[0][0] + 1 if before else 1
+    name = f"v{number}-{uuid.uuid4().hex}"
+    writer.mode("errorifexists").save(f"{path}/dados/{name}")
+    entry = spark.createDataFrame([(number, name)], _LOG).coalesce(1)
+    entry.write.mode("append").json(f"{path}/versoes")
+    kept = {name, *(folder for _, folder in before[:1])}
+    for folder in children(spark, f"{path}/dados"):
+        if folder not in kept:
+            remove(spark, f"{path}/dados/{folder}")
+    return f"{path}/dados/{name}"

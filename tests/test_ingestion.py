@@ -10,12 +10,15 @@ from lakeseries.operators.pages import (
     INVALID_JSON,
     MISSING_PAGE,
     NOT_A_LIST,
+    UNPLANNED_PAGE,
     assemble_documents,
     failed_series,
+    series_totals,
     validate_pages,
 )
+from lakeseries.operators.silver import bronze_to_silver
 from lakeseries.operators.windows import INVALID_DATE, START_AFTER_END, invalid_requests, year_windows
-from lakeseries.plans.ingestion import failure_count, ingest_pages
+from lakeseries.plans.ingestion import check_pages, failure_count, ingest_pages
 from lakeseries.schemas import PAGE_SCHEMA
 from lakeseries.sources import catalog_from_rows
 
@@ -162,17 +165,22 @@ def page_body(*records):
     return "[" + ",".join(f'{{"data":"{d}","valor":"{v}"}}' for d, v in records) + "]"
 
 
-def test_concatenation_in_window_order_with_metadata(spark):
+def test_a_document_per_page_with_its_place(spark):
     landed = pages(
         spark,
         (11, "selic", D(2016, 1, 2), 200, page_body(("05/01/2016", "14,25"), ("03/01/2016", "1"))),
         (11, "selic", D(2015, 1, 1), 200, page_body(("01/01/2015", "11,75"))),
     )
-    document = assemble_documents(validate_pages(landed), D(2026, 7, 23)).first()
-    assert (document.codigo, document.nome, document.data_ingestao) == (11, "selic", "2026-07-23")
-    assert document.quantidade_registros == 3
-    assert [r.data for r in document.registros] == ["01/01/2015", "05/01/2016", "03/01/2016"]
-    assert document.janela_inicio is None and document.pagina is None
+    documents = assemble_documents(validate_pages(landed), D(2026, 7, 23))
+    rows = documents.orderBy("janela_inicio", "pagina").collect()
+    assert [(r.codigo, r.nome, r.data_ingestao) for r in rows] == [(11, "selic", "2026-07-23")] * 2
+    assert [(r.janela_inicio, r.pagina, r.quantidade_registros) for r in rows] == [
+        ("2015-01-01", 0, 1),
+        ("2016-01-02", 0, 2),
+    ]
+    records = [r.data for row in rows for r in row.registros]
+    assert records == ["01/01/2015", "05/01/2016", "03/01/2016"]
+    assert series_totals(documents).collect() == [(11, "selic", "2026-07-23", 2, 3)]
 
 
 def test_one_bad_page_fails_its_series_only(spark):
@@ -191,21 +199,16 @@ def test_one_bad_page_fails_its_series_only(spark):
     assert [tuple(r) for r in failed_series(checked).collect()] == [(2, "bad", NOT_A_LIST, 2)]
 
 
-def test_large_series_is_split_by_page_and_nothing_is_lost(spark):
-    rows = [
-        (code, f"s{code}", D(2000 + i, 1, 1), 200, page_body(*[(f"{k:02d}/01/{2000 + i}", k) for k in range(1, n + 1)]))
-        for code, n in ((1, 8), (2, 1), (3, 0))
-        for i in range(10)
-    ]
-    checked = validate_pages(pages(spark, *rows))
-    whole = assemble_documents(checked, "2026-07-23")
-    split = assemble_documents(checked, "2026-07-23", max_records=20)
-    assert {r.codigo: 1 for r in whole.collect()} == {1: 1, 2: 1, 3: 1}
-    parts = split.filter("codigo = 1").orderBy("janela_inicio").collect()
-    assert [p.janela_inicio for p in parts] == [f"{2000 + i}-01-01" for i in range(10)]
-    assert split.filter("codigo <> 1").count() == 2
-    joined = [tuple(r) for p in parts for r in p.registros]
-    assert joined == [tuple(r) for r in whole.filter("codigo = 1").first().registros]
+def test_failed_series_with_null_names(spark):
+    checked = validate_pages(
+        pages(
+            spark,
+            (1, None, D(2015, 1, 1), 200, "[]"),
+            (1, None, D(2016, 1, 2), 500, None),
+            (2, None, D(2015, 1, 1), 200, "[]"),
+        )
+    )
+    assert [r.codigo for r in assemble_documents(checked).collect()] == [2]
 
 
 def test_pages_without_number(spark):
@@ -232,40 +235,59 @@ def test_ingestion_from_catalog(spark):
         (99, "unplanned", D(2015, 1, 1), 200, "[]"),
     )
     run = ingest_pages(catalog, landed, D(2026, 7, 23))
-    assert [(r.codigo, r.quantidade_registros) for r in run.documents.collect()] == [(1, 2)]
+    documents = sorted((r.codigo, r.nome, r.quantidade_registros) for r in run.documents.collect())
+    assert documents == [(1, "ok", 1), (1, "ok", 1)]
     assert sorted(map(tuple, run.failures.collect())) == [
         (2, "hole", MISSING_PAGE),
         (3, "late", START_AFTER_END),
         (4, "http", HTTP_STATUS),
     ]
     assert failure_count(run.failures) == 3
+    assert run.unplanned.collect() == [(99, D(2015, 1, 1), 0, UNPLANNED_PAGE)]
+    run.close()
+    with pytest.raises(Exception, match="FILE_NOT_EXIST|PATH_NOT_FOUND|FileNotFound"):
+        run.documents.collect()
 
 
-def test_copies_of_a_page_in_a_large_series_all_stay(spark):
-    copies = [(1, "hot", D(2015, 1, 1), 200, page_body(("01/01/2015", "1")))] * 30
-    others = [(2, "cold", D(2015, 1, 1), 200, page_body(("01/01/2015", "2")))]
-    checked = validate_pages(pages(spark, *copies, *others))
-    documents = assemble_documents(checked, "2026-07-23", max_records=10)
-    counts = {r.codigo: (r.n, r.q) for r in documents.groupBy("codigo").agg(F.count("*").alias("n"), F.sum("quantidade_registros").alias("q")).collect()}
-    assert counts == {1: (30, 30), 2: (1, 1)}
+def test_pages_outside_the_plan_fail_nothing(spark):
+    catalog = catalog_from_rows(
+        spark, [{"codigo": 1, "nome": "s", "data_inicial": "01/01/2015", "data_final": "01/02/2015"}]
+    )
+    landed = pages(
+        spark,
+        (1, "s", D(2015, 1, 1), 200, "[]"),
+        (1, "s", D(2015, 1, 2), 500, None),
+        (None, "s", D(2015, 1, 1), 200, "[]"),
+        (1, "s", None, 200, "[]"),
+    )
+    run = ingest_pages(catalog, landed, "2026-07-23")
+    assert run.documents.count() == 1 and run.failures.isEmpty()
+    assert run.unplanned.count() == 3
 
 
-def test_many_empty_pages_are_split_too(spark):
-    rows = [(1, "s", D(2000, 1, 1) + dt.timedelta(days=i), 200, "[]") for i in range(30)]
-    documents = assemble_documents(validate_pages(pages(spark, *rows)), "2026-07-23", max_records=10)
-    assert documents.count() == 30
-    assert documents.agg(F.sum("quantidade_registros")).first()[0] == 0
+def test_landing_is_read_once_and_parsed_after_the_join(spark, tmp_path):
+    pages(spark, (1, "s", D(2015, 1, 1), 200, "[]")).write.parquet(str(tmp_path / "landing"))
+    landed = spark.read.parquet(str(tmp_path / "landing"))
+    catalog = catalog_from_rows(
+        spark, [{"codigo": 1, "nome": "s", "data_inicial": "01/01/2015", "data_final": "01/02/2015"}]
+    )
+    plan = check_pages(catalog, landed)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan parquet") == 1
+    assert plan.index("from_json") < plan.index("FullOuter")
+
 
+def test_copies_of_a_page_all_stay(spark):
+    copies = [(1, "hot", D(2015, 1, 1), 200, page_body(("01/01/2015", "1")))] * 30
+    others = [(2, "cold", D(2015, 1, 1), 200, page_body(("01/01/2015", "2")))]
+    checked = validate_pages(pages(spark, *copies, *others))
+    totals = series_totals(assemble_documents(checked, "2026-07-23")).collect()
+    assert {r.codigo: (r.paginas, r.registros) for r in totals} == {1: (30, 30), 2: (1, 1)}
 
-def test_split_documents_keep_the_order_for_deduplication(spark):
-    from lakeseries.operators.silver import bronze_to_silver
 
+def test_page_order_decides_between_records_of_a_day(spark):
     rows = [
         (1, "s", D(2015, 1, 1), 200, page_body(("05/01/2015", "9"), ("06/01/2015", "1"))),
-        (1, "s", D(2016, 1, 2), 200, page_body(("05/01/2015", "3"))),
+        (1, "s", D(2016, 1, 2), 200, page_body(("05/01/2015", "3"), ("07/01/2015", "4"), ("07/01/2015", "2"))),
     ]
-    checked = validate_pages(pages(spark, *rows))
-    whole = bronze_to_silver(assemble_documents(checked, "2026-07-23"))
-    split = bronze_to_silver(assemble_documents(checked, "2026-07-23", max_records=1))
-    assert sorted(whole.collect()) == sorted(split.collect())
-    assert {r.data.day: r.valor for r in whole.collect()} == {5: 3.0, 6: 1.0}
+    silver = bronze_to_silver(assemble_documents(validate_pages(pages(spark, *rows)), "2026-07-23"))
+    assert {r.data.day: r.valor for r in silver.collect()} == {5: 3.0, 6: 1.0, 7: 2.0}

@@ -9,9 +9,9 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
+from workload import ORACLES, QUERIES
 
 SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
-QUERIES, ORACLES = contract.queries(), contract.oracle_sql()
 
 pytestmark = pytest.mark.skipif(not pathlib.Path(SF_DIR).exists(), reason="no test tables")
 
@@ -38,6 +38,8 @@ def canonical(columns, rows):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(contract.queries())
+    assert set(ORACLES) <= set(contract.oracle_sql()) <= set(contract.queries())
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

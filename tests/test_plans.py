@@ -2,12 +2,9 @@ import datetime as dt
 import json
 
 import pytest
-from pyspark.sql import Observation
 
 from lakeseries import BatchConfig, DataQualityError, read_table, run_batch, run_ingestion
 from lakeseries.operators.silver import discard_metric, normalise
-from lakeseries.plans.batch import counted_silver
-from lakeseries.plans.ingestion import failure_count
 from lakeseries.schemas import BRONZE_SCHEMA, PAGE_SCHEMA, SILVER_SCHEMA
 from lakeseries.sources import bronze_glob, catalog_from_rows, read_bronze, write_bronze
 
@@ -81,8 +78,9 @@ def test_new_series_adds_a_column(spark, tmp_path):
         "ipca_mensal",
         "selic_diaria",
     ]
-    run_batch(spark, config(tmp_path, series_names=["selic_diaria"]))
-    assert read_table(spark, f"{tmp_path}/comparativo").columns == ["ano", "mes", "selic_diaria"]
+    names = ["selic_diaria", "ipca_mensal", "nova"]
+    run_batch(spark, config(tmp_path, series_names=names))
+    assert read_table(spark, f"{tmp_path}/comparativo").columns == ["ano", "mes", *sorted(names)]
 
 
 def test_ingestion_to_gold(spark, tmp_path):
@@ -105,8 +103,11 @@ def test_ingestion_to_gold(spark, tmp_path):
             {"codigo": 1, "nome": "cambio_usd_venda", "data_inicial": "01/01/2015", "data_final": "01/06/2016"},
         ],
     )
-    failures = run_ingestion(catalog, landed, f"{tmp_path}/bronze", dt.date(2026, 7, 23))
-    assert failure_count(failures) == 1
+    failures, metrics = run_ingestion(
+        catalog, landed, f"{tmp_path}/bronze", dt.date(2026, 7, 23), folder=f"{tmp_path}/work"
+    )
+    assert (metrics.failed_series, metrics.unplanned_pages) == (1, 0)
+    assert list((tmp_path / "work").iterdir()) == []
     assert failures.first() == (1, "cambio_usd_venda", "http_status")
     assert [p.name for p in (tmp_path / "bronze").glob("serie=*")] == ["serie=11"]
     assert run_batch(spark, config(tmp_path)).monthly_rows == 2
@@ -115,16 +116,36 @@ def test_ingestion_to_gold(spark, tmp_path):
 def test_silver_without_directories(spark, tmp_path):
     put(spark, tmp_path, SELIC, IPCA)
     assert run_batch(spark, config(tmp_path, silver_partition_by=())).silver_rows == 3
-    assert not list((tmp_path / "silver").glob("serie_codigo=*"))
+    assert not list((tmp_path / "silver").glob("dados/*/serie_codigo=*"))
     assert read_table(spark, f"{tmp_path}/silver", schema=SILVER_SCHEMA).count() == 3
 
 
-def test_counts_are_taken_after_the_last_shuffle(spark):
-    bronze = spark.createDataFrame([], BRONZE_SCHEMA)
-    frame = counted_silver(bronze, Observation()).sortWithinPartitions("serie_codigo", "data")
-    plan = frame._jdf.queryExecution().executedPlan().toString()
-    assert 0 < plan.index("CollectMetrics") < plan.index("REBALANCE_PARTITIONS_BY_COL")
-    assert "Exchange" not in plan[: plan.index("CollectMetrics")]
+def test_broken_documents_are_counted(spark, tmp_path):
+    put(spark, tmp_path, SELIC)
+    folder = tmp_path / "bronze" / "serie=11" / "data_ingestao=2026-07-24"
+    folder.mkdir(parents=True)
+    good = {"codigo": 11, "nome": "selic_diaria", "data_ingestao": "2026-07-24", "registros": None}
+    (folder / "part-0").write_text(json.dumps(good) + '\n{"codigo": 11, "registros": [\n')
+    metrics = run_batch(spark, config(tmp_path))
+    assert (metrics.records_read, metrics.records_discarded, metrics.corrupt_documents) == (3, 1, 1)
+    (folder / "part-1").write_text(json.dumps(good, indent=2))
+    assert run_batch(spark, config(tmp_path)).corrupt_documents > 1
+
+
+def test_names_must_cover_all_series(spark, tmp_path):
+    put(spark, tmp_path, SELIC, IPCA)
+    with pytest.raises(Exception, match="without a column in the comparison: ipca_mensal"):
+        run_batch(spark, config(tmp_path, series_names=["selic_diaria"]))
+
+
+def test_report_outlives_the_next_run(spark, tmp_path):
+    put(spark, tmp_path, (11, "selic_diaria", "2026-07-24", [("01/01/2024", "350")]))
+    with pytest.raises(DataQualityError) as caught:
+        run_batch(spark, config(tmp_path))
+    put(spark, tmp_path, (11, "selic_diaria", "2026-07-24", [("01/01/2024", "11")]))
+    run_batch(spark, config(tmp_path))
+    assert caught.value.count == 1
+    assert caught.value.report(spark).first().escopo == "selic_diaria"
 
 
 def test_landing_table_with_other_columns(spark, tmp_path):
@@ -136,5 +157,6 @@ def test_landing_table_with_other_columns(spark, tmp_path):
         spark,
         [{"codigo": 11, "nome": "s", "data_inicial": "01/01/2015", "data_final": "01/02/2015"}],
     )
-    assert failure_count(run_ingestion(catalog, landed, f"{tmp_path}/bronze")) == 0
+    failures, _ = run_ingestion(catalog, landed, f"{tmp_path}/bronze")
+    assert failures.isEmpty()
     assert read_bronze(spark, bronze_glob(f"{tmp_path}/bronze")).first().nome == "s"

@@ -2,7 +2,6 @@ import datetime as dt
 
 import pytest
 
-from lakeseries.operators import quality
 from lakeseries.operators.quality import (
     BETWEEN,
     NOT_NULL,
@@ -33,7 +32,6 @@ def test_clean_data_passes(spark):
         (433, "ipca_mensal", DAY, 0.42),
     )
     assert failures(frame) == []
-    require_quality(frame)
 
 
 def test_out_of_range(spark):
@@ -108,27 +106,21 @@ def test_report_order(spark):
     ]
 
 
-def test_empty_input_passes(spark):
-    require_quality(silver(spark))
+def test_empty_input_passes(spark, tmp_path):
+    require_quality(silver(spark), str(tmp_path / "report"))
 
 
-def test_gate_raises_with_count_and_report(spark):
-    with pytest.raises(DataQualityError, match="1 quality problem") as caught:
-        require_quality(silver(spark, (11, "selic_diaria", DAY, 350.0)))
-    assert caught.value.failures[0]["expectativa"] == BETWEEN
-    assert caught.value.report.count() == 1
+def test_gate_raises_with_count_and_stored_report(spark, tmp_path):
+    rows = [(i, f"s{i}", DAY, 2e6) for i in range(150)]
+    with pytest.raises(DataQualityError, match="150 quality problem") as caught:
+        require_quality(silver(spark, *rows), str(tmp_path / "report"))
+    assert caught.value.count == 150
+    report = caught.value.report(spark)
+    assert {r.escopo for r in report.collect()} == {f"s{i}" for i in range(150)}
+    assert {r.expectativa for r in report.collect()} == {BETWEEN}
 
 
-def test_gate_counts_more_failures_than_it_lists(spark, monkeypatch):
-    monkeypatch.setattr(quality, "LISTED_FAILURES", 2)
-    rows = [(i, f"s{i}", DAY, 2e6) for i in range(5)]
-    with pytest.raises(DataQualityError, match="5 quality problem") as caught:
-        require_quality(silver(spark, *rows))
-    assert [f["escopo"] for f in caught.value.failures] == ["s0", "s1"]
-    assert caught.value.report.count() == 5
-
-
-def test_large_range_tables_are_salted_with_equal_result(spark, monkeypatch):
+def test_ranges_as_a_table_and_as_a_mapping_agree(spark):
     rows = [
         (i, name, DAY, float(i % 30) if i % 11 else None)
         for i in range(200)
@@ -139,14 +131,27 @@ def test_large_range_tables_are_salted_with_equal_result(spark, monkeypatch):
     as_table = spark.createDataFrame(
         [("a", 3.0, 20.0), ("z", 0.0, 1.0)], "serie_nome string, minimo double, maximo double"
     )
-    small = sorted(range_violations(frame, ranges, (0, 25)).collect())
-    assert sorted(range_violations(frame, as_table, (0, 25)).collect()) == small
-    report = failures(frame, ranges=ranges, default=(0, 25))
-    monkeypatch.setattr(quality, "BROADCAST_ROWS", 1)
-    assert sorted(range_violations(frame, as_table, (0, 25)).collect()) == small
-    assert failures(frame, ranges=ranges, default=(0, 25)) == report
+    found = sorted(range_violations(frame, ranges, (0, 25)).collect())
+    assert sorted(range_violations(frame, as_table, (0, 25)).collect()) == found
     values = [(i % 30) if i % 11 else None for i in range(200)]
-    assert small == [
+    assert found == [
         ("a", sum(v is not None and not 3 <= v <= 20 for v in values)),
         ("b", sum(v is not None and not 0 <= v <= 25 for v in values)),
     ]
+
+
+@pytest.mark.parametrize("names", [("a", "a"), ("a", None), ("q", "q")])
+def test_repeated_or_null_range_names_are_refused(spark, names):
+    frame = silver(spark, (1, "a", None, 1.0), (2, "a", DAY, 2.0))
+    bad = spark.createDataFrame(
+        [(n, 0.0, 1.0) for n in names], "serie_nome string, minimo double, maximo double"
+    )
+    with pytest.raises(Exception, match="null or repeated"):
+        range_violations(frame, bad).collect()
+
+
+def test_plan_has_one_plain_join(spark):
+    frame = silver(spark, (1, "a", DAY, 1.0))
+    bounds = spark.range(5).selectExpr("string(id) serie_nome", "0D minimo", "1D maximo")
+    plan = range_violations(frame, bounds)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Join LeftOuter") == 1 and "hint" not in plan.lower()

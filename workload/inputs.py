@@ -7,6 +7,8 @@ and do not depend on the order in which tasks finish.
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeseries.operators.windows import year_windows
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -105,6 +107,74 @@ def customer_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def window_pages(spark: SparkSession, sf_dir: str, empty_windows: bool) -> DataFrame:
+    """Landed pages of yearly windows: every order, in the window of its customer.
+
+    A window runs from a customer's first order on. One without orders lands as
+    an empty list, or not at all.
+    """
+    orders = customer_pages(spark, sf_dir).select(
+        F.col("codigo").alias("_codigo"), F.col("janela_inicio").alias("_dia"),
+        "pagina", "status", "body",
+    )
+    windows = year_windows(customer_catalog(spark, sf_dir))
+    inside = (F.col("codigo") == F.col("_codigo")) & F.col("_dia").between(
+        F.col("janela_inicio"), F.col("janela_fim")
+    )
+    return windows.join(orders, inside, "left" if empty_windows else "inner").select(
+        "codigo",
+        "janela_inicio",
+        F.coalesce("pagina", F.lit(0).cast("long")).alias("pagina"),
+        F.coalesce("status", F.lit(200)).alias("status"),
+        F.coalesce("body", F.lit("[]")).alias("body"),
+    )
+
+
+def open_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Catalog: each customer from its first order, closed only if its last one was taken up.
+
+    The end is absent where the last order is pending, and empty where it is finished.
+    """
+    last = F.struct("o_orderdate", "o_orderkey")
+    by_customer = table(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("codigo")).agg(
+        F.min("o_orderdate").alias("inicio"),
+        F.max("o_orderdate").alias("fim"),
+        F.max_by("o_orderstatus", last).alias("estado"),
+    )
+    end = F.when(F.col("estado") == "F", "").when(
+        F.col("estado") != "P", br_text(F.to_date("fim"))
+    )
+    return by_customer.select(
+        F.col("codigo").cast("int").alias("codigo"),
+        F.concat(F.lit("cliente_"), F.col("codigo")).alias("nome"),
+        br_text(F.to_date("inicio")).alias("data_inicial"),
+        end.alias("data_final"),
+    )
+
+
+def broken_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw documents as text, cut off in the middle for pending orders."""
+    whole = F.concat(F.lit('{"codigo":'), F.col("o_custkey"), F.lit(',"nome":"c","registros":[]}'))
+    cut = F.concat(F.lit('{"codigo":'), F.col("o_custkey"), F.lit(',"nome":"c'))
+    return table(spark, sf_dir, "orders").select(
+        F.lit(0).alias("serie"),
+        F.lit("2026-07-23").alias("data_ingestao"),
+        F.when(F.col("o_orderstatus") == "P", cut).otherwise(whole).alias("value"),
+    )
+
+
+def segment_series(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver-shaped: one series per market segment and nation, so many months have none."""
+    customers = table(spark, sf_dir, "customer")
+    orders = table(spark, sf_dir, "orders")
+    return orders.join(customers, orders["o_custkey"] == customers["c_custkey"]).select(
+        F.col("c_nationkey").alias("serie_codigo"),
+        F.concat_ws("_", "c_mktsegment", "c_nationkey").alias("serie_nome"),
+        F.to_date("o_orderdate").alias("data"),
+        cents("o_totalprice").alias("valor"),
+    )
+
+
 def priority_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Landed pages of three ingestion days: one per order, series by priority.
 

@@ -119,15 +119,36 @@ FROM w WHERE janela_fim < fim
 """
 
 
-# Windows of the price catalog, joined to what landed for them.
-PLANNED = f"""
-WITH RECURSIVE r AS ({PRICE_REQUESTS}),
-w AS ({windows("SELECT * FROM r")}),
+CUSTOMER_REQUESTS = """
+SELECT o_custkey AS codigo, 'cliente_' || o_custkey AS nome,
+       CAST(min(o_orderdate) AS DATE) AS inicio, CAST(max(o_orderdate) AS DATE) AS fim
+FROM orders GROUP BY o_custkey
+"""
+
+OPEN_REQUESTS = """
+SELECT codigo, nome, inicio, CASE WHEN estado = 'O' THEN ultima ELSE DATE '2002-01-31' END AS fim
+FROM (SELECT o_custkey AS codigo, 'cliente_' || o_custkey AS nome,
+             CAST(min(o_orderdate) OVER (PARTITION BY o_custkey) AS DATE) AS inicio,
+             CAST(o_orderdate AS DATE) AS ultima, o_orderstatus AS estado,
+             row_number() OVER (
+                 PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn
+      FROM orders)
+WHERE rn = 1
+"""
+
+
+def planned(landed_empty: bool) -> str:
+    """Windows of the customers with the orders in them; an empty window has no order."""
+    missing = "NULL" if landed_empty else "'missing_page'"
+    return f"""
+WITH RECURSIVE w AS ({windows(CUSTOMER_REQUESTS)}),
 pages AS ({CUSTOMER_PAGES}),
 checked AS (
-  SELECT w.codigo, w.nome, w.janela_inicio, coalesce(p.pagina, 0) AS pagina, p.registros,
-         CASE WHEN p.pagina IS NULL THEN 'missing_page' ELSE p.erro END AS erro
-  FROM w LEFT JOIN pages p ON w.codigo = p.codigo AND w.janela_inicio = p.janela_inicio
+  SELECT w.codigo, w.nome, w.janela_inicio, coalesce(p.pagina, 0) AS pagina,
+         coalesce(p.registros, '') AS registros,
+         CASE WHEN p.pagina IS NULL THEN {missing} ELSE p.erro END AS erro
+  FROM w LEFT JOIN pages p ON w.codigo = p.codigo
+       AND p.janela_inicio BETWEEN w.janela_inicio AND w.janela_fim
 )
 """
 
@@ -135,11 +156,10 @@ checked AS (
 def documents(source: str) -> str:
     return f"""
 SELECT codigo, nome, '2026-07-23' AS data_ingestao,
-       CAST(2 * count(*) AS INTEGER) AS quantidade_registros,
-       string_agg(registros, '|' ORDER BY janela_inicio, pagina) AS texto
-FROM ({source}) AS d
-GROUP BY codigo, nome
-HAVING count(erro) = 0
+       CAST(CASE WHEN registros = '' THEN 0 ELSE 2 END AS INTEGER) AS quantidade_registros,
+       strftime(janela_inicio, '%Y-%m-%d') AS janela_inicio, pagina, registros AS texto
+FROM (SELECT *, count(erro) OVER (PARTITION BY codigo) AS erros FROM ({source}) AS d)
+WHERE erros = 0
 """
 
 
@@ -160,6 +180,18 @@ FROM (
 """
 
 
+SEGMENT_SERIES = """
+SELECT c_nationkey AS serie_codigo, c_mktsegment || '_' || c_nationkey AS serie_nome,
+       CAST(o_orderdate AS DATE) AS data, round(o_totalprice * 100) AS valor
+FROM orders JOIN customer ON o_custkey = c_custkey
+"""
+
+SEGMENT_COLUMNS = ", ".join(
+    f"max(CASE WHEN serie_nome = '{s}_{n}' THEN valor_medio END) AS \"{s}_{n}\""
+    for s in ("AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY")
+    for n in range(25)
+)
+
 MONTHLY_ORDERS = monthly(ORDER_SERIES)
 
 
@@ -206,6 +238,21 @@ SELECT CAST(coalesce(sum(n) FILTER (WHERE n > 1), 0) AS BIGINT) AS linhas_repeti
 FROM (SELECT count(*) AS n FROM ({source}) AS s GROUP BY serie_codigo, data)
 """
 
+QUALITY_REPORT = f"""
+SELECT 'expect_column_values_to_not_be_null' AS expectativa, 'global' AS escopo,
+       count(*) AS unexpected_count
+FROM ({EVENT_SERIES}) WHERE data IS NULL HAVING count(*) > 0
+UNION ALL
+SELECT 'expect_column_values_to_not_be_null', 'global', count(*)
+FROM ({EVENT_SERIES}) WHERE valor IS NULL OR isnan(valor) HAVING count(*) > 0
+UNION ALL
+SELECT 'expect_compound_columns_to_be_unique', 'global', linhas_repetidas
+FROM ({DUPLICATES.format(source=EVENT_SERIES)}) WHERE linhas_repetidas > 0
+UNION ALL
+SELECT 'expect_column_values_to_be_between', serie_nome, fora_da_faixa
+FROM ({RANGE_COUNTS}) WHERE fora_da_faixa > 0
+"""
+
 ORACLES = {
     "year_windows": f"""
 WITH RECURSIVE r AS (
@@ -236,15 +283,40 @@ SELECT codigo, nome, 'http_status' AS erro, count(*) AS paginas_com_erro
 FROM ({CUSTOMER_PAGES}) WHERE erro IS NOT NULL GROUP BY codigo, nome
 """,
     "ingestion_failures": f"""
-{PLANNED}
+{planned(landed_empty=False)}
 SELECT codigo, nome, erro
 FROM (SELECT *, row_number() OVER (PARTITION BY codigo ORDER BY janela_inicio, pagina) AS rn
       FROM checked WHERE erro IS NOT NULL)
 WHERE rn = 1
-UNION ALL
-SELECT codigo, nome, 'start_after_end' FROM r WHERE inicio > fim
 """,
-    "ingestion_documents": f"{PLANNED} {documents('SELECT * FROM checked')}",
+    "ingestion_documents": f"{planned(landed_empty=True)} {documents('SELECT * FROM checked')}",
+    "series_record_totals": f"""
+SELECT codigo, nome, '2026-07-23' AS data_ingestao, count(*) AS paginas,
+       CAST(2 * count(*) AS BIGINT) AS registros
+FROM ({CUSTOMER_PAGES}) GROUP BY codigo, nome HAVING count(erro) = 0
+""",
+    "unplanned_pages": f"""
+WITH RECURSIVE r AS ({PRICE_REQUESTS}),
+w AS ({windows("SELECT * FROM r")})
+SELECT codigo, janela_inicio, pagina, 'unplanned_page' AS erro
+FROM ({CUSTOMER_PAGES}) AS p
+WHERE NOT EXISTS (SELECT 1 FROM w WHERE w.codigo = p.codigo AND w.janela_inicio = p.janela_inicio)
+""",
+    "catalog_open_end": f"""
+WITH RECURSIVE w AS ({windows(OPEN_REQUESTS)})
+SELECT CAST(codigo AS INTEGER) AS codigo, nome, ordem, janela_inicio, janela_fim FROM w
+""",
+    "corrupt_documents": """
+SELECT '{"codigo":' || o_custkey || ',"nome":"c' AS texto FROM orders WHERE o_orderstatus = 'P'
+""",
+    "batch_metrics": f"""
+SELECT (SELECT count(*) * 2 FROM orders) AS records_read,
+       (SELECT count(*) * 2 FROM orders WHERE o_orderstatus = 'F') AS records_discarded,
+       (SELECT count(*) FROM orders WHERE o_orderstatus = 'P') AS corrupt_documents,
+       (SELECT count(*) FROM ({PRIORITY_SILVER})) AS silver_rows,
+       (SELECT count(*) FROM ({monthly(PRIORITY_SILVER)})) AS monthly_rows,
+       (SELECT count(*) FROM ({wide(PRIORITY_SILVER)})) AS comparison_rows
+""",
     "bronze_explode": """
 SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS serie_codigo,
        o_orderpriority AS serie_nome,
@@ -306,9 +378,9 @@ FROM ({monthly(CUSTOMER_SERIES)})
 """,
     "comparison_pivot": wide(ORDER_SERIES),
     "comparison_known_names": wide(ORDER_SERIES),
-    "pivot_sparse": wide(
-        f"SELECT * REPLACE (CASE WHEN valor > 49500000 THEN valor END AS valor) FROM ({ORDER_SERIES})"
-    ),
+    "pivot_sparse": f"""
+SELECT ano, mes, {SEGMENT_COLUMNS} FROM ({monthly(SEGMENT_SERIES)}) AS m GROUP BY ano, mes
+""",
     "quality_not_null": f"""
 SELECT count(*) AS linhas,
        count(*) FILTER (WHERE data IS NULL) AS data_nula,
@@ -324,23 +396,11 @@ SELECT serie_nome,
 FROM ({CUSTOMER_SERIES}) AS s
 LEFT JOIN (SELECT 'cliente_' || c_custkey AS serie_nome, 0.0 AS minimo,
                   round(c_acctbal * 100) * 40 AS maximo
-           FROM customer) AS b USING (serie_nome)
+           FROM customer WHERE c_acctbal >= 0) AS b USING (serie_nome)
 GROUP BY serie_nome
 """,
-    "quality_report": f"""
-SELECT 'expect_column_values_to_not_be_null' AS expectativa, 'global' AS escopo,
-       count(*) AS unexpected_count
-FROM ({EVENT_SERIES}) WHERE data IS NULL HAVING count(*) > 0
-UNION ALL
-SELECT 'expect_column_values_to_not_be_null', 'global', count(*)
-FROM ({EVENT_SERIES}) WHERE valor IS NULL OR isnan(valor) HAVING count(*) > 0
-UNION ALL
-SELECT 'expect_compound_columns_to_be_unique', 'global', linhas_repetidas
-FROM ({DUPLICATES.format(source=EVENT_SERIES)}) WHERE linhas_repetidas > 0
-UNION ALL
-SELECT 'expect_column_values_to_be_between', serie_nome, fora_da_faixa
-FROM ({RANGE_COUNTS}) WHERE fora_da_faixa > 0
-""",
+    "quality_report": QUALITY_REPORT,
+    "quality_gate_report": QUALITY_REPORT,
     "period_column": VIEW,
     "comparison_view": WIDE_VIEW,
     "detail_table": f"""

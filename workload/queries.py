@@ -1,5 +1,6 @@
 """One callable (spark, sf_dir) -> DataFrame per operator, over whole tables."""
 
+import dataclasses
 import datetime as dt
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,14 +14,17 @@ from lakeseries.schemas import SILVER_SCHEMA
 from lakeseries.sources import (
     bronze_glob,
     read_bronze,
+    read_catalog,
     read_table,
     stored,
     work_path,
     write_bronze,
     write_table,
 )
+from lakeseries.sources import corrupt_documents as read_corrupt
 from workload.inputs import (
     br_text,
+    broken_lines,
     cents,
     comma_text,
     customer_catalog,
@@ -29,14 +33,18 @@ from workload.inputs import (
     event_pages,
     event_series,
     lineitem_series,
+    open_catalog,
     order_series,
     price_catalog,
     priority_pages,
+    segment_series,
     table,
+    window_pages,
 )
 
 QUERIES = {}
 
+SEGMENTS = ["AUTOMOBILE", "BUILDING", "FURNITURE", "HOUSEHOLD", "MACHINERY"]
 PRIORITIES = ["1-URGENT", "2-HIGH", "3-MEDIUM", "4-NOT SPECIFIED", "5-LOW"]
 EVENT_RANGES = {"click": (0, 100), "purchase": (1, 250), "error": (2, 150)}
 EVENT_DEFAULT = (0, 300)
@@ -83,6 +91,8 @@ def _document_texts(documents: DataFrame) -> DataFrame:
         "nome",
         "data_ingestao",
         "quantidade_registros",
+        "janela_inicio",
+        "pagina",
         F.array_join(record, "|").alias("texto"),
     )
 
@@ -94,10 +104,19 @@ def page_concat(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _document_texts(pages.assemble_documents(checked, "2026-07-23"))
 
 
+def _isolated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    checked = stored(pages.validate_pages(customer_pages(spark, sf_dir)), "paginas")
+    return pages.assemble_documents(checked, "2026-07-23")
+
+
 @query
 def series_failure_isolation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    checked = stored(pages.validate_pages(customer_pages(spark, sf_dir)), "paginas")
-    return _document_texts(pages.assemble_documents(checked, "2026-07-23"))
+    return _document_texts(_isolated(spark, sf_dir))
+
+
+@query
+def series_record_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pages.series_totals(_isolated(spark, sf_dir))
 
 
 @query
@@ -107,17 +126,31 @@ def failed_series(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def ingestion_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = stored(price_catalog(spark, sf_dir), "catalogo")
-    return ingest_pages(catalog, customer_pages(spark, sf_dir)).failures
+    """Windows without orders did not land and fail their series."""
+    landed = window_pages(spark, sf_dir, empty_windows=False)
+    return ingest_pages(customer_catalog(spark, sf_dir), landed).failures
 
 
 @query
 def ingestion_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
-    catalog = stored(price_catalog(spark, sf_dir), "catalogo")
-    run = ingest_pages(catalog, customer_pages(spark, sf_dir), "2026-07-23")
+    landed = window_pages(spark, sf_dir, empty_windows=True)
+    run = ingest_pages(customer_catalog(spark, sf_dir), landed, "2026-07-23")
     return _document_texts(run.documents)
 
 
+@query
+def unplanned_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One page per order day: the catalog plans few of them."""
+    return ingest_pages(price_catalog(spark, sf_dir), customer_pages(spark, sf_dir)).unplanned
+
+
+@query
+def catalog_open_end(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "catalogo")
+    open_catalog(spark, sf_dir).write.json(path)
+    return windows.year_windows(read_catalog(spark, path), today=dt.date(2002, 1, 31))
+
+
 def _priority_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     checked = stored(pages.validate_pages(priority_pages(spark, sf_dir)), "paginas")
     return pages.assemble_documents(checked, F.col("dia"))
@@ -256,11 +289,9 @@ def comparison_known_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def pivot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Only the dearest orders have a value: many months lack some series."""
-    dear = order_series(spark, sf_dir).withColumn(
-        "valor", F.when(F.col("valor") > 49_500_000, F.col("valor"))
-    )
-    return gold.comparison(gold.monthly(dear, ordered=False), PRIORITIES)
+    """Series of a segment and a nation: many months lack some of them."""
+    names = [f"{segment}_{nation}" for segment in SEGMENTS for nation in range(25)]
+    return gold.comparison(gold.monthly(segment_series(spark, sf_dir), ordered=False), names)
 
 
 # Quality
@@ -283,8 +314,11 @@ def quality_range(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def quality_range_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Ranges as a table: each customer's orders against the customer's balance."""
-    bounds = table(spark, sf_dir, "customer").select(
+    """Ranges as a table: each customer's orders against the customer's balance.
+
+    Customers in debt have no range of their own.
+    """
+    bounds = table(spark, sf_dir, "customer").where("c_acctbal >= 0").select(
         F.concat(F.lit("cliente_"), F.col("c_custkey")).alias("serie_nome"),
         F.lit(0.0).alias("minimo"),
         (cents("c_acctbal") * 40).alias("maximo"),
@@ -297,6 +331,17 @@ def quality_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality_report(event_series(spark, sf_dir), EVENT_RANGES, EVENT_DEFAULT)
 
 
+@query
+def quality_gate_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The stored report of a gate that fails."""
+    path = work_path(spark, "qualidade")
+    try:
+        quality.require_quality(event_series(spark, sf_dir), path, EVENT_RANGES, EVENT_DEFAULT)
+    except quality.DataQualityError as error:
+        return error.report(spark)
+    raise AssertionError("the events have defects")
+
+
 # Consumer queries
 
 
@@ -390,20 +435,41 @@ def silver_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, path, schema=SILVER_SCHEMA)
 
 
-def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
+@query
+def corrupt_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    path = work_path(spark, "bronze")
+    broken_lines(spark, sf_dir).write.partitionBy("serie", "data_ingestao").text(path)
+    return read_corrupt(spark, bronze_glob(path)).select("texto")
+
+
+def _batch_config(spark: SparkSession, sf_dir: str) -> BatchConfig:
     base = work_path(spark, "batch")
     write_bronze(_priority_documents(spark, sf_dir), f"{base}/bronze")
-    config = BatchConfig(
+    return BatchConfig(
         bronze_glob=bronze_glob(f"{base}/bronze"),
         silver_path=f"{base}/silver",
         gold_monthly_path=f"{base}/mensal",
         gold_comparison_path=f"{base}/comparativo",
         default_range=(0, 100_000_000),
     )
+
+
+def _batch(spark: SparkSession, sf_dir: str) -> BatchConfig:
+    config = _batch_config(spark, sf_dir)
     run_batch(spark, config)
     return config
 
 
+@query
+def batch_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of a batch whose raw store also holds documents that cannot be read."""
+    config = _batch_config(spark, sf_dir)
+    raw = config.bronze_glob.split("/serie=")[0]
+    lines = broken_lines(spark, sf_dir)
+    lines.write.mode("append").partitionBy("serie", "data_ingestao").text(raw)
+    return spark.createDataFrame([dataclasses.asdict(run_batch(spark, config))])
+
+
 @query
 def gated_batch_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _batch(spark, sf_dir).gold_monthly_path)
