@@ -25,15 +25,23 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm.components import components
 from lakeseries.llm.stores import stored
-from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, ragged, slices, word_bounds
+from lakeseries.llm.vectors import (
+    PrefixHash,
+    column_bytes,
+    mix,
+    ragged,
+    release,
+    slices,
+    word_bounds,
+)
 
 SHINGLE = 5
 SIMILARITY = 0.8
 BANDS = 32
 ROWS = 6
-BLOCK = 4_096
+BLOCK_ITEMS = 500_000
 
-_TEXTS = 512
+_TEXTS = 128
 _LAYER = np.uint64(0xD6E8FEB86659FD93)
 _CELL = np.uint64(0xA0761D6478BD642F)
 _DART = np.uint64(0xE7037ED1A0B428DB)
@@ -123,6 +131,7 @@ def _sketch(words: int, bands: int, rows: int):
                                               pa.array(keys[has].reshape(-1)))],
                     ["node", "keys"],
                 )
+            release()
 
     return run
 
@@ -142,6 +151,7 @@ def _elements(words: int):
                                               pa.array(elements.view(np.int64)))],
                     ["node", "elements"],
                 )
+            release()
 
     return run
 
@@ -165,15 +175,22 @@ def _spanning(similarity: float):
 
     def run(key: tuple[pa.Scalar, ...], members: pa.Table) -> pa.Table:
         node = members.column("node").to_numpy()
+        own = members.column("own").to_numpy()
+        across = key[1] != key[2]  # two blocks: pairs inside one are met elsewhere
         lists = members.column("elements").combine_chunks()
         first = np.asarray(lists.offsets, np.int64)
         item = lists.values.to_numpy()
         size = np.diff(first)
         _, root = np.unique(members.column("root").to_numpy(), return_inverse=True)
         # Who has each element, by element.
-        known, number = np.unique(item, return_inverse=True)
-        owner = np.repeat(np.arange(len(node)), size)[np.argsort(number, kind="stable")]
-        begin = np.concatenate([[0], np.cumsum(np.bincount(number, minlength=len(known)))])
+        order = np.argsort(item, kind="stable")
+        new = np.ones(len(item), bool)
+        new[1:] = np.diff(item[order]) != 0
+        number = np.empty(len(item), np.int32)
+        number[order] = np.cumsum(new, dtype=np.int32) - 1
+        owner = np.repeat(np.arange(len(node), dtype=np.int32), size)[order]
+        begin = np.append(np.flatnonzero(new), len(item))
+        del order, new, item
         parent = np.arange(root.max() + 1)
         links = []
         for u in np.flatnonzero(root != np.bincount(root).argmax()):
@@ -182,12 +199,15 @@ def _spanning(similarity: float):
                 owner[ragged(begin[mine], begin[mine + 1] - begin[mine])], minlength=len(node)
             )
             near = np.flatnonzero(common >= similarity * (size[u] + size - common))
+            if across:
+                near = near[own[near] != own[u]]
             for v in near[parent[root[near]] != parent[root[u]]]:
                 here, there = parent[root[u]], parent[root[v]]
                 if here != there:
                     parent[parent == there] = here
                     links.append((node[u], node[v]))
         pairs = np.array(links, np.int64).reshape(-1, 2)
+        release()
         return pa.table({"a": pairs[:, 0], "b": pairs[:, 1]})
 
     return run
@@ -198,9 +218,9 @@ def _links(buckets: DataFrame, elements: DataFrame, similarity: float) -> DataFr
 
     Every bucket first gets a hub, which meets all other members. That settles
     buckets of two, and joins most of a group of near copies. Buckets of more
-    members that are not of one class then go to a task as a whole, each member
-    once with its shingles; a bucket of over ``BLOCK`` members goes in pairs of
-    blocks. Only links between classes come out.
+    members that are not of one class then go to a task, each member with its
+    shingles; a bucket of over ``BLOCK_ITEMS`` shingles goes in pairs of blocks.
+    Only links between classes come out.
     """
     stats = buckets.groupBy("bucket").agg(
         F.min(_order("node")).alias("hub"), F.count("*").alias("n")
@@ -210,23 +230,26 @@ def _links(buckets: DataFrame, elements: DataFrame, similarity: float) -> DataFr
         F.least("hub", "node").alias("a"), F.greatest("hub", "node").alias("b")
     )
     links = stored(_checked(pairs.distinct(), elements, similarity), "links")
-    members = buckets.join(stats.where("n > 2").select("bucket", "n"), "bucket")
-    members = members.join(components(links), "node", "left").select(
-        "bucket", "node", "n", F.coalesce("root", "node").alias("root")
+    members = buckets.join(stats.where("n > 2").select("bucket"), "bucket")
+    members = members.join(components(links), "node", "left").join(
+        elements.select("node", "items"), "node"
     )
+    members = members.select("bucket", "node", "items", F.coalesce("root", "node").alias("root"))
     members = stored(members, "members")
-    open_ = members.groupBy("bucket").agg(F.min("root").alias("low"), F.max("root").alias("high"))
-    open_ = open_.where("low < high").select("bucket")
-    blocks = F.ceil(F.col("n") / BLOCK).cast("int")
+    open_ = members.groupBy("bucket").agg(
+        F.min("root").alias("low"), F.max("root").alias("high"), F.sum("items").alias("all")
+    )
+    open_ = open_.where("low < high").select("bucket", "all")
+    blocks = F.ceil(F.col("all") / BLOCK_ITEMS).cast("int")
     placed = members.join(open_, "bucket").select(
         "bucket", "node", "root", F.pmod(F.xxhash64("node"), blocks).cast("int").alias("own"),
         F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"),
     )
     placed = placed.select(
-        "bucket", "node", "root",
+        "bucket", "node", "root", "own",
         F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"),
     )
-    more = placed.join(elements, "node").groupBy("bucket", "i", "j").applyInArrow(
+    more = placed.join(elements.drop("items"), "node").groupBy("bucket", "i", "j").applyInArrow(
         _spanning(similarity), "a long, b long"
     )
     return links.unionByName(more)
@@ -268,6 +291,7 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     elements = stored(
         rows_in.join(wanted, "id", "left_semi")
         .mapInArrow(_elements(words), "node long, elements array<long>")
+        .withColumn("items", F.size("elements"))
         .dropDuplicates(["node"]),
         "elements",
     )

@@ -17,10 +17,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
-from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, slices, word_bounds
+from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, release, slices, word_bounds
 
 SIZE = 1 << 16
-SAMPLE = 1_500  # texts of each grade
+SAMPLE = 600  # texts of each grade
 SAMPLE_CHARS = 20_000  # longer texts are not in the sample
 ROUNDS = 200
 KEEP = 0.5
@@ -73,14 +73,26 @@ def _tails(eta: np.ndarray, thresholds: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(eta[:, None] - thresholds[None, :], -30, 30)))
 
 
-def _fit(hashed: np.ndarray, first: np.ndarray, grade: np.ndarray, weight: np.ndarray) -> Model:
+def _means(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Text, feature and mean count of every feature that a text has."""
+    buffer, offsets = column_bytes(pa.array(texts, pa.string()))
+    parts = []
+    for a, b in slices(offsets, 500_000):
+        hashed, first = features(buffer[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a])
+        sizes = np.diff(first)
+        doc = np.repeat(np.arange(b - a), sizes * hashed.shape[1])
+        cell, count = np.unique(doc * SIZE + hashed.ravel(), return_counts=True)
+        doc = cell // SIZE
+        parts.append((doc + a, cell % SIZE, count / sizes[doc]))
+    doc, column, value = (np.concatenate(x) for x in zip(*parts, strict=True))
+    return doc, column, value
+
+
+def _fit(
+    doc: np.ndarray, column: np.ndarray, value: np.ndarray, grade: np.ndarray, weight: np.ndarray
+) -> Model:
     """Maximum weighted likelihood with a quadratic penalty, by Adam."""
     n_grades = int(grade.max()) + 1
-    sizes = np.diff(first)
-    doc = np.repeat(np.arange(len(sizes)), sizes * hashed.shape[1])
-    cell, number = np.unique(doc * SIZE + hashed.ravel(), return_inverse=True)
-    doc, column = cell // SIZE, cell % SIZE
-    value = np.bincount(number, minlength=len(cell)) / sizes[doc]
     share = np.array([weight[grade > j].sum() for j in range(n_grades - 1)]) / weight.sum()
     cuts = np.log((1 - share) / share)
     steps = np.log(np.maximum(np.diff(cuts), 1e-3))  # thresholds stay in order
@@ -131,13 +143,14 @@ def fit(rated: DataFrame) -> Model:
         rows += [(r["d"], grade, r["text"]) for r in part.select(draw.alias("d"), "text").collect()]
     rows.sort()
     grade = np.array([r[1] for r in rows])
-    buffer, offsets = column_bytes(pa.array([r[2] for r in rows], pa.string()))
-    hashed, first = features(buffer[offsets[0] : offsets[-1]], offsets - offsets[0])
-    has = np.diff(first) > 0
+    doc, column, value = _means([r[2] for r in rows])
+    has = np.bincount(doc, minlength=len(rows)) > 0
     drawn = np.bincount(grade, minlength=top + 1)
     weight = np.array([sizes[g] / drawn[g] for g in grade]) * has
     known = sorted(sizes)  # grades that no text has would have no finite threshold
-    model = _fit(hashed, first, np.searchsorted(known, grade), weight / weight.mean())
+    scale = weight / max(weight.mean(), 1e-12)
+    model = _fit(doc, column, value, np.searchsorted(known, grade), scale)
+    release()
     cuts = np.concatenate([[-30.0], model.thresholds])
     return Model(model.weights, np.array([cuts[np.searchsorted(known, j + 1)] for j in range(top)]))
 
@@ -167,6 +180,7 @@ def rate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                      pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(tails.ravel()))],
                     ["_row", "expected_grade", "tails"],
                 )
+            release()
 
     kinds = with_fields(rows, "expected_grade double, tails array<double>")
     return rows.mapInArrow(run, kinds).select("_row.*", "expected_grade", "tails")

@@ -9,6 +9,7 @@ from lakeseries.llm.decontaminate import benchmark_overlaps
 from lakeseries.llm.fingerprints import with_next
 from lakeseries.llm.licenses import license_notices, templates
 from lakeseries.llm.minhash import near_duplicates
+from lakeseries.llm.oracles import ORACLES
 from lakeseries.llm.quality import KEEP, fit, rate
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
@@ -129,4 +130,4 @@ QUERIES = {
     "op10_warc_revisits": op10_warc_revisits,
 }
 
-ORACLES: dict[str, str] = {}
+__all__ = ["ORACLES", "QUERIES"]

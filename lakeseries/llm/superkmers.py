@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeseries.llm.vectors import exact_classes, gathered, mix, sliding_minimum
+from lakeseries.llm.vectors import exact_classes, gathered, mix, release, sliding_minimum
 
 BUCKET_BYTES = 2_000_000
 MIN_BUCKETS = 256
@@ -245,6 +245,7 @@ def gone_ranges(
                     {"bucket": pa.array([r[0] for r in rows], pa.int32()),
                      "packed": pa.array([r[1] for r in rows], pa.binary())}
                 )
+            release()
 
     packed = keyed.select("_id", "_variant", "_text").mapInArrow(spread, "bucket int, packed binary")
     return settled(packed, settle).groupBy("_id", "_variant").agg(
@@ -264,6 +265,7 @@ def settled(
             {"_id": pa.array(strings.text_id[doc]), "_variant": pa.array(strings.text_variant[doc]),
              "lo": pa.array(first, pa.int64()), "hi": pa.array(end, pa.int64())}
         )
+        release()
 
     return packed.groupBy("bucket").applyInArrow(
         gather, "_id long, _variant long, lo long, hi long"

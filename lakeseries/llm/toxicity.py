@@ -23,10 +23,10 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.stores import stored
-from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, run_bounds, slices
+from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, release, run_bounds, slices
 
 SIZE = 1 << 18
-SAMPLE = 800  # documents of each label and of each of the two samples
+SAMPLE = 600  # documents of each label and of each of the two samples
 SAMPLE_CHARS = 20_000  # longer documents are not in the samples
 LEXICON = 50_000  # telling features, the most telling ones first
 EVIDENCE = 20.0
@@ -34,7 +34,7 @@ PRECISION = 0.8
 ROUNDS = 60
 THRESHOLD = 0.7
 CLEAR = 0.3  # marginals that count in sums
-CHAIN_BYTES = 6_000_000  # texts whose chains run side by side
+CHAIN_BYTES = 3_000_000  # texts whose chains run side by side
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -106,6 +106,7 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
                  pa.array(hits.astype(np.int64))],
                 ["feature", "n", "hits"],
             )
+        release()
 
 
 def telling_features(train: DataFrame) -> np.ndarray:
@@ -275,7 +276,9 @@ def fit(train: DataFrame) -> Model:
     n = {label: max(1, (y == label).sum()) for label in (0, 1)}
     scale = len(y) / sum(sizes.values())
     weight = np.where(y == 1, sizes[1] / n[1], sizes[0] / n[0]) * scale
-    return Model(model.emission, model.bias, model.start, model.transition, _fit_documents(x, y, weight))
+    document = _fit_documents(x, y, weight)
+    release()
+    return Model(model.emission, model.bias, model.start, model.transition, document)
 
 
 def _scored(texts: pa.Array, model: Model) -> tuple[np.ndarray, list[list[dict]]]:
@@ -318,6 +321,7 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
                 yield pa.RecordBatch.from_arrays(
                     [part, pa.array(scores), pa.array(spans, span)], ["_row", "score", "spans"]
                 )
+            release()
 
     kinds = with_fields(rows, "score double, spans array<struct<begin: long, end: long>>")
     return rows.mapInArrow(run, kinds).select("_row.*", "score", "spans")

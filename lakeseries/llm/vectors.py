@@ -5,6 +5,7 @@ come from prefix sums ``sum(value[i] * BASE**i)`` modulo 2**64: the difference
 of two sums, divided by ``BASE**start``, depends on the substring alone.
 """
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -17,6 +18,20 @@ _ONE = np.uint64(1)
 _tables: dict[str, np.ndarray] = {}
 
 
+try:
+    _LIBC = ctypes.CDLL("libc.so.6")
+    _LIBC.malloc_trim  # noqa: B018
+except (OSError, AttributeError):  # another C library
+    _LIBC = None
+
+
+def release() -> None:
+    """Give freed memory back, so that workers of several stages stay small."""
+    pa.default_memory_pool().release_unused()
+    if _LIBC is not None:
+        _LIBC.malloc_trim(0)
+
+
 def mix(values: np.ndarray) -> np.ndarray:
     """Spread the bits of 64-bit values; every bit depends on every other."""
     values = values ^ (values >> np.uint64(30))

@@ -2,7 +2,9 @@ import collections
 import random
 
 import numpy as np
+import pytest
 
+from lakeseries.llm import minhash
 from lakeseries.llm.components import components
 from lakeseries.llm.minhash import dart_signatures, near_duplicates
 
@@ -48,9 +50,11 @@ def test_near_copies(make_docs):
     assert all(r.class_size == sizes[r.class_id] for r in found)
 
 
-def test_a_chain_is_one_class(make_docs):
+@pytest.mark.parametrize("items", [500_000, 700])
+def test_a_chain_is_one_class(make_docs, monkeypatch, items):
+    monkeypatch.setattr(minhash, "BLOCK_ITEMS", items)
     words = [f"w{i}" for i in range(200)]
-    rows = [(i, " ".join(words[8 * i : 8 * i + 100])) for i in range(10)]
+    rows = [(i * 7 % 31, " ".join(words[4 * i : 4 * i + 100])) for i in range(24)]
     found = near_duplicates(make_docs(rows)).collect()
     assert {r.doc_id: r.class_id for r in found} == brute_force(rows)
 
