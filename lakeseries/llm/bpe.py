@@ -17,10 +17,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeseries.llm.rows import as_rows, with_fields
-from lakeseries.llm.vectors import gathered
+from lakeseries.llm.vectors import gathered, slices
 
-_CACHED = 300_000  # matches in a generation of those a worker remembers; it only saves time
+_CACHED = 200_000  # matches in a generation of those a worker remembers; it only saves time
 _CACHED_CHARS = 64
+_IDS = 1_000_000  # ids decoded at once, those of one text at least
 _LONG = 1_000_000  # texts whose matches are taken one by one
 
 
@@ -171,12 +172,20 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
         start = np.cumsum(length) - length
         for batch in batches:
             lists = batch.column("_row").field(ids)
-            decoded = []
-            for value in lists:
-                one = np.asarray(value.values if value.is_valid else [], np.int64)
-                decoded.append(gathered(buffer, start[one], length[one]).tobytes())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(decoded, pa.binary())], ["_row", "decoded"]
-            )
+            if lists.null_count:
+                lists = lists.fill_null([])
+            bounds = lists.offsets.to_numpy().astype(np.int64)
+            for a, b in slices(bounds, _IDS):
+                one = lists.values[bounds[a] : bounds[b]].to_numpy()
+                size = length[one]
+                plain = gathered(buffer, start[one], size)
+                ends = np.concatenate([[0], np.cumsum(size)])[bounds[a : b + 1] - bounds[a]]
+                decoded = pa.Array.from_buffers(
+                    pa.large_binary(), b - a, [None, pa.py_buffer(ends), pa.py_buffer(plain)]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("_row").slice(a, b - a), decoded.cast(pa.binary())],
+                    ["_row", "decoded"],
+                )
 
     return rows.mapInArrow(run, with_fields(rows, "decoded binary")).select("_row.*", "decoded")
