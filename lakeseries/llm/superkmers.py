@@ -18,10 +18,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from lakeseries.llm.vectors import exact_classes, gathered, mix, release, sliding_minimum
+from lakeseries.llm.vectors import exact_classes, gathered, mix, release, sliding_minimum, string_hashes
 
 BUCKET_BYTES = 2_000_000
 MIN_BUCKETS = 256
+PACK_BYTES = 16_000_000  # strings that are dealt to buckets at once
 MAX_ID = (1 << 63) - 1
 
 _BLOCK = 1 << 22
@@ -225,6 +226,21 @@ def bucket_count(keyed: DataFrame) -> int:
     return max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
 
 
+def _packs(held: list[Strings], n_buckets: int) -> pa.RecordBatch:
+    """Packs of the strings of several slices, equal ones folded once more."""
+    strings = held[0]
+    if len(held) > 1:
+        strings = joined(held)
+        starts = np.cumsum(strings.length) - strings.length
+        hashes = string_hashes(strings.text, starts, strings.length)
+        strings = collapse(strings, hashes, by_order=False)
+    rows = list(dealt(strings, n_buckets))
+    return pa.RecordBatch.from_pydict(
+        {"bucket": pa.array([r[0] for r in rows], pa.int32()),
+         "packed": pa.array([r[1] for r in rows], pa.binary())}
+    )
+
+
 def gone_ranges(
     keyed: DataFrame,
     n_buckets: int,
@@ -233,19 +249,22 @@ def gone_ranges(
 ) -> DataFrame:
     """Ranges of symbols that repeat, as a list per text (``_id``, ``_variant``, ``_gone``).
 
-    ``cut`` turns a batch of (id, variant, text) into collapsed strings;
+    ``cut`` turns a batch of (id, variant, text) into strings that are collapsed,
+    not by order;
     ``settle`` gives document, first and end of the ranges in a bucket.
     """
 
-    def spread(batches):
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[Strings] = []
         for batch in batches:
             for strings in cut(batch):
-                rows = list(dealt(strings, n_buckets))
-                yield pa.RecordBatch.from_pydict(
-                    {"bucket": pa.array([r[0] for r in rows], pa.int32()),
-                     "packed": pa.array([r[1] for r in rows], pa.binary())}
-                )
+                held.append(strings)
+                if sum(len(x.text) for x in held) >= PACK_BYTES:
+                    yield _packs(held, n_buckets)
+                    held.clear()
             release()
+        if held:
+            yield _packs(held, n_buckets)
 
     packed = keyed.select("_id", "_variant", "_text").mapInArrow(spread, "bucket int, packed binary")
     return settled(packed, settle).groupBy("_id", "_variant").agg(
