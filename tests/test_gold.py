@@ -3,6 +3,7 @@ import random
 
 from lakeseries.operators.gold import comparison, monthly
 
+# The rows of the ported cases.
 SILVER = [
     (11, "selic_diaria", dt.date(2024, 1, 1), 11.75),
     (11, "selic_diaria", dt.date(2024, 1, 15), 11.75),
