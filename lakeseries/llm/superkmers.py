@@ -22,7 +22,7 @@ from lakeseries.llm.vectors import exact_classes, gathered, mix, release, slidin
 
 BUCKET_BYTES = 2_000_000
 MIN_BUCKETS = 256
-PACK_BYTES = 16_000_000  # strings that are dealt to buckets at once
+PACK_BYTES = 8_000_000  # strings that are dealt to buckets at once
 MAX_ID = (1 << 63) - 1
 
 _BLOCK = 1 << 22
