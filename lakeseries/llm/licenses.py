@@ -6,7 +6,8 @@ lies on the grid of a document's windows, the template has a window with the sam
 words around it. A band is one coordinate of the MinHash; two windows that share
 a quarter of their shingles, the least that a five-word notice can, meet in one
 of 24 bands with a probability of 0.999, and equal windows always do. Templates
-that meet a document are verified by exact containment of their shingles.
+that meet a document are verified by exact containment of their shingles, which
+the same pass over the windows finds: no text is shuffled.
 """
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +17,7 @@ from lakeseries.llm.shingled import hashes, keyed, meet, words
 
 SHINGLE = 5
 WINDOW = 8
+PER_WINDOW = WINDOW - SHINGLE + 1
 BANDS = 24
 CONTAINMENT = 0.8
 
@@ -60,34 +62,36 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, license string, text string")
 
 
-def _shingles(array: str) -> Column:
-    """The distinct shingles of an array of word hashes."""
-    last = F.size(array) - SHINGLE + 1
-    each = F.transform(
-        F.sequence(F.lit(0), last - 1),
-        lambda i: F.xxhash64(*[F.get(F.col(array), i + j) for j in range(SHINGLE)]),
-    )
-    return F.array_distinct(F.when(last > 0, each).otherwise(F.array().cast("array<bigint>")))
-
-
-def _bands(rows: DataFrame, keep: list[str], step: int) -> DataFrame:
-    """``band`` keys of the windows of ``hashed``, one window every ``step`` words."""
+def _windows(rows: DataFrame, keep: list[str], step: int) -> DataFrame:
+    """Shingles ``s0``, ``s1``, ... of windows of ``hashed``, one window every ``step`` words."""
     starts = F.sequence(F.lit(1), F.greatest(F.size("hashed") - SHINGLE + 1, F.lit(1)), F.lit(step))
     cut = F.transform(starts, lambda s: F.slice("hashed", s, WINDOW))
     windows = rows.where(F.size("hashed") >= SHINGLE).select(*keep, F.explode(cut).alias("w"))
     word = [F.get("w", F.lit(i)) for i in range(WINDOW)]
-    shingle = [
+    shingles = [
         F.when(word[i + SHINGLE - 1].isNotNull(), F.xxhash64(*word[i : i + SHINGLE])).alias(f"s{i}")
-        for i in range(WINDOW - SHINGLE + 1)
+        for i in range(PER_WINDOW)
     ]
-    windows = windows.select(*keep, *shingle)
-    # A coordinate orders shingles by their hash under a mask of its own.
+    return windows.select(*keep, *shingles)
+
+
+def _bands() -> list[Column]:
+    """A key for every band of a window: the least shingle in an order of the band's own."""
     keys = []
     for band in range(BANDS):
         mask = F.xxhash64(F.lit(f"band {band}"))
-        least = F.least(*[F.col(f"s{i}").bitwiseXOR(mask) for i in range(len(shingle))])
+        least = F.least(*[F.col(f"s{i}").bitwiseXOR(mask) for i in range(PER_WINDOW)])
         keys.append(F.xxhash64(F.lit(band), least))
-    return windows.select(*keep, F.explode(F.array(*keys)).alias("band"))
+    return keys
+
+
+def _shingles() -> list[Column]:
+    return [F.col(f"s{i}") for i in range(PER_WINDOW)]
+
+
+def _keys(windows: DataFrame, keep: list[str], keys: list[Column]) -> DataFrame:
+    found = windows.select(*keep, F.explode(F.array(*keys)).alias("key"))
+    return found.where(F.col("key").isNotNull())
 
 
 def license_notices(
@@ -102,30 +106,29 @@ def license_notices(
 
     Words are lower-cased runs of letters and digits. Null texts and texts or
     templates of fewer than five words have no shingles and no findings.
-    Repeated rows give one finding. Null ids are kept. The bands of ``notices``
-    are broadcast in blocks of bounded size, each one pass over the documents.
+    Repeated rows give one finding. Null ids are kept. The bands and shingles
+    of ``notices`` are broadcast in blocks of bounded size, each one pass over the documents.
     """
-    known = notices.select(
-        "template", "license", hashes(words(F.col("text"))).alias("hashed")
-    ).withColumn("parts", _shingles("hashed"))
+    known = notices.select("template", "license", hashes(words(F.col("text"))).alias("hashed"))
     # Windows of a template at every place, also those that hang over its end.
-    template_bands = _bands(known, ["template"], 1).distinct()
+    cut = _windows(known, ["template"], 1)
+    bands = _keys(cut, ["template"], _bands()).distinct().withColumn("band", F.lit(True))
+    parts = _keys(cut, ["template"], _shingles()).distinct().withColumn("band", F.lit(False))
     rows = keyed(docs, text, id_column)
     hashed = rows.select("doc", "variant", hashes(words("text")).alias("hashed"))
-    met = meet(_bands(hashed, ["doc", "variant"], WINDOW // 2), template_bands, "band")
-    met = met.select("doc", "variant", "template").distinct()
-    met = met.groupBy("doc", "variant").agg(F.collect_set("template").alias("templates"))
-    # Repeated rows come together again in the last aggregate.
-    texts = rows.withColumnRenamed("doc", "_doc")
-    found = met.join(texts, "variant").where(F.col("doc").eqNullSafe(F.col("_doc")))
-    found = found.select("doc", "variant", "templates", hashes(words("text")).alias("hashed"))
-    found = found.withColumn("have", _shingles("hashed")).select(
-        "doc", "variant", "have", F.explode("templates").alias("template")
+    # Windows half a window apart hold every shingle of a document once.
+    windows = _windows(hashed, ["doc", "variant"], WINDOW // 2)
+    keys = _keys(windows, ["doc", "variant"], [*_bands(), *_shingles()])
+    met = meet(keys, bands.unionByName(parts), "key").groupBy("doc", "variant", "template").agg(
+        F.bool_or("band").alias("retrieved"),
+        F.size(F.collect_set(F.when(~F.col("band"), F.col("key")))).alias("common"),
+    )
+    sizes = parts.groupBy("template").agg(F.count("*").alias("n"))
+    pairs = met.where("retrieved").join(sizes, "template").join(
+        known.select("template", "license"), "template"
     )
-    pairs = found.join(known.select("template", "license", "parts"), "template")
-    common = F.size(F.array_intersect("have", "parts"))
     return (
-        pairs.select("doc", "variant", "license", (common / F.size("parts")).alias("containment"))
+        pairs.select("doc", "variant", "license", (F.col("common") / F.col("n")).alias("containment"))
         .where(F.col("containment") >= CONTAINMENT)
         .groupBy("doc", "variant", "license")
         .agg(F.max("containment").alias("containment"))
