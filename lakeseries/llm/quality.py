@@ -24,6 +24,7 @@ SAMPLE = 600  # texts of each grade
 SAMPLE_CHARS = 20_000  # longer texts are not in the sample
 ROUNDS = 200
 KEEP = 0.5
+SLICE = 1_000_000  # bytes of texts rated at once
 
 # Shape of a byte: lower case, upper case, digit, beyond ASCII, or the sign itself.
 _SHAPE = np.arange(256, dtype=np.uint8)
@@ -40,7 +41,8 @@ def features(buffer: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
     """Hashed features of every token (a row each), and the first token of each text."""
     starts, ends, first = word_bounds(buffer, bounds)
     size = ends - starts
-    form = PrefixHash(buffer).of(starts, size)
+    plain = PrefixHash(buffer)
+    form = plain.of(starts, size)
     shape = PrefixHash(_SHAPE[buffer])
     again = np.zeros(len(form), bool)
     again[1:] = form[1:] == form[:-1]
@@ -50,7 +52,7 @@ def features(buffer: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
         form,
         shape.of(starts, np.minimum(size, 6)),
         shape.of(ends - tail, tail),
-        PrefixHash(buffer).of(ends - tail, tail),
+        plain.of(ends - tail, tail),
         again.astype(np.uint64),
     ]
     kinds = [mix(x * np.uint64(8) + np.uint64(i + 1)) for i, x in enumerate(columns)]
@@ -169,7 +171,7 @@ def rate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
         model = shared.value
         for batch in batches:
             everything, offsets = column_bytes(batch.column("_row").field(text))
-            for a, b in slices(offsets):
+            for a, b in slices(offsets, SLICE):
                 hashed, first = features(
                     everything[offsets[a] : offsets[b]], offsets[a : b + 1] - offsets[a]
                 )
