@@ -1,16 +1,13 @@
-"""License notices in documents, retrieved by MinHash bands over text windows.
+"""License notices in documents, retrieved by their five-word shingles.
 
-Documents are cut into windows of ``WINDOW`` words that overlap by half, each with
-its five-word shingles. A template is cut at every place, so wherever a notice
-lies on the grid of a document's windows, the template has a window with the same
-words around it. A band is one coordinate of the MinHash; two windows that share
-a quarter of their shingles, the least that a five-word notice can, meet in one
-of 24 bands with a probability of 0.999, and equal windows always do. Templates
-that meet a document are verified by exact containment of their shingles, which
-the same pass over the windows finds: no text is shuffled.
+Documents are cut into windows of ``WINDOW`` words, each with its five-word
+shingles; windows overlap so that every shingle is in one of them. Each shingle
+of a document meets the equal shingles of all templates. A template that shares
+any is verified by exact containment, which the same pass finds: no finding
+depends on chance, and no text is shuffled.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.llm.shingled import hashes, keyed, meet, words
@@ -18,7 +15,6 @@ from lakeseries.llm.shingled import hashes, keyed, meet, words
 SHINGLE = 5
 WINDOW = 8
 PER_WINDOW = WINDOW - SHINGLE + 1
-BANDS = 24
 CONTAINMENT = 0.8
 
 # Notices as licenses ask for them.
@@ -62,35 +58,17 @@ def templates(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, "template int, license string, text string")
 
 
-def _windows(rows: DataFrame, keep: list[str], step: int) -> DataFrame:
-    """Shingles ``s0``, ``s1``, ... of windows of ``hashed``, one window every ``step`` words."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size("hashed") - SHINGLE + 1, F.lit(1)), F.lit(step))
+def _shingles(rows: DataFrame, keep: list[str]) -> DataFrame:
+    """``key``: the hash of every shingle of ``hashed``, from windows ``PER_WINDOW`` words apart."""
+    starts = F.sequence(F.lit(1), F.greatest(F.size("hashed") - SHINGLE + 1, F.lit(1)), F.lit(PER_WINDOW))
     cut = F.transform(starts, lambda s: F.slice("hashed", s, WINDOW))
     windows = rows.where(F.size("hashed") >= SHINGLE).select(*keep, F.explode(cut).alias("w"))
     word = [F.get("w", F.lit(i)) for i in range(WINDOW)]
     shingles = [
-        F.when(word[i + SHINGLE - 1].isNotNull(), F.xxhash64(*word[i : i + SHINGLE])).alias(f"s{i}")
+        F.when(word[i + SHINGLE - 1].isNotNull(), F.xxhash64(*word[i : i + SHINGLE]))
         for i in range(PER_WINDOW)
     ]
-    return windows.select(*keep, *shingles)
-
-
-def _bands() -> list[Column]:
-    """A key for every band of a window: the least shingle in an order of the band's own."""
-    keys = []
-    for band in range(BANDS):
-        mask = F.xxhash64(F.lit(f"band {band}"))
-        least = F.least(*[F.col(f"s{i}").bitwiseXOR(mask) for i in range(PER_WINDOW)])
-        keys.append(F.xxhash64(F.lit(band), least))
-    return keys
-
-
-def _shingles() -> list[Column]:
-    return [F.col(f"s{i}") for i in range(PER_WINDOW)]
-
-
-def _keys(windows: DataFrame, keep: list[str], keys: list[Column]) -> DataFrame:
-    found = windows.select(*keep, F.explode(F.array(*keys)).alias("key"))
+    found = windows.select(*keep, F.explode(F.array(*shingles)).alias("key"))
     return found.where(F.col("key").isNotNull())
 
 
@@ -106,27 +84,19 @@ def license_notices(
 
     Words are lower-cased runs of letters and digits. Null texts and texts or
     templates of fewer than five words have no shingles and no findings.
-    Repeated rows give one finding. Null ids are kept. The bands and shingles
-    of ``notices`` are broadcast in blocks of bounded size, each one pass over the documents.
+    Repeated rows give one finding. Null ids are kept. The shingles of ``notices``
+    are broadcast in blocks of bounded size, each one pass over the documents.
     """
     known = notices.select("template", "license", hashes(words(F.col("text"))).alias("hashed"))
-    # Windows of a template at every place, also those that hang over its end.
-    cut = _windows(known, ["template"], 1)
-    bands = _keys(cut, ["template"], _bands()).distinct().withColumn("band", F.lit(True))
-    parts = _keys(cut, ["template"], _shingles()).distinct().withColumn("band", F.lit(False))
+    parts = _shingles(known, ["template"]).distinct()
     rows = keyed(docs, text, id_column)
     hashed = rows.select("doc", "variant", hashes(words("text")).alias("hashed"))
-    # Windows half a window apart hold every shingle of a document once.
-    windows = _windows(hashed, ["doc", "variant"], WINDOW // 2)
-    keys = _keys(windows, ["doc", "variant"], [*_bands(), *_shingles()])
-    met = meet(keys, bands.unionByName(parts), "key").groupBy("doc", "variant", "template").agg(
-        F.bool_or("band").alias("retrieved"),
-        F.size(F.collect_set(F.when(~F.col("band"), F.col("key")))).alias("common"),
+    met = meet(_shingles(hashed, ["doc", "variant"]), parts, "key")
+    met = met.groupBy("doc", "variant", "template").agg(
+        F.size(F.collect_set("key")).alias("common")
     )
     sizes = parts.groupBy("template").agg(F.count("*").alias("n"))
-    pairs = met.where("retrieved").join(sizes, "template").join(
-        known.select("template", "license"), "template"
-    )
+    pairs = met.join(sizes, "template").join(known.select("template", "license"), "template")
     return (
         pairs.select("doc", "variant", "license", (F.col("common") / F.col("n")).alias("containment"))
         .where(F.col("containment") >= CONTAINMENT)

@@ -1,4 +1,5 @@
 import collections
+import random
 
 import regex
 
@@ -37,6 +38,18 @@ def test_every_notice_at_every_place(spark, make_docs):
     assert collections.Counter(r.doc for r in found)[len(texts) - 1] == 0
 
 
+def test_five_words_among_any_neighbours(spark, make_docs):
+    rng = random.Random(11)
+    notices = ["Released under the BSD License.", "Released under the MIT License."]
+    texts = []
+    for i in range(4_000):
+        head, tail = ([f"w{rng.randrange(10**6)}" for _ in range(n)] for n in (4 + i % 4, 8))
+        texts.append(" ".join([*head, notices[i // 4 % 2], *tail]))
+    found = license_notices(make_docs(texts), templates(spark)).collect()
+    assert {(r.doc, r.license): r.containment for r in found} == brute_force(enumerate(texts))
+    assert len(found) == len(texts)
+
+
 def test_odd_texts(spark, make_docs, odd_texts):
     mit = "Released under the MIT License."
     rows = [*enumerate(odd_texts), (40, mit), (40, mit), (None, mit), (41, mit.replace(" ", "　"))]
