@@ -74,18 +74,21 @@ def benchmark_overlaps(
     """
     items = benchmark.select(F.col("item_id"), words(F.col("text")).alias("item_words"))
     items = items.where(F.size("item_words") >= window).distinct()
+    # A key of its own for every item, also those without an id.
+    own = F.xxhash64(F.col("item_id").isNull(), "item_id", "item_words")
+    items = items.withColumn("item", own)
     item_seeds = _seeds(items.withColumn("hashed", hashes(F.col("item_words"))), masks,
-                        ["item_id"]).select("item_id", F.col("at").alias("item_at"), "seed")
+                        ["item"]).select("item", F.col("at").alias("item_at"), "seed")
     item_seeds = item_seeds.distinct()
     rows = keyed(docs, text, id_column)
     hashed = rows.withColumn("hashed", hashes(words("text"))).select("doc", "variant", "hashed")
     doc_seeds = _seeds(hashed, masks, ["doc", "variant"])
     hits = meet(doc_seeds, item_seeds, "seed").select(
-        "doc", "variant", "item_id", (F.col("at") - F.col("item_at")).alias("shift")
+        "doc", "variant", "item", (F.col("at") - F.col("item_at")).alias("shift")
     )
     # Ways to lie, per document; then the words of both sides come together.
     lies = hits.distinct().groupBy("doc", "variant").agg(
-        F.collect_set(F.struct("item_id", "shift")).alias("lies")
+        F.collect_set(F.struct("item", "shift")).alias("lies")
     )
     # Repeated rows come together again in the last aggregate.
     texts = rows.withColumnRenamed("doc", "_doc")
@@ -98,7 +101,7 @@ def benchmark_overlaps(
             (shift + i >= 0) & (F.get("doc_words", shift + i) == w), F.lit(False)
         ),
     )
-    pairs = met.select("doc", "variant", "doc_words", F.inline("lies")).join(items, "item_id")
+    pairs = met.select("doc", "variant", "doc_words", F.inline("lies")).join(items, "item")
     return (
         pairs.select("doc", "variant", "item_id", _best_window(covered, window).alias("matched"))
         .where(F.col("matched") >= window - substitutions)

@@ -36,6 +36,16 @@ def test_blocks_of_seeds_change_nothing(make_docs, benchmark, monkeypatch):
     assert sorted(map(tuple, benchmark_overlaps(docs, benchmark).collect())) == whole
 
 
+def test_items_without_an_id_are_found(make_docs, benchmark):
+    leak = "a " + " ".join(f"other{i}" for i in range(13)) + " b"
+    docs = make_docs([(1, leak), (None, leak), (2, "clean")])
+    found = benchmark_overlaps(docs, benchmark).collect()
+    assert sorted(((r.doc, r.item_id, r.matched) for r in found), key=repr) == [
+        (1, None, 13), (None, None, 13),
+    ]
+    assert [r.doc_id for r in without_overlaps(docs, benchmark).collect()] == [2]
+
+
 def test_clean_rows_stay_as_they_are(make_docs, benchmark, odd_texts):
     leak = " ".join(ITEM)
     rows = [*enumerate(odd_texts), (50, leak), (50, "clean"), (50, leak), (None, leak), (None, "clean")]
