@@ -29,16 +29,22 @@ def keyed(docs: DataFrame, text: str, id_column: str) -> DataFrame:
 ROWS_AT_ONCE = 250_000
 
 
+def blocks(few: DataFrame) -> list[DataFrame]:
+    """``few`` in blocks of about ``ROWS_AT_ONCE`` rows, dealt by a hash of the whole row."""
+    n = max(1, -(-few.count() // ROWS_AT_ONCE))
+    place = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in few.columns]), F.lit(n))
+    return [few.where(place == block) for block in range(n)]
+
+
 def meet(many: DataFrame, few: DataFrame, key: str) -> DataFrame:
     """Inner join on a column of numbers, ``few`` broadcast in blocks of bounded size.
 
-    ``few`` is a stated query set of a few numbers per row. Each block of about
-    ``ROWS_AT_ONCE`` rows is one pass over ``many``; a small set is one block.
+    ``few`` is a stated query set of a few numbers per row, without repeated rows.
+    Each block is one pass over ``many``; a small set is one block. Rows of one
+    key may be in several blocks, so a frequent key makes no block greater.
     """
-    blocks = max(1, -(-few.count() // ROWS_AT_ONCE))
     met = None
-    for block in range(blocks):
-        part = few.where(F.pmod(F.xxhash64(key), F.lit(blocks)) == block)
-        part = many.join(F.broadcast(part), key)
+    for block in blocks(few):
+        part = many.join(F.broadcast(block), key)
         met = part if met is None else met.unionByName(part)
     return met

@@ -36,6 +36,17 @@ def test_blocks_of_seeds_change_nothing(make_docs, benchmark, monkeypatch):
     assert sorted(map(tuple, benchmark_overlaps(docs, benchmark).collect())) == whole
 
 
+def test_blocks_are_bounded_where_items_share_a_seed(spark, make_docs, monkeypatch):
+    monkeypatch.setattr(shingled, "ROWS_AT_ONCE", 100)
+    few = spark.range(1_000).selectExpr("id as item", "7L as seed")
+    many = spark.createDataFrame([(1, 7), (2, 8)], "doc long, seed long")
+    sizes = []
+    monkeypatch.setattr(shingled.F, "broadcast", lambda block: sizes.append(block.count()) or block)
+    found = shingled.meet(many, few, "seed").collect()
+    assert sorted((r.doc, r.item) for r in found) == [(1, i) for i in range(1_000)]
+    assert len(sizes) == 10 and sum(sizes) == 1_000 and max(sizes) < 200
+
+
 def test_items_without_an_id_are_found(make_docs, benchmark):
     leak = "a " + " ".join(f"other{i}" for i in range(13)) + " b"
     docs = make_docs([(1, leak), (None, leak), (2, "clean")])
