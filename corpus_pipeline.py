@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm.bpe import decode, encode
 from lakeseries.llm.decontaminate import without_overlaps
-from lakeseries.llm.minhash import near_duplicates
+from lakeseries.llm.minhash import near_classes
 from lakeseries.llm.stores import stored
 from lakeseries.llm.toxicity import THRESHOLD, train_and_score
 from lakeseries.llm.windows import repeated_windows
@@ -32,13 +32,15 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document with the least id of every class; rows equal in id and text count once.
 
-    Documents without an id are in no class and stay.
+    Rows of one id with different texts are different documents. Documents without
+    an id are in no class and stay.
     """
-    found = near_duplicates(docs).select(F.col("doc_id").alias("id"), "class_id")
-    gone = found.where("id <> class_id").select("id").distinct()
-    kept = docs.select(*COLUMNS).join(gone, F.col("doc_id") == F.col("id"), "left_anti")
-    named = kept.where("doc_id is not null").dropDuplicates(["doc_id"])
-    return named.unionByName(kept.where("doc_id is null"))
+    gone = near_classes(docs).where("not first").select("id", "variant").distinct()
+    rows = docs.select(*COLUMNS, F.xxhash64(F.coalesce("text", F.lit(""))).alias("_variant"))
+    same = (F.col("doc_id") == F.col("id")) & (F.col("_variant") == F.col("variant"))
+    kept = rows.join(gone, same, "left_anti")
+    named = kept.where("doc_id is not null").dropDuplicates(["doc_id", "_variant"])
+    return named.unionByName(kept.where("doc_id is null")).select(*COLUMNS)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -20,7 +20,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lakeseries.llm.components import components
@@ -266,30 +266,47 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     pair of similarity 0.8 is missed with a probability of 0.00006.
 
     A text without words (null, empty, blank) is alone in its class. Rows with
-    the same id and the same words are one class; the same id with other words
-    is an error of the input and joins both classes. A null id is kept, in no
-    class (``class_id`` null, size 1).
+    the same id and the same words are one class; rows of one id with other words
+    are texts of their own. A null id is kept, in no class (``class_id`` null,
+    size 1).
+    """
+    found = near_classes(docs, text, id_column, words, similarity, bands, rows)
+    return found.select(F.col("id").alias(id_column), "class_id", "class_size")
+
+
+def near_classes(docs: DataFrame, text: str = "text", id_column: str = "doc_id",
+                 words: int = SHINGLE, similarity: float = SIMILARITY,
+                 bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """``near_duplicates`` with ``id``, ``variant`` and ``first``.
+
+    ``variant`` is a hash of the text, which tells rows with the same id apart;
+    ``first`` says that the row has the least id, and then variant, of its class.
     """
     rows_in = docs.select(
-        F.col(f"`{id_column}`").alias("id"), F.lower(F.col(f"`{text}`")).alias("text")
-    )
+        F.col(f"`{id_column}`").alias("id"), F.lower(F.col(f"`{text}`")).alias("text"),
+        F.xxhash64(F.coalesce(F.col(f"`{text}`"), F.lit(""))).alias("variant"),
+    )
     words_of = F.trim(F.regexp_replace(F.coalesce("text", F.lit("")), r"[\x20\x09-\x0D]+", " "))
+    rows_in = rows_in.withColumn("content", F.sha2(words_of, 256))
     content = stored(
-        rows_in.select("id", F.sha2(words_of, 256).alias("content"), (words_of == "").alias("blank")),
-        "contents",
+        rows_in.select("id", "variant", "content", (words_of == "").alias("blank")), "contents"
     )
     node = content.where("id is not null and not blank").groupBy("content").agg(
-        F.min("id").alias("node")
+        F.min("id").alias("id")
     )
+    # The least id names a text, unless other words have that id as well.
+    alone = F.count("*").over(Window.partitionBy("id")) == 1
+    node = node.withColumn("node", F.when(alone, F.col("id")).otherwise(F.xxhash64("content")))
     node = stored(node, "nodes")
-    texts = rows_in.join(node.select(F.col("node").alias("id")).distinct(), "id", "left_semi")
+    texts = rows_in.join(node, ["id", "content"]).select("node", "text")
     sketches = texts.mapInArrow(_sketch(words, bands, rows), "node long, keys array<long>")
     keyed = stored(sketches.select("node", F.explode("keys").alias("bucket")).distinct(), "keys")
     several = keyed.groupBy("bucket").count().where("count > 1").select("bucket")
     buckets = stored(keyed.join(several, "bucket"), "buckets")
-    wanted = buckets.select(F.col("node").alias("id")).distinct()
+    wanted = node.join(buckets.select("node").distinct(), "node", "left_semi")
     elements = stored(
-        rows_in.join(wanted, "id", "left_semi")
+        rows_in.join(wanted, ["id", "content"])
+        .select("node", "text")
         .mapInArrow(_elements(words), "node long, elements array<long>")
         .withColumn("items", F.size("elements"))
         .dropDuplicates(["node"]),
@@ -297,15 +314,18 @@ def near_duplicates(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     )
     classes = components(_links(buckets, elements, similarity))
     known = node.join(classes, "node", "left").select(
-        "content", F.coalesce("root", "node").alias("class_id")
+        "content", F.concat(F.lit("root "), F.coalesce("root", "node").cast("string")).alias("root")
     )
     labelled = content.join(known.withColumn("blank", F.lit(False)), ["content", "blank"], "left")
+    own = F.concat(F.lit("blank "), F.col("id").cast("string"))
     labelled = labelled.select(
-        "id", F.when(F.col("id").isNotNull(), F.coalesce("class_id", "id")).alias("class_id")
+        "id", "variant", F.when(F.col("id").isNotNull(), F.coalesce("root", own)).alias("class")
     )
-    sizes = labelled.where("class_id is not null").groupBy("class_id").agg(
-        F.count("*").alias("class_size")
-    )
-    return labelled.join(sizes, "class_id", "left").select(
-        F.col("id").alias(id_column), "class_id", F.coalesce("class_size", F.lit(1)).alias("class_size")
+    sizes = labelled.where("class is not null").groupBy("class").agg(
+        F.count("*").alias("class_size"), F.min(F.struct("id", "variant")).alias("least")
     )
+    return labelled.join(sizes, "class", "left").select(
+        "id", "variant", F.col("least.id").alias("class_id"),
+        F.coalesce("class_size", F.lit(1)).alias("class_size"),
+        F.coalesce(F.col("least") == F.struct("id", "variant"), F.lit(True)).alias("first"),
+    )

@@ -68,6 +68,15 @@ def test_decisions_take_effect(spark, folder):
     assert rows[401].n_tokens == rows[402].n_tokens == 0
 
 
+def test_texts_that_share_an_id_are_decided_one_by_one(spark, make_docs):
+    rng = random.Random(5)
+    a, b, c, d, e = (" ".join(f"w{rng.randrange(1000)}" for _ in range(60)) for _ in range(5))
+    rows = [(3, a), (5, a), (5, b), (6, c), (6, d), (6, c), (7, d + " end"), (8, e), (8, e + " end")]
+    kept = [(r.doc_id, r.text) for r in corpus_pipeline.near_dedup(spark, make_docs(rows), "").collect()]
+    assert len(kept) == len(set(kept)) == 5
+    assert set(kept) - {(8, e), (8, e + " end")} == {(3, a), (5, b), (6, c), (6, d)}
+
+
 def test_empty_documents(spark, folder, tmp_path):
     other = tmp_path / "empty"
     for name in ("documents", "labels", "benchmark"):
