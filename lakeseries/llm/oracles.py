@@ -119,7 +119,23 @@ SELECT page_id, payload_bytes, payload_digest,
 FROM named
 """
 
+TOP_PRODUCTS = """
+WITH vectors AS (
+  SELECT vec_id, list_transform(embedding, lambda c: floor(64 * CAST(c AS DOUBLE))) AS x
+  FROM embeddings
+  WHERE embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0),
+products AS (
+  SELECT q.vec_id AS query_id, c.vec_id, CAST(list_inner_product(q.x, c.x) AS BIGINT) AS score
+  FROM vectors AS q JOIN vectors AS c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id)
+SELECT query_id, CAST(place AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS place
+      FROM products)
+WHERE place <= 20
+"""
+
 ORACLES = {
+    "op12_norm_sorted_topk": TOP_PRODUCTS,
     "op3_dart_minhash": NEAR_DUPLICATES,
     "op4_spaced_seeds": OVERLAPS,
     "op5_license_notices": NOTICES,

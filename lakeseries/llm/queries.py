@@ -13,8 +13,10 @@ from lakeseries.llm.oracles import ORACLES
 from lakeseries.llm.quality import KEEP, fit, rate
 from lakeseries.llm.stores import fresh_path
 from lakeseries.llm.suffixes import without_repeats
+from lakeseries.llm.topk import top_products
 from lakeseries.llm.toxicity import THRESHOLD, train_and_score, training_row, with_labels
 from lakeseries.llm.warc import read_archives, resolved, write_archives
+from lakeseries.llm.whitening import whiten
 from lakeseries.llm.windows import repeated_windows
 
 
@@ -117,6 +119,15 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op12_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = _table(spark, sf_dir, "embeddings")
+    return top_products(vectors, F.col("id") % 20 == 0, k=20, scale=64)
+
+
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(_table(spark, sf_dir, "embeddings"), scale=256, components=4, weights="one")
+
+
 QUERIES = {
     "op1_toxicity_crf": op1_toxicity_crf,
     "op2_byte_bpe": op2_byte_bpe,
@@ -128,6 +139,8 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_warc_revisits": op10_warc_revisits,
+    "op12_norm_sorted_topk": op12_norm_sorted_topk,
+    "op13_whitening": op13_whitening,
 }
 
 __all__ = ["ORACLES", "QUERIES"]
