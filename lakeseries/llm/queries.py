@@ -4,6 +4,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from lakeseries.llm.alignment import align, with_scores
 from lakeseries.llm.bpe import decode, encode
 from lakeseries.llm.decontaminate import benchmark_overlaps
 from lakeseries.llm.fingerprints import with_next
@@ -119,6 +120,25 @@ def op10_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a_path = public_tokenizers.path("byte_bpe_50k.json")
+    b_path = public_tokenizers.path("piece_bpe_32k.model")
+    hashed = F.when(F.col("n_a") > 0, _sha("groups")).otherwise(F.lit(""))
+    aligned = align(_texts(spark, sf_dir), a_path, b_path).select(
+        "doc_id", "n_a", "n_b", "n_groups", "links", hashed.alias("groups_sha256")
+    )
+    return with_scores(aligned).select(
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        F.size("links").cast("long").alias("n_links"),
+        "n_best",
+        "count_sum",
+        "groups_sha256",
+    )
+
+
 def op12_norm_sorted_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = _table(spark, sf_dir, "embeddings")
     return top_products(vectors, F.col("id") % 20 == 0, k=20, scale=64)
@@ -139,6 +159,7 @@ QUERIES = {
     "op8_phrase_fingerprints": op8_phrase_fingerprints,
     "op9_ordinal_quality": op9_ordinal_quality,
     "op10_warc_revisits": op10_warc_revisits,
+    "op11_token_alignment": op11_token_alignment,
     "op12_norm_sorted_topk": op12_norm_sorted_topk,
     "op13_whitening": op13_whitening,
 }
