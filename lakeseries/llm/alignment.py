@@ -16,14 +16,17 @@ text, have no tokens: zeros and an empty string. Rows that share an id, or have
 none, are rows of their own; repeated texts count each time. Equal counts of a B
 id are all its best. Long texts are encoded in parts, cut where no token of
 either tokenizer can lie across; a task holds the tokens of one text at least.
-Columns of any name pass through, but those named like a result are replaced.
+Columns of any name pass through, but those named like a result are replaced;
+there must be one besides the text.
 """
 
 import hashlib
 import itertools
+import json
 import os
 import re
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -33,17 +36,20 @@ from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
 from lakeseries.llm.stores import stored
-from lakeseries.llm.vectors import gathered
+from lakeseries.llm.vectors import column_bytes, gathered, release, slices
 
 LOOKUP = 2_000_000  # different pairs, 17 bytes each, that are sent to all tasks
-SLICE = 1_000_000  # characters encoded at once, those of one text at least
+SLICE = 500_000  # bytes encoded at once, those of one text at least
 PART = 100_000  # characters of a part of a long text, about
-_PARTIAL = 1_000_000  # different pairs that a task counts before it hands them on
+_PARTIAL = 500_000  # different pairs that a task counts before it hands them on
 
 _LETTER = "[A-Za-zÀ-ÖØ-öø-ɏΑ-ωЀ-ӿ]"
 # Between letters a space starts a token of A, and no piece of B goes on over it.
 _CUT = re.compile(f"(?<={_LETTER}) (?={_LETTER})")
 _SPACE = "▁"
+# What the byte-level pre-tokenizer splits by; it is a fixed value.
+_SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+_BLANKS = re.compile(r"\s{1000}")
 
 
 def byte_alphabet() -> dict[str, int]:
@@ -70,19 +76,18 @@ class _Pair:
     """Both tokenizers, as loaded in a worker."""
 
     def __init__(self, json_text: str, model: bytes):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         import sentencepiece
-        import tokenizers
 
-        self._a = tokenizers.Tokenizer.from_str(json_text)
-        self._a.encode_special_tokens = True
+        self._json_text = json_text
         self._b = sentencepiece.SentencePieceProcessor(model_proto=model)
-        byte = byte_alphabet()
-        entries = self._a.get_vocab(with_added_tokens=True)
+        file, byte = json.loads(json_text), byte_alphabet()
+        entries = dict(file["model"]["vocab"])
+        entries.update((t["content"], t["id"]) for t in file["added_tokens"])
         tokens = [b""] * (max(entries.values()) + 1)
         for entry, number in entries.items():
             tokens[number] = bytes(byte[c] for c in entry)
         self.a = _Vocabulary(tokens)
+        self._ranked = self._by_rank(file, byte)
         pieces = [self._b.id_to_piece(i) for i in range(self._b.get_piece_size())]
         self.b = _Vocabulary(
             [
@@ -91,9 +96,40 @@ class _Pair:
             ]
         )
 
+    @cached_property
+    def _a(self):
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import tokenizers
+
+        tokenizer = tokenizers.Tokenizer.from_str(self._json_text)
+        tokenizer.encode_special_tokens = True
+        return tokenizer
+
+    @staticmethod
+    def _by_rank(file: dict, byte: dict[str, int]):
+        """The same encoder by ranks, a third of the work; None where ids are not in merge order."""
+        import tiktoken
+
+        model, split = file["model"], file["pre_tokenizer"] or {}
+        ids = model["vocab"]
+        pairs = [m if isinstance(m, list) else m.split(" ") for m in model["merges"]]
+        first = len(ids) - len(pairs)
+        plain = split.get("type") == "ByteLevel" and split.get("use_regex", True)
+        plain = plain and not split.get("add_prefix_space") and not file["normalizer"]
+        if not plain or any(ids[a + b] != first + i for i, (a, b) in enumerate(pairs)):
+            return None
+        ranks = {bytes(byte[c] for c in entry): i for entry, i in ids.items()}
+        return tiktoken.Encoding("a", pat_str=_SPLIT, mergeable_ranks=ranks, special_tokens={})
+
+    def _encode_a(self, text: str) -> list[int]:
+        # Very long runs of blanks are too deep for the pattern of the ranked encoder.
+        if self._ranked is None or _BLANKS.search(text):
+            return self._a.encode(text, add_special_tokens=False).ids
+        return self._ranked.encode_ordinary(text)
+
     def encode(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids of A and of B; each text starts with the space that B adds itself."""
-        a = [e.ids for e in self._a.encode_batch_fast(texts, add_special_tokens=False)]
+        a = [self._encode_a(t) for t in texts]
         return a, self._b.encode([t[1:] for t in texts], num_threads=1)
 
 
@@ -120,18 +156,6 @@ def parts(text: str) -> list[str]:
     return [*out, text[start:]]
 
 
-def _slices(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    first, size = 0, 0
-    for i, text in enumerate(texts):
-        n = len(text) if text else 0
-        if size and size + n > SLICE:
-            yield first, i
-            first, size = i, 0
-        size += n
-    if first < len(texts):
-        yield first, len(texts)
-
-
 def _lists(ids: list[list[int]], owner: list[int], n: int) -> pa.ListArray:
     """Ids of each of ``n`` documents; part ``i`` belongs to document ``owner[i]``."""
     sizes = np.bincount(owner, [len(x) for x in ids], n).astype(np.int64) if ids else np.zeros(n, int)
@@ -215,8 +239,14 @@ def _aligned(pair: _Pair, texts: list[str | None]) -> dict[str, pa.Array]:
     }
 
 
+def _apart(table: DataFrame, column: str, new: list[str]) -> DataFrame:
+    """The other columns as one struct ``_row``, and ``column``, which is not carried on."""
+    rows = as_rows(table, [column], new)
+    return rows.select(F.col("_row").dropFields(f"`{column}`").alias("_row"), f"_row.`{column}`")
+
+
 def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> DataFrame:
-    """The columns of ``docs``, numbers of tokens and groups, ``groups`` and ``links``.
+    """The columns of ``docs`` but the text, numbers of tokens and groups, ``groups`` and ``links``.
 
     A group is ``a1,a2|b1``, the ids that lie between two common ends; groups
     are joined by ``;``. A link is ``a * 2 ** 32 + b``. The driver reads
@@ -227,15 +257,16 @@ def align(docs: DataFrame, a_path: str, b_path: str, text: str = "text") -> Data
     name = hashlib.sha256(json_text.encode() + b"\0" + model).digest()
     files = docs.sparkSession.sparkContext.broadcast((name, json_text, model))  # two vocabularies
     new = ["n_a", "n_b", "n_groups", "groups", "links"]
-    rows = as_rows(docs, [text], new)
+    rows = _apart(docs, text, new)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pair = _loaded(files)
         for batch in batches:
             own = batch.column("_row")
-            texts = own.field(text).to_pylist()
-            for first, last in _slices(texts):
-                found = _aligned(pair, texts[first:last])
+            texts = batch.column(text)
+            for first, last in slices(column_bytes(texts)[1], SLICE):
+                found = _aligned(pair, texts.slice(first, last - first).to_pylist())
+                release()
                 yield pa.RecordBatch.from_arrays(
                     [own.slice(first, last - first), *found.values()], ["_row", *found]
                 )
@@ -282,13 +313,13 @@ def _by_lookup(aligned: DataFrame, counts: DataFrame) -> DataFrame:
     order = np.argsort(pair)
     columns = (pair[order], table["n"].to_numpy()[order], table["best"].to_numpy()[order])
     shared = aligned.sparkSession.sparkContext.broadcast(columns)  # LOOKUP rows at most
-    rows = as_rows(aligned, ["links"], ["n_best", "count_sum"])
+    rows = _apart(aligned, "links", ["n_best", "count_sum"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, n, best = shared.value
         for batch in batches:
             own = batch.column("_row")
-            lists = own.field("links")
+            lists = batch.column("links")
             ends = lists.offsets.to_numpy()
             at = np.searchsorted(known, lists.values[ends[0] : ends[-1]].to_numpy())
             sums = []
@@ -324,15 +355,15 @@ def _by_join(aligned: DataFrame, counts: DataFrame) -> DataFrame:
         F.sum(F.col("times") * F.col("n")).alias("count_sum"),
     )
     none = F.lit(0).cast("long")
-    return aligned.join(scored, "_name", "left").withColumns(
+    return aligned.drop("links").join(scored, "_name", "left").withColumns(
         {c: F.coalesce(c, none) for c in ("n_best", "count_sum")}
     )
 
 
 def with_scores(aligned: DataFrame) -> DataFrame:
-    """Adds ``n_best`` and ``count_sum``, by the links of all documents.
+    """``n_best`` and ``count_sum``, by the links of all documents, instead of ``links``.
 
-    ``links`` are those of ``align``. Columns of these names are replaced.
+    ``links`` are those of ``align``. Columns of the new names are replaced.
     """
     named = aligned.drop("n_best", "count_sum", "_name").withColumn(
         "_name", F.monotonically_increasing_id()

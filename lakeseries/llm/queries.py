@@ -125,14 +125,20 @@ def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     b_path = public_tokenizers.path("piece_bpe_32k.model")
     hashed = F.when(F.col("n_a") > 0, _sha("groups")).otherwise(F.lit(""))
     aligned = align(_texts(spark, sf_dir), a_path, b_path).select(
-        "doc_id", "n_a", "n_b", "n_groups", "links", hashed.alias("groups_sha256")
+        "doc_id",
+        "n_a",
+        "n_b",
+        "n_groups",
+        F.size("links").cast("long").alias("n_links"),
+        "links",
+        hashed.alias("groups_sha256"),
     )
     return with_scores(aligned).select(
         "doc_id",
         "n_a",
         "n_b",
         "n_groups",
-        F.size("links").cast("long").alias("n_links"),
+        "n_links",
         "n_best",
         "count_sum",
         "groups_sha256",

@@ -8,6 +8,7 @@ import public_tokenizers
 import pytest
 import sentencepiece
 import tokenizers
+from pyspark.sql import functions as F
 
 import lakeseries.llm.alignment as alignment
 from lakeseries.llm.alignment import _Pair, align, byte_alphabet, parts, with_scores
@@ -90,9 +91,10 @@ TEXTS = [
 
 
 def _rows(frame):
-    found = with_scores(align(frame, A_PATH, B_PATH))
+    aligned = align(frame, A_PATH, B_PATH)
+    found = with_scores(aligned.withColumn("n_links", F.size("links")))
     return [
-        (r.doc_id, r.n_a, r.n_b, r.n_groups, len(r.links), r.n_best, r.count_sum,
+        (r.doc_id, r.n_a, r.n_b, r.n_groups, r.n_links, r.n_best, r.count_sum,
          hashlib.sha256(r.groups.encode()).hexdigest())
         for r in found.collect()
     ]
@@ -124,6 +126,17 @@ def test_empty_table(spark, make_docs):
     assert _rows(make_docs([])) == []
 
 
+def test_both_encoders_of_a_agree(models):
+    """Every character, beside letters, digits and blanks; and long runs."""
+    pair = _Pair(open(A_PATH, encoding="utf-8").read(), open(B_PATH, "rb").read())
+    assert pair._ranked is not None
+    chars = [chr(c) for c in range(0x30000) if not 0xD800 <= c < 0xE000]
+    texts = ["".join(f" a{c}b {c} 1{c}{c}\n" for c in chars[i : i + 500]) for i in range(0, len(chars), 500)]
+    texts += [" " * 200_000 + "x", "\n " * 100_000, "a" * 100_000, " 東京" * 20_000]
+    for text in texts:
+        assert pair._encode_a(text) == models[0].encode(text, add_special_tokens=False).ids
+
+
 def test_parts_of_long_texts_are_encoded_alone(models, monkeypatch):
     monkeypatch.setattr(alignment, "PART", 7)
     rng = random.Random(4)
