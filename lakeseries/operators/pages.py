@@ -14,6 +14,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from lakeseries.operators.ordered import joined, prefix_sums
 from lakeseries.schemas import RECORD_SCHEMA
 
 HTTP_STATUS = "http_status"
@@ -135,3 +136,22 @@ def series_totals(documents: DataFrame) -> DataFrame:
     return documents.groupBy(*_RUN).agg(
         F.count(F.lit(1)).alias("paginas"), F.sum("quantidade_registros").alias("registros")
     )
+
+
+def series_positions(documents: DataFrame, folder: str | None = None) -> DataFrame:
+    """Documents with ``posicao_inicial`` and ``total_serie``, as if their pages were one list.
+
+    A record's place in its series' response is ``posicao_inicial`` plus its
+    place in the page. Pages are in order of window and number; documents that
+    share both also share their first position. The sums run over the keys and
+    counts of pages alone, in pieces of a series, so neither records nor a whole
+    series lie in one task.
+    """
+    counts = documents.groupBy(*_RUN, *_PAGE_ORDER).agg(
+        F.sum("quantidade_registros").alias("_registros")
+    )
+    placed = prefix_sums(counts, _RUN, _PAGE_ORDER, "_registros", "posicao_inicial", folder).drop(
+        "_registros"
+    )
+    totals = counts.groupBy(*_RUN).agg(F.sum("_registros").alias("total_serie"))
+    return joined(joined(documents, placed, [*_RUN, *_PAGE_ORDER]), totals, _RUN)

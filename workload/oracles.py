@@ -253,6 +253,19 @@ SELECT 'expect_column_values_to_be_between', serie_nome, fora_da_faixa
 FROM ({RANGE_COUNTS}) WHERE fora_da_faixa > 0
 """
 
+SHIPMENTS = """
+SELECT CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS serie_codigo,
+       CAST(l_shipdate AS DATE) AS data, l_orderkey, l_linenumber, l_partkey, l_suppkey,
+       round(l_extendedprice * 100) AS valor
+FROM lineitem
+"""
+
+SHIPMENT_DAYS = f"""
+SELECT serie_codigo, data, sum(valor) AS soma, count(valor) AS quantidade,
+       min(valor) AS minimo, max(valor) AS maximo
+FROM ({SHIPMENTS}) GROUP BY serie_codigo, data
+"""
+
 ORACLES = {
     "year_windows": f"""
 WITH RECURSIVE r AS (
@@ -431,4 +444,76 @@ SELECT periodo, '5-LOW', "5-LOW" FROM ({WIDE_VIEW}) WHERE {PERIOD}
     "silver_roundtrip": ORDER_SERIES,
     "gated_batch_monthly": monthly(PRIORITY_SILVER),
     "gated_batch_comparison": wide(PRIORITY_SILVER),
+    "asof_join": f"""
+WITH known AS (
+  SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS serie_codigo,
+         CAST(o_orderdate AS DATE) AS data, max(round(o_totalprice * 100)) AS valor
+  FROM orders GROUP BY ALL)
+SELECT s.serie_codigo, s.data, l_orderkey, l_linenumber, l_partkey, s.valor,
+       k.data AS data_ref, k.valor AS valor_ref
+FROM ({SHIPMENTS}) AS s ASOF LEFT JOIN known AS k
+  ON s.serie_codigo = k.serie_codigo AND s.data >= k.data
+""",
+    "asof_join_strict": """
+WITH own AS (
+  SELECT o_custkey AS serie_codigo, 'cliente_' || o_custkey AS serie_nome,
+         CAST(o_orderdate AS DATE) AS data, round(o_totalprice * 100) AS valor FROM orders),
+known AS (SELECT serie_codigo, data, max(valor) AS valor FROM own GROUP BY ALL),
+met AS (
+  SELECT o.*, k.data AS d, k.valor AS v FROM own AS o ASOF LEFT JOIN known AS k
+    ON o.serie_codigo = k.serie_codigo AND o.data > k.data)
+SELECT serie_codigo, serie_nome, data, valor,
+       CASE WHEN data - d <= 365 THEN d END AS data_ref,
+       CASE WHEN data - d <= 365 THEN v END AS valor_ref
+FROM met
+""",
+    "trailing_rows": f"""
+SELECT serie_codigo, data, l_orderkey, l_linenumber, l_partkey, valor,
+       sum(valor) OVER w AS soma, min(valor) OVER w AS minimo, max(valor) OVER w AS maximo,
+       count(valor) OVER w AS quantidade
+FROM ({SHIPMENTS})
+WINDOW w AS (PARTITION BY serie_codigo
+             ORDER BY data, l_orderkey, l_linenumber, l_partkey, l_suppkey, valor
+             ROWS BETWEEN 49 PRECEDING AND CURRENT ROW)
+""",
+    "trailing_year": f"""
+SELECT serie_codigo, data, sum(soma) OVER w AS soma,
+       CAST(sum(quantidade) OVER w AS BIGINT) AS quantidade,
+       min(minimo) OVER w AS minimo, max(maximo) OVER w AS maximo
+FROM ({SHIPMENT_DAYS})
+WINDOW w AS (PARTITION BY serie_codigo ORDER BY data
+             RANGE BETWEEN INTERVAL 364 DAY PRECEDING AND CURRENT ROW)
+""",
+    "running_totals": f"""
+SELECT serie_codigo, data, sum(soma) OVER w AS acumulado,
+       CAST(sum(quantidade) OVER w AS BIGINT) AS quantidade
+FROM ({SHIPMENT_DAYS})
+WINDOW w AS (PARTITION BY serie_codigo ORDER BY data)
+""",
+    "accumulated_months": """
+WITH months AS (
+  SELECT o_custkey AS serie_codigo, CAST(year(o_orderdate) AS INTEGER) AS ano,
+         CAST(month(o_orderdate) AS INTEGER) AS mes,
+         max(CASE WHEN o_orderstatus = 'P' THEN 0 ELSE round(o_totalprice * 100) END) AS valor_max
+  FROM orders GROUP BY ALL)
+SELECT *, sum(valor_max) OVER w AS acumulado, count(valor_max) OVER w AS meses
+FROM months
+WINDOW w AS (PARTITION BY serie_codigo ORDER BY ano * 12 + mes
+             RANGE BETWEEN 11 PRECEDING AND CURRENT ROW)
+""",
+    "series_positions": """
+WITH records AS (
+  SELECT CAST(substr(o_orderpriority, 1, 1) AS INTEGER) AS codigo,
+         CASE o_orderstatus WHEN 'P' THEN '2026-07-23' WHEN 'F' THEN '2026-07-22'
+                            ELSE '2026-07-20' END AS data_ingestao,
+         CAST(o_orderdate AS DATE) AS dia, o_orderkey, i,
+         CASE o_orderstatus WHEN 'F' THEN 'n/d'
+              ELSE CAST(CAST(round(o_totalprice * 100) AS BIGINT) AS VARCHAR) || ',0' END AS valor
+  FROM orders, (VALUES (0), (7)) AS t(i))
+SELECT codigo, data_ingestao,
+       row_number() OVER (PARTITION BY codigo, data_ingestao ORDER BY dia, o_orderkey, i) - 1 AS posicao,
+       count(*) OVER (PARTITION BY codigo, data_ingestao) AS total_serie,
+       strftime(dia + CAST(i AS INTEGER), '%d/%m/%Y') AS data, valor
+FROM records
+""",
 }

@@ -7,7 +7,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.functions import br_date, br_date_text, br_number, catalog_date
-from lakeseries.operators import gold, pages, quality, serve, silver, windows
+from lakeseries.operators import frames, gold, pages, quality, serve, silver, windows
+from lakeseries.operators.asof import asof_join as last_known
 from lakeseries.plans.batch import BatchConfig, run_batch
 from lakeseries.plans.ingestion import ingest_pages
 from lakeseries.schemas import SILVER_SCHEMA
@@ -294,6 +295,83 @@ def pivot_sparse(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.comparison(gold.monthly(segment_series(spark, sf_dir), ordered=False), names)
 
 
+# Order within long series
+
+
+def _shipments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver-shaped with the keys of its rows: three long series, by return flag."""
+    code = F.when(F.col("l_returnflag") == "A", 1).when(F.col("l_returnflag") == "N", 2).otherwise(3)
+    return table(spark, sf_dir, "lineitem").select(
+        code.alias("serie_codigo"),
+        F.to_date("l_shipdate").alias("data"),
+        "l_orderkey",
+        "l_linenumber",
+        "l_partkey",
+        "l_suppkey",
+        cents("l_extendedprice").alias("valor"),
+    )
+
+
+@query
+def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Shipments of three series with the last order of three others at that day."""
+    orders = order_series(spark, sf_dir)
+    return last_known(_shipments(spark, sf_dir), orders).drop("l_suppkey")
+
+
+@query
+def asof_join_strict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last order of a customer before each order, if at most a year older."""
+    orders = customer_series(spark, sf_dir, pending_as_zero=False)
+    return last_known(orders, orders, strict=True, tolerance_days=365)
+
+
+@query
+def trailing_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    order = ["data", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "valor"]
+    found = frames.trailing_rows(_shipments(spark, sf_dir), 50, order=order)
+    return found.drop("l_suppkey", "media")
+
+
+@query
+def trailing_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.trailing_days(_shipments(spark, sf_dir), 365).drop("media")
+
+
+@query
+def running_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return frames.running_totals(_shipments(spark, sf_dir))
+
+
+@query
+def accumulated_months(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twelve calendar months of the greatest value of sparse series."""
+    months = gold.monthly_totals(customer_series(spark, sf_dir))
+    return frames.accumulated_months(months, 12, value="valor_max").select(
+        "serie_codigo", "ano", "mes", "valor_max", "acumulado", "meses"
+    )
+
+
+@query
+def series_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every record with its place in the joined pages of its series."""
+    placed = pages.series_positions(_priority_documents(spark, sf_dir))
+    return placed.select(
+        "codigo",
+        "data_ingestao",
+        "posicao_inicial",
+        "total_serie",
+        F.posexplode("registros").alias("posicao", "registro"),
+    ).select(
+        "codigo",
+        "data_ingestao",
+        (F.col("posicao_inicial") + F.col("posicao")).alias("posicao"),
+        "total_serie",
+        "registro.data",
+        "registro.valor",
+    )
+
+
 # Quality
 
 
