@@ -41,3 +41,8 @@ def children(spark: SparkSession, path: str) -> list[str]:
     place = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = place.getFileSystem(spark._jsc.hadoopConfiguration())
     return [status.getPath().getName() for status in files.listStatus(place)]
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place)
