@@ -331,8 +331,7 @@ def without_repeats(docs: DataFrame, text: str = "text", id_column: str = "doc_i
     """
     new = ["n_bytes", "n_removed", "n_spans", "kept_bytes"]
     rows = as_rows(docs, [id_column, text], new)
-    keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
-    n_buckets = superkmers.bucket_count(keyed)
+    keyed, n_buckets = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     slice_of = F.pmod(F.xxhash64("_id", "_variant"), F.lit(n_buckets)).cast("int")
     # One exchange of the texts serves all three steps that read them.
     dealt = keyed.select(slice_of.alias("slice"), "_id", "_variant", "_row")

@@ -63,9 +63,18 @@ _TYPES = {
 }
 
 
+def _packed_type(name: str, values: np.ndarray) -> type:
+    wide = name == "text_variant" and len(values) and (values.min() < 0 or values.max() >> 32)
+    return np.int64 if wide else _TYPES[name]
+
+
 def pack(strings: Strings) -> bytes:
-    parts = [np.asarray(getattr(strings, f.name), _TYPES[f.name]) for f in fields(Strings)]
-    head = np.array([len(x) for x in parts], np.int64).tobytes()
+    """All arrays in one string; the length of one in a wide type is written as negative."""
+    values = [(f.name, np.asarray(getattr(strings, f.name))) for f in fields(Strings)]
+    kinds = [_packed_type(name, x) for name, x in values]
+    parts = [np.asarray(x, kind) for (_, x), kind in zip(values, kinds, strict=True)]
+    sizes = [len(x) if kind is _TYPES[n] else -len(x) for (n, _), x, kind in zip(values, parts, kinds)]
+    head = np.array(sizes, np.int64).tobytes()
     plain = head + b"".join(x.tobytes() for x in parts)
     return len(plain).to_bytes(8, "little") + _CODEC.compress(plain, asbytes=True)
 
@@ -76,9 +85,9 @@ def unpack(packed: bytes) -> Strings:
     at = 8 * len(names)
     out = {}
     for name, n in zip(names, np.frombuffer(plain[:at], np.int64).tolist(), strict=True):
-        kind = np.dtype(_TYPES[name])
-        out[name] = np.frombuffer(plain, kind, n, at)
-        at += n * kind.itemsize
+        kind = np.dtype(_TYPES[name] if n >= 0 else np.int64)
+        out[name] = np.frombuffer(plain, kind, abs(n), at)
+        at += abs(n) * kind.itemsize
     return Strings(**out)
 
 
@@ -210,20 +219,36 @@ def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
         yield int(at), pack(decided)
 
 
-def with_key(rows: DataFrame, id_column: str, text: str) -> DataFrame:
-    """Add ``_text``, and ``_id`` (null: the greatest) and ``_variant``, which tell rows apart."""
+def _named(rows: DataFrame, id_column: str, text: str, bits: int, salt: int) -> DataFrame:
+    name = F.xxhash64(text) if salt == 0 else F.xxhash64(F.lit(salt), text)
     return rows.select(
         F.coalesce(F.col(id_column).cast("long"), F.lit(MAX_ID)).alias("_id"),
-        F.xxhash64(text).bitwiseAND(F.lit(0xFFFFFFFF)).alias("_variant"),
+        (name.bitwiseAND(F.lit(0xFFFFFFFF)) if bits == 32 else name).alias("_variant"),
         "_row",
         F.col(text).alias("_text"),
     )
 
 
-def bucket_count(keyed: DataFrame) -> int:
-    """Buckets of a bounded share of the input, many enough to spread over tasks."""
-    size = keyed.agg(F.sum(F.octet_length("_text"))).first()[0] or 0
-    return max(MIN_BUCKETS, -(-size // BUCKET_BYTES))
+def with_key(rows: DataFrame, id_column: str, text: str) -> tuple[DataFrame, int]:
+    """Rows with ``_text`` and their names ``_id`` and ``_variant``, and a number of buckets.
+
+    A null id is the greatest. ``_variant`` tells different texts of one id
+    apart: 32 bits of a hash where they do for the given rows, all 64 where very
+    many rows share an id, and of another hash where even these are equal. One
+    pass over the rows counts that, by two further hashes of every text, and adds
+    up the size of the input, of which buckets have a bounded share.
+    """
+    for bits, salt in ((32, 0), (64, 0), (64, 1), (64, 2), (64, 3)):
+        keyed = _named(rows, id_column, text, bits, salt)
+        whole = F.struct(F.xxhash64("_text"), F.xxhash64(F.lit("whole"), "_text"))
+        names = keyed.groupBy("_id", "_variant").agg(
+            (F.min(whole) != F.max(whole)).alias("mixed"),
+            F.sum(F.octet_length("_text")).alias("size"),
+        )
+        mixed, size = names.agg(F.max("mixed"), F.sum("size")).first()
+        if not mixed:
+            return keyed, max(MIN_BUCKETS, -(-(size or 0) // BUCKET_BYTES))
+    raise ValueError("texts that share an id cannot be told apart")
 
 
 def _packs(held: list[Strings], n_buckets: int) -> pa.RecordBatch:

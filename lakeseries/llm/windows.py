@@ -151,8 +151,7 @@ def repeated_windows(docs: DataFrame, text: str = "text", id_column: str = "doc_
     allowed. Columns named like the new ones are replaced.
     """
     rows = as_rows(docs, [id_column, text], ["n_words", "n_removed", "kept_text"])
-    keyed = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
-    n_buckets = superkmers.bucket_count(keyed)
+    keyed, n_buckets = superkmers.with_key(rows, f"_row.`{id_column}`", f"_row.`{text}`")
     found = superkmers.gone_ranges(keyed, n_buckets, _cut(window, gram), _settle(window))
     out = superkmers.with_gone(keyed, found).mapInArrow(
         _kept_words(text), with_fields(rows, "n_words long, n_removed long, _kept binary")
