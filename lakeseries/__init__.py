@@ -1,9 +1,17 @@
 """Spark-native medallion analytics for periodic indicator series."""
 
+from lakeseries.operators.asof import asof_join
+from lakeseries.operators.frames import (
+    accumulated_months,
+    running_totals,
+    trailing_days,
+    trailing_rows,
+)
 from lakeseries.operators.gold import comparison, monthly, with_percent_change
 from lakeseries.operators.pages import (
     assemble_documents,
     failed_series,
+    series_positions,
     series_totals,
     validate_pages,
 )
@@ -30,6 +38,7 @@ from lakeseries.operators.silver import (
 )
 from lakeseries.operators.windows import invalid_requests, year_windows
 from lakeseries.plans.batch import BatchConfig, BatchMetrics, run_batch
+from lakeseries.plans.incremental import IncrementalConfig, merge_documents
 from lakeseries.plans.ingestion import Ingestion, failure_count, ingest_pages, run_ingestion
 from lakeseries.sources import (
     TableNotFoundError,
@@ -46,8 +55,11 @@ __all__ = [
     "BatchConfig",
     "BatchMetrics",
     "DataQualityError",
+    "IncrementalConfig",
     "Ingestion",
     "TableNotFoundError",
+    "accumulated_months",
+    "asof_join",
     "assemble_documents",
     "bronze_to_silver",
     "catalog_from_rows",
@@ -67,6 +79,7 @@ __all__ = [
     "keep_latest",
     "kpi_cards",
     "latest_per_series",
+    "merge_documents",
     "monthly",
     "monthly_view",
     "normalise",
@@ -78,9 +91,13 @@ __all__ = [
     "require_quality",
     "run_batch",
     "run_ingestion",
+    "running_totals",
     "series_options",
     "series_points",
+    "series_positions",
     "series_totals",
+    "trailing_days",
+    "trailing_rows",
     "validate_pages",
     "with_percent_change",
     "write_bronze",

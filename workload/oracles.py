@@ -516,4 +516,8 @@ SELECT codigo, data_ingestao,
        strftime(dia + CAST(i AS INTEGER), '%d/%m/%Y') AS data, valor
 FROM records
 """,
+    "incremental_silver": PRIORITY_SILVER,
+    "incremental_monthly": monthly(PRIORITY_SILVER),
+    "incremental_comparison": wide(PRIORITY_SILVER),
+    "streaming_monthly": monthly(PRIORITY_SILVER),
 }

@@ -10,6 +10,13 @@ from lakeseries.functions import br_date, br_date_text, br_number, catalog_date
 from lakeseries.operators import frames, gold, pages, quality, serve, silver, windows
 from lakeseries.operators.asof import asof_join as last_known
 from lakeseries.plans.batch import BatchConfig, run_batch
+from lakeseries.plans.incremental import (
+    IncrementalConfig,
+    merge_documents,
+    read_comparison,
+    read_monthly,
+    read_silver,
+)
 from lakeseries.plans.ingestion import ingest_pages
 from lakeseries.schemas import SILVER_SCHEMA
 from lakeseries.sources import (
@@ -23,6 +30,7 @@ from lakeseries.sources import (
     write_table,
 )
 from lakeseries.sources import corrupt_documents as read_corrupt
+from lakeseries.streaming.landing import STREAM_SCHEMA, StreamConfig, close_all, run_available
 from workload.inputs import (
     br_text,
     broken_lines,
@@ -556,3 +564,55 @@ def gated_batch_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def gated_batch_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_table(spark, _batch(spark, sf_dir).gold_comparison_path)
+
+
+# Kept up to date
+
+
+DAYS = ["2026-07-22", "2026-07-20", "2026-07-23"]
+
+
+def _incremental_config(spark: SparkSession, name: str) -> IncrementalConfig:
+    return IncrementalConfig(work_path(spark, name), ranges={}, default_range=(0, 100_000_000))
+
+
+def _added(spark: SparkSession, sf_dir: str) -> str:
+    """Tables after three additions, of which the second is older than the first."""
+    config = _incremental_config(spark, "incremental")
+    documents = stored(_priority_documents(spark, sf_dir), "documentos")
+    for day in DAYS:
+        merge_documents(documents.where(F.col("data_ingestao") == day), config)
+    return config.base
+
+
+@query
+def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_silver(spark, _added(spark, sf_dir))
+
+
+@query
+def incremental_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_monthly(spark, _added(spark, sf_dir))
+
+
+@query
+def incremental_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return read_comparison(spark, _added(spark, sf_dir))
+
+
+@query
+def streaming_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages that land in three drops, taken in one drop after the other."""
+    base = work_path(spark, "fluxo")
+    tables = IncrementalConfig(f"{base}/tabelas", ranges={}, default_range=(0, 100_000_000))
+    config = StreamConfig(f"{base}/pouso", tables.base, f"{base}/progresso", 1, tables)
+    landed = priority_pages(spark, sf_dir).select(
+        "codigo", "nome", "janela_inicio", F.col("janela_inicio").alias("janela_fim"), "pagina",
+        "status", "body", F.col("dia").alias("data_ingestao"),
+        F.lit("2026-07-24 00:00:00").cast("timestamp").alias("recebido"),
+    ).select(*STREAM_SCHEMA.fieldNames())
+    for day in sorted(DAYS):
+        landed.where(F.col("data_ingestao") == day).write.mode("append").json(config.landing)
+        run_available(spark, config)
+    close_all(spark, config)
+    return read_monthly(spark, tables.base)
