@@ -8,8 +8,10 @@ phrases of two to a dozen symbols. A phrase is named by a hash of its symbols an
 is a symbol of the next level. Where a phrase begins depends on a few neighbours
 alone, so equal substrings have the same phrases inside, at any offset.
 
-The fingerprint keeps, for two levels, the least phrase name of each of a number
-of bins. The likeness of two fingerprints is the share of bins that agree.
+The fingerprint has, for two levels, 16 bits of the least phrase name of each of a
+number of bins. Names are compared in full, so bins of unrelated texts agree by
+chance once in 65,535 times at any length of the texts. The likeness of two
+fingerprints is the share of bins that agree.
 """
 
 import math
@@ -25,6 +27,7 @@ from lakeseries.llm.vectors import PrefixHash, mix, slices
 LEVELS = (2, 3)
 BINS = 64
 EMPTY = 0xFFFF
+_NO_NAME = np.uint64(0xFFFFFFFFFFFFFFFF)
 PART_BYTES = 8_000_000
 MIN_PARTS = 16
 
@@ -88,16 +91,17 @@ def phrases(symbols: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.nda
 def fingerprints(buffer: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     """A row of ``len(LEVELS) * BINS`` numbers below 65,536 for every text."""
     n_texts = len(bounds) - 1
-    out = np.full((n_texts, len(LEVELS) * BINS), EMPTY, np.uint16)
+    least = np.full(n_texts * len(LEVELS) * BINS, _NO_NAME, np.uint64)
     names = buffer
     for level in range(1, max(LEVELS) + 1):
         names, bounds = phrases(names, bounds)
         if level in LEVELS:
             text = np.repeat(np.arange(n_texts), np.diff(bounds))
             column = LEVELS.index(level) * BINS + (names % np.uint64(BINS)).astype(np.int64)
-            value = ((names >> np.uint64(32)) % np.uint64(EMPTY)).astype(np.uint16)
-            np.minimum.at(out.reshape(-1), text * out.shape[1] + column, value)
-    return out
+            np.minimum.at(least, text * (len(LEVELS) * BINS) + column, names)
+    short = (mix(least) % np.uint64(EMPTY)).astype(np.uint16)
+    short[least == _NO_NAME] = EMPTY
+    return short.reshape(n_texts, len(LEVELS) * BINS)
 
 
 def likeness(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -210,7 +214,8 @@ def with_next(docs: DataFrame, text: str = "text", id_column: str = "doc_id") ->
     fingerprints, and the likeness to the edited and to the next text. After the
     last text comes the first. A single text is its own next.
 
-    Null texts count as empty. Null ids come last. Rows with the same id are
+    Null texts count as empty. Null ids come last. Other columns are not read and
+    not returned. Rows with the same id are
     ordered by a hash of their texts; of rows equal in both, any may come first.
 
     Texts are dealt by ranges of ids; the first row of each range also goes to

@@ -3,7 +3,17 @@ import random
 
 import numpy as np
 
-from lakeseries.llm.fingerprints import fingerprint_texts, phrases, with_next
+from lakeseries.llm.fingerprints import (
+    BINS,
+    EMPTY,
+    LEVELS,
+    fingerprint_texts,
+    fingerprints,
+    likeness,
+    phrases,
+    with_next,
+)
+from lakeseries.llm.vectors import mix
 
 
 def expected(rows):
@@ -83,3 +93,30 @@ def test_query_digest(spark):
     for r in op8_phrase_fingerprints(spark, folder).collect():
         n_chars, edited = want[r.doc_id]
         assert (r.n_chars, r.edited_sha256) == (n_chars, hashlib.sha256(edited.encode()).hexdigest())
+
+
+def test_fingerprints_against_a_plain_computation():
+    rng = random.Random(9)
+    texts = ["".join(rng.choice("ab c") for _ in range(n)).encode() for n in (0, 1, 40, 3_000, 700)]
+    bounds = np.cumsum([0] + [len(x) for x in texts])
+    found = fingerprints(np.frombuffer(b"".join(texts), np.uint8), bounds)
+    for text, row in zip(texts, found, strict=True):
+        names, ends = np.frombuffer(text, np.uint8), np.array([0, len(text)])
+        want = {}
+        for level in range(1, max(LEVELS) + 1):
+            names, ends = phrases(names, ends)
+            for name in names.tolist() if level in LEVELS else []:
+                at = LEVELS.index(level) * BINS + name % BINS
+                want[at] = min(want.get(at, name), name)
+        short = [int(mix(np.array([want[i]], np.uint64))[0]) % EMPTY if i in want else EMPTY
+                 for i in range(len(LEVELS) * BINS)]
+        assert row.tolist() == short
+
+
+def test_unrelated_long_texts_are_not_alike():
+    rng = np.random.default_rng(10)
+    size = 10_000_000
+    both = rng.integers(97, 123, 2 * size).astype(np.uint8)
+    a = fingerprints(both[:size], np.array([0, size]))
+    b = fingerprints(both[size:], np.array([0, size]))
+    assert likeness(a, b)[0] < 0.02
