@@ -111,9 +111,29 @@ def write_archives(
     ).text(path)
 
 
+def _members(content: bytes) -> bytes:
+    """The bytes of all compressed members of a file, one after another.
+
+    Archives may have a member per record or one for all; zero bytes after the
+    last member are padding.
+    """
+    out, rest = [], content
+    while rest.strip(b"\0"):
+        member = zlib.decompressobj(wbits=47)
+        out.append(member.decompress(rest))
+        if not member.eof:
+            raise ValueError("a compressed member is not complete")
+        rest = member.unused_data
+    return b"".join(out)
+
+
 def parse_archive(content: bytes) -> Iterator[dict]:
-    """The records of one archive; a payload must have the digest of its header."""
-    data = zlib.decompress(content, wbits=47)
+    """The records of one archive, of all its members.
+
+    A payload must have the digest of its header. A file that is cut off, or that
+    holds anything else, is an error.
+    """
+    data = _members(content)
     at = 0
     while at < len(data):
         body = data.index(b"\r\n\r\n", at) + 4

@@ -1,5 +1,6 @@
 import base64
 import collections
+import gzip
 import hashlib
 import zlib
 
@@ -83,3 +84,23 @@ def test_broken_archives_are_errors(spark):
         list(parse_archive(zlib.compress(data.replace(b"<p>one", b"<p>two"))))
     with pytest.raises(ValueError):
         list(parse_archive(zlib.compress(data[:-6])))
+
+
+def test_archives_with_a_member_per_record(spark, tmp_path):
+    path = written(spark, ROWS)
+    files = spark.read.format("binaryFile").load(path).collect()
+    data = b"".join(zlib.decompress(bytes(f.content), wbits=47) for f in files)
+    records, at = [], 0
+    while at < len(data):
+        body = data.index(b"\r\n\r\n", at) + 4
+        size = next(x for x in data[at:body].split(b"\r\n") if x.startswith(b"Content-Length: "))
+        end = body + int(size[16:]) + 4
+        records.append(data[at:end])
+        at = end
+    assert len(records) == len(ROWS)
+    members = b"".join(gzip.compress(x) for x in records)
+    (tmp_path / "members.warc.gz").write_bytes(members + bytes(512))
+    assert derived(spark, str(tmp_path)) == expected(ROWS)
+    for broken in (members[:-30], members + b"more"):
+        with pytest.raises((ValueError, zlib.error)):
+            list(parse_archive(broken))
