@@ -3,7 +3,16 @@ import random
 
 import regex
 
-from lakeseries.llm.licenses import TEMPLATES, license_notices, templates
+from lakeseries.llm.licenses import (
+    BANDS,
+    LONG,
+    TEMPLATES,
+    _bands,
+    _windows,
+    license_notices,
+    templates,
+)
+from lakeseries.llm.shingled import hashes, words
 
 
 def shingles(text):
@@ -50,6 +59,42 @@ def test_five_words_among_any_neighbours(spark, make_docs):
     assert len(found) == len(texts)
 
 
+def test_edited_copies_of_long_notices(spark, make_docs):
+    rng = random.Random(12)
+    texts = []
+    for _, notice in TEMPLATES:
+        whole = notice.split()
+        if len(shingles(notice)) < LONG:
+            continue
+        for shift in range(24):
+            part = list(whole)
+            for _ in range(rng.randrange(1 + len(part) // 25)):
+                at = rng.randrange(len(part))
+                part[at : at + rng.randrange(2)] = ["edited"] * rng.randrange(2)
+            cut = rng.randrange(1 + len(part) // 8)
+            part = part[cut:] if shift % 2 else part[: len(part) - cut]
+            texts.append(" ".join([f"h{i}" for i in range(shift % 5)] + part + ["the", "end"]))
+    found = license_notices(make_docs(texts), templates(spark)).collect()
+    want = brute_force(enumerate(texts))
+    assert {(r.doc, r.license): r.containment for r in found} == want
+    assert len(texts) // 2 < len(want)
+
+
+def test_bands_are_min_wise(spark):
+    rows = []
+    for i in range(2_000):
+        common = [f"w{i}x{j}" for j in range(7)]
+        rows += [(i, 0, " ".join([f"a{i}", *common])), (i, 1, " ".join([*common, f"b{i}"]))]
+    table = spark.createDataFrame(rows, "pair int, side int, text string")
+    table = table.withColumn("hashed", hashes(words("text")))
+    keys = {}
+    for r in _bands(_windows(table, ["pair", "side"], 4), ["pair", "side"]).collect():
+        keys.setdefault((r.pair, r.side), set()).add(r.key)
+    met = [len(keys[i, 0] & keys[i, 1]) for i in range(2_000)]
+    assert abs(sum(met) / len(met) / BANDS - 0.36) < 0.02  # likeness 3/5, two orders a band
+    assert abs(sum(m > 0 for m in met) / len(met) - (1 - 0.64**BANDS)) < 0.02
+
+
 def test_odd_texts(spark, make_docs, odd_texts):
     mit = "Released under the MIT License."
     rows = [*enumerate(odd_texts), (40, mit), (40, mit), (None, mit), (41, mit.replace(" ", "　"))]
