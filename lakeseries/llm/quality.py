@@ -17,11 +17,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
+from lakeseries.llm.samples import draw_texts
 from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, release, slices, word_bounds
 
 SIZE = 1 << 16
 SAMPLE = 600  # texts of each grade
-SAMPLE_CHARS = 20_000  # longer texts are not in the sample
+SAMPLE_CHARS = 20_000  # longer texts are in the sample only for want of others
 ROUNDS = 200
 KEEP = 0.5
 SLICE = 1_000_000  # bytes of texts rated at once
@@ -128,21 +129,22 @@ def _fit(
 def fit(rated: DataFrame) -> Model:
     """Fit to ``rated`` (``doc_id``, ``text``, ``grade`` from 0 on).
 
-    At most ``SAMPLE`` texts of each grade, chosen by a hash among those of at
-    most ``SAMPLE_CHARS`` characters, are weighted back to the shares of all
-    ratings; that bounds what the driver holds. A grade without texts gets no
-    probability. With fewer than two grades all texts get the one that is known.
+    At most ``SAMPLE`` texts of each grade (``samples.draw_texts``), those of more than
+    ``SAMPLE_CHARS`` characters only where a grade has too few others, are weighted
+    back to the shares of all ratings; that bounds what the driver holds. Which
+    grades there are is decided by all rows; repeated rows count as often as they
+    are there. A grade without texts gets no probability. With fewer than two grades
+    all texts get the one that is known.
     """
-    short = rated.where((F.char_length("text") <= SAMPLE_CHARS) & (F.col("grade") >= 0))
-    sizes = {r["grade"]: r["count"] for r in short.groupBy("grade").count().collect()}
+    rated = rated.where(F.col("grade") >= 0)
+    sizes = {r["grade"]: r["count"] for r in rated.groupBy("grade").count().collect()}
     top = max(sizes, default=0)
     if len(sizes) < 2:
         return Model(np.zeros(SIZE), np.full(top, -30.0))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
     rows = []
-    for grade, n in sorted(sizes.items()):
-        part = short.where((F.col("grade") == grade) & (draw < int(min(1.0, SAMPLE / n) * (1 << 20))))
-        rows += [(r["d"], grade, r["text"]) for r in part.select(draw.alias("d"), "text").collect()]
+    for grade in sorted(sizes):
+        drawn = draw_texts(rated.where(F.col("grade") == grade), SAMPLE, SAMPLE_CHARS)
+        rows += [(r["draw"], grade, r["text"]) for r in drawn]
     rows.sort()
     grade = np.array([r[1] for r in rows])
     doc, column, value = _means([r[2] for r in rows])
@@ -161,7 +163,8 @@ def rate(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
     """The columns of ``docs``, ``expected_grade`` and ``tails``.
 
     ``tails`` are the probabilities of a grade above 0, above 1, and so on.
-    Null and empty texts have a weighted sum of 0. Columns named like the new
+    Null and empty texts have a weighted sum of 0. Texts are rated whole at any
+    length; repeated rows come out as often as they are there. Columns named like the new
     ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -22,13 +22,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from lakeseries.llm.rows import as_rows, with_fields
+from lakeseries.llm.samples import draw_texts
 from lakeseries.llm.stores import stored
 from lakeseries.llm.vectors import PrefixHash, column_bytes, mix, release, run_bounds, slices
 
 SIZE = 1 << 18
 SAMPLE = 600  # documents of each label and of each of the two samples
-SAMPLE_CHARS = 20_000  # longer documents are not in the samples
-LEXICON = 50_000  # telling features, the most telling ones first
+SAMPLE_CHARS = 20_000  # longer documents are in the samples only for want of others
 EVIDENCE = 20.0
 PRECISION = 0.8
 ROUNDS = 60
@@ -53,6 +53,11 @@ class Model:
     transition: np.ndarray  # log weights, from state, to state
     document: np.ndarray  # intercept, greatest marginal, log of the sum, density
 
+    @property
+    def informed(self) -> bool:
+        """Whether the field was fitted, to documents of both labels."""
+        return bool(self.emission.any())
+
 
 def training_row(id_column: str = "doc_id") -> Column:
     """Whether the labels of a row may be used: the others judge the model."""
@@ -109,12 +114,18 @@ def _feature_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         release()
 
 
-def telling_features(train: DataFrame) -> np.ndarray:
-    """Features tied to toxic documents, from all of ``train`` (``text``, ``toxic``)."""
+def telling_features(train: DataFrame, among: np.ndarray) -> np.ndarray:
+    """Those of the features ``among`` that are tied to toxic documents.
+
+    Counts are from all of ``train`` (``text``, ``toxic``). ``among`` are the features of
+    a bounded sample; features outside it are dropped before the shuffle.
+    """
     total, toxic = train.agg(F.count("*"), F.sum("toxic")).first()
-    if not toxic or toxic == total:
+    if not toxic or toxic == total or not len(among):
         return np.zeros(0, np.int64)
+    wanted = train.sparkSession.createDataFrame(pa.table({"feature": pa.array(among, pa.int64())}))
     counts = train.mapInArrow(_feature_counts, "feature long, n long, hits long")
+    counts = counts.join(F.broadcast(wanted), "feature", "left_semi")
     counts = counts.groupBy("feature").agg(F.sum("n").alias("n"), F.sum("hits").alias("hits"))
     rest, base = F.col("n") - F.col("hits"), toxic / total
     share = F.col("hits") / F.col("n")
@@ -122,9 +133,8 @@ def telling_features(train: DataFrame) -> np.ndarray:
         F.col("hits") * F.log(share / base)
         + F.when(rest > 0, rest * F.log((1 - share) / (1 - base))).otherwise(0)
     )
-    found = counts.where((F.col("hits") > 0) & (share >= PRECISION)).withColumn("e", evidence)
-    rows = found.where(F.col("e") >= EVIDENCE).orderBy(F.desc("e"), "feature").limit(LEXICON)
-    return np.array([r["feature"] for r in rows.select("feature").collect()], np.int64)
+    found = counts.where((F.col("hits") > 0) & (share >= PRECISION) & (evidence >= EVIDENCE))
+    return np.array([r["feature"] for r in found.select("feature").collect()], np.int64)
 
 
 class _Chains:
@@ -246,29 +256,32 @@ def fit(train: DataFrame) -> Model:
     """Fit to ``train`` (``doc_id``, ``text``, ``toxic``).
 
     Feature counts cover all of it. The field and the document score are fitted
-    on ``SAMPLE`` documents of each label each, chosen by a hash of the id among
-    those of at most ``SAMPLE_CHARS`` characters; that bounds what the driver
-    holds. Without two labels the model scores every document 0 or 1, whichever
-    is known (0 if none is).
+    on ``SAMPLE`` documents of each label each (``samples.draw_texts``), texts of more than
+    ``SAMPLE_CHARS`` characters only where a label has too few others; that bounds
+    what the driver holds. Which labels there are is decided by all rows. Repeated
+    rows count as often as they are there. Without two labels the model is not
+    ``informed``; it scores every document 0 or 1, whichever is known (0 if none is).
     """
-    telling = np.sort(telling_features(train))
-    short = train.where(F.char_length("text") <= SAMPLE_CHARS)
-    sizes = {r["toxic"]: r["count"] for r in short.groupBy("toxic").count().collect()}
+    sizes = {r["toxic"]: r["count"] for r in train.groupBy("toxic").count().collect()}
     if not sizes.get(0) or not sizes.get(1):
         known = 30.0 if sizes.get(1) else -30.0
         return Model(np.zeros(SIZE), -30.0, 0.0, np.zeros((2, 2)), np.array([known, 0, 0, 0]))
-    draw = F.pmod(F.xxhash64("doc_id", "text"), F.lit(1 << 20))
     rows = []
     for label in (0, 1):
-        share = min(1.0, 2 * SAMPLE / sizes[label])
-        chosen = short.where(F.col("toxic") == label).where(draw < int(share * (1 << 20)))
-        rows += [(r["d"], label, r["text"] or "") for r in chosen.select(draw.alias("d"), "text").collect()]
+        drawn = draw_texts(train.where(F.col("toxic") == label), 2 * SAMPLE, SAMPLE_CHARS)
+        # One document alone serves both samples.
+        rows += [(r["draw"], label, r["text"]) for r in (drawn if len(drawn) > 1 else 2 * drawn)]
     rows.sort()
-    halves = [[(r[1], r[2]) for r in rows[i::2]] for i in (0, 1)]
+    halves = [[r[1:] for r in rows[i::2]] for i in (0, 1)]
+    if any(len({label for label, _ in half}) < 2 for half in halves):
+        rows.sort(key=lambda r: r[1])
+        halves = [[r[1:] for r in rows[i::2]] for i in (0, 1)]
     y = np.array([r[0] for r in halves[0]])
     first, hashed = _hashed([r[1] for r in halves[0]])
-    known = np.isin(hashed[:, :_TELLING].view(np.int64), telling).any(axis=1)
-    gold = known & np.repeat(y == 1, np.diff(first))
+    named = hashed[:, :_TELLING].view(np.int64)
+    toxic = np.repeat(y == 1, np.diff(first))
+    telling = telling_features(train, np.unique(named[toxic]))
+    gold = np.isin(named, telling).any(axis=1) & toxic
     model = _fit_field((hashed % np.uint64(SIZE)).astype(np.int64), first, gold)
     y = np.array([r[0] for r in halves[1]], float)
     first, hashed = _hashed([r[1] for r in halves[1]])
@@ -306,7 +319,8 @@ def score(docs: DataFrame, model: Model, text: str = "text") -> DataFrame:
 
     ``spans`` are offsets of code points (``begin``, ``end``) of runs of toxic
     tokens. Null and empty texts have no tokens and get the score of no
-    evidence. Columns named like the new ones are replaced.
+    evidence. Texts are scored whole at any length; repeated rows come out as often
+    as they are there, with equal scores. Columns named like the new ones are replaced.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)
     rows = as_rows(docs, [text], ["score", "spans"])
@@ -348,10 +362,14 @@ def with_labels(docs: DataFrame, labels: DataFrame) -> DataFrame:
     return stored(docs.hint("merge").join(labels, "doc_id"), "labelled")
 
 
-def train_and_score(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
-    """Score ``docs`` by a model of the training rows of ``labelled`` (``doc_id``, ``text``)."""
+def trained(labelled: DataFrame, labels: DataFrame) -> Model:
+    """A model of the training rows of ``labelled`` (``doc_id``, ``text``)."""
     known = labels.where("toxic is not null and doc_id is not null").groupBy("doc_id").agg(
         F.max("toxic").alias("toxic")
     )
-    train = with_labels(labelled.select("doc_id", "text").where(training_row()), known)
-    return score(docs, fit(train))
+    return fit(with_labels(labelled.select("doc_id", "text").where(training_row()), known))
+
+
+def train_and_score(docs: DataFrame, labelled: DataFrame, labels: DataFrame) -> DataFrame:
+    """Score ``docs`` by a model of the training rows of ``labelled`` (``doc_id``, ``text``)."""
+    return score(docs, trained(labelled, labels))

@@ -1,5 +1,6 @@
 import numpy as np
 
+from lakeseries.llm import quality
 from lakeseries.llm.quality import Model, fit, rate
 
 
@@ -49,3 +50,25 @@ def test_held_out_accuracy(spark):
     held = [(labels[r.doc_id], r.keep) for r in rows if r.held_out and r.doc_id in labels]
     assert np.mean([bool(q) == k for q, k in held]) > 0.98
     assert np.mean([k for q, k in held if q]) > 0.99
+
+
+def test_grades_on_long_texts_only(spark, monkeypatch):
+    monkeypatch.setattr(quality, "SAMPLE_CHARS", 40)
+    rows = [(r.doc_id, r.text * (1 + 4 * (r.grade == 1)), r.grade) for r in graded(spark).collect()]
+    rated = spark.createDataFrame(rows, "doc_id long, text string, grade int")
+    found = rate(rated, fit(rated)).collect()
+    assert np.mean([round(r.expected_grade) == r.grade for r in found]) > 0.9
+
+
+def test_expected_grades_of_held_out_rows(spark):
+    """Both thresholds order grades on rows that the model has not seen."""
+    from lakeseries.llm.queries import op9_ordinal_quality
+
+    folder = "/root/testdata/sf0.1"
+    rows = spark.read.parquet(f"{folder}/labels.parquet").where("quality is not null").collect()
+    grade = {r.doc_id: 0 if not r.quality else 1 if r.toxic else 2 for r in rows}
+    found = [(grade[r.doc_id], r.expected_grade) for r in op9_ordinal_quality(spark, folder).collect()
+             if r.held_out and r.doc_id in grade]
+    mean = [np.mean([e for g, e in found if g == k]) for k in (0, 1, 2)]
+    assert mean[0] < mean[1] < mean[2]
+    assert mean[0] < 0.3 and mean[2] > 1.6

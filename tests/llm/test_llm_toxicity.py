@@ -96,3 +96,50 @@ def test_long_and_short_texts_side_by_side(spark, monkeypatch):
     whole = {r.doc_id: round(r.score, 9) for r in score(docs, model).collect()}
     assert all(whole[i] == whole[i + 4] == whole[i + 8] for i in range(4))
     assert toxicity.CHAIN_BYTES > 0
+
+
+def test_labels_on_long_texts_only(spark, monkeypatch):
+    monkeypatch.setattr(toxicity, "SAMPLE_CHARS", 80)
+    for long_label in (0, 1):
+        rows = [
+            (r.doc_id, r.text + " w1 w2 w3" * (20 if r.toxic == long_label else 0), r.toxic)
+            for r in toy(spark).collect()
+        ]
+        train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+        scores = {r.doc_id: r.score for r in score(train, fit(train)).collect()}
+        assert all((scores[i] >= 0.5) == bool(t) for i, _, t in rows)
+
+
+def test_document_scores_against_a_plain_computation(spark):
+    model = fit(toy(spark))
+    rows = toy(spark).collect()
+    got = {r.doc_id: r.score for r in score(toy(spark), model).collect()}
+    for r in rows:
+        first, hashed = toxicity._hashed([r.text])
+        odds = toxicity._odds((hashed % np.uint64(toxicity.SIZE)).astype(np.int64), model)
+        n = len(odds)
+        # Forward and backward sums over states, token by token.
+        forward, backward = np.zeros((n, 2)), np.ones((n, 2))
+        a = np.exp(model.transition)
+        forward[0] = 1, odds[0] * np.exp(model.start)
+        for t in range(1, n):
+            forward[t] = forward[t - 1] @ a * (1, odds[t])
+            forward[t] /= forward[t].sum()
+        for t in range(n - 2, -1, -1):
+            backward[t] = a @ (backward[t + 1] * (1, odds[t + 1]))
+            backward[t] /= backward[t].sum()
+        both = forward * backward
+        marginal = both[:, 1] / both.sum(axis=1)
+        clear = marginal[marginal >= toxicity.CLEAR].sum()
+        x = np.array([1, marginal.max(), np.log1p(clear), np.sqrt(clear / n)])
+        assert abs(got[r.doc_id] - 1 / (1 + np.exp(-(x @ model.document)))) < 1e-9
+
+
+def test_telling_features_have_no_cap(spark):
+    rows = [(i, " ".join(f"q{i % 5}x{j}" for j in range(400)) if i % 2 else f"w{i} w", i % 2) for i in range(200)]
+    train = spark.createDataFrame(rows, "doc_id long, text string, toxic int")
+    _, hashed = toxicity._hashed([rows[1][1], rows[0][1]])
+    among = np.unique(hashed[:, : toxicity._TELLING].view(np.int64))
+    found = toxicity.telling_features(train, among)
+    names = hashed[:400, 0].view(np.int64)
+    assert np.isin(names, found).all() and not np.isin(hashed[400:, 0].view(np.int64), found).any()
