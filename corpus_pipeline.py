@@ -13,7 +13,7 @@ from lakeseries.llm.bpe import decode, encode
 from lakeseries.llm.decontaminate import without_overlaps
 from lakeseries.llm.minhash import near_classes
 from lakeseries.llm.stores import stored
-from lakeseries.llm.toxicity import THRESHOLD, train_and_score
+from lakeseries.llm.toxicity import THRESHOLD, score, trained
 from lakeseries.llm.windows import repeated_windows
 
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
@@ -24,9 +24,16 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents below the toxic threshold; the model learns from the labelled rows of ``docs``."""
-    scored = train_and_score(docs.select(*COLUMNS), docs, _table(spark, sf_dir, "labels"))
-    return scored.where(F.col("score") < THRESHOLD).select(*COLUMNS)
+    """Documents below the toxic threshold; the model learns from the labelled rows of ``docs``.
+
+    Without labels of both kinds nothing is known of toxic documents, and all stay.
+    Null and empty texts stay; repeated rows are judged alike; long texts are scored
+    whole; other columns are not passed on, whatever their names.
+    """
+    model = trained(docs, _table(spark, sf_dir, "labels"))
+    if not model.informed:
+        return docs.select(*COLUMNS)
+    return score(docs.select(*COLUMNS), model).where(F.col("score") < THRESHOLD).select(*COLUMNS)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
