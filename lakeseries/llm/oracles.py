@@ -45,17 +45,21 @@ WITH items AS (
 item_words AS (
   SELECT item_id, len(w) AS n, unnest(w) AS word, generate_subscripts(w, 1) AS i FROM items),
 doc_words AS (
-  SELECT doc_id, unnest(w) AS word, generate_subscripts(w, 1) AS p
+  SELECT doc_id, len(w) AS m, unnest(w) AS word, generate_subscripts(w, 1) AS p
   FROM (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), {_PLAIN}) AS w FROM documents)),
 same AS (
-  SELECT doc_id, item_id, n, p - i AS shift, i FROM doc_words JOIN item_words USING (word)),
+  SELECT doc_id, item_id, m, n, p - i AS shift, i FROM doc_words JOIN item_words USING (word)),
+short AS (
+  SELECT doc_id, item_id, n AS matched FROM same WHERE n < 13 AND (n >= 5 OR n = m)
+  GROUP BY doc_id, item_id, n, shift HAVING count(*) = n),
 ahead AS (
   SELECT doc_id, item_id, count(*) OVER (
            PARTITION BY doc_id, item_id, shift ORDER BY i
            RANGE BETWEEN CURRENT ROW AND 12 FOLLOWING) AS matched
   FROM same WHERE n >= 13)
 SELECT doc_id, item_id, CAST(max(matched) AS INTEGER) AS matched
-FROM ahead GROUP BY doc_id, item_id HAVING max(matched) >= 10
+FROM (SELECT doc_id, item_id, matched FROM ahead WHERE matched >= 10 UNION ALL SELECT * FROM short)
+GROUP BY doc_id, item_id
 """
 
 NOTICES = f"""

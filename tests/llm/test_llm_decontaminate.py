@@ -1,4 +1,5 @@
 import itertools
+import random
 
 import pytest
 
@@ -75,3 +76,37 @@ def test_empty_tables(make_docs, benchmark):
 def test_no_python_in_the_plan(make_docs, benchmark):
     plan = benchmark_overlaps(make_docs(["a"]), benchmark)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
+
+
+def test_short_items_are_compared_whole(spark, make_docs):
+    items = [(1, "alpha beta gamma delta epsilon zeta"), (2, "Alpha beta gamma delta epsilon"), (3, "yes"),
+             (4, "no way"), (5, " ".join(ITEM[:12])), (6, "..."), (None, "one two three four five")]
+    few = spark.createDataFrame(items, "item_id long, text string")
+    texts = ["so alpha, beta gamma delta epsilon zeta it is", "alpha beta gamma delta epsilon", "YES!",
+             "yes and no way", "no way", " ".join(["x", *ITEM]), " ".join([*ITEM[:6], "x", *ITEM[7:]]),
+             "alpha beta gamma delta x epsilon zeta", "One two three four five six", "", None]
+    found = benchmark_overlaps(make_docs(texts), few).collect()
+    assert sorted(((r.doc, r.item_id, r.matched) for r in found), key=repr) == sorted(
+        [(0, 1, 6), (0, 2, 5), (1, 2, 5), (2, 3, 1), (4, 4, 2), (5, 5, 12), (8, None, 5)], key=repr
+    )
+    kept = without_overlaps(make_docs(texts), few).collect()
+    assert sorted(r.doc_id for r in kept) == [3, 6, 7, 9, 10]
+
+
+def test_short_items_equal_sql(spark, make_docs):
+    import duckdb
+    import pyarrow as pa
+
+    from lakeseries.llm.oracles import ORACLES
+
+    rng = random.Random(5)
+    texts = [" ".join(rng.choice("ab") for _ in range(rng.randrange(18))) for _ in range(150)]
+    items = [(i, " ".join(rng.choice("ab") for _ in range(1 + i % 16))) for i in range(48)]
+    few = spark.createDataFrame(items, "item_id long, text string")
+    connection = duckdb.connect()
+    connection.register("documents", pa.table({"doc_id": list(range(150)), "text": texts}))
+    connection.register("benchmark", pa.table({"item_id": [i for i, _ in items], "text": [x for _, x in items]}))
+    want = connection.execute(ORACLES["op4_spaced_seeds"]).fetchall()
+    found = benchmark_overlaps(make_docs(texts), few).collect()
+    assert sorted((r.doc, r.item_id, r.matched) for r in found) == sorted(want)
+    assert len({i % 16 for _, i, _ in want}) > 10
