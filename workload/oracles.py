@@ -214,6 +214,29 @@ PERIOD = "periodo BETWEEN DATE '1996-03-01' AND DATE '1999-12-01'"
 SELECTED = f"serie_nome IN ('1-URGENT', '5-LOW') AND {PERIOD}"
 
 
+def grouping_sets(source: str, keys: str, levels: dict[str, str]) -> str:
+    """Aggregates of the observations themselves by ``levels`` (name and keys)."""
+    sets = ", ".join(f"({of})" for of in levels.values())
+    names = list(levels)
+    number = " ".join(
+        f"WHEN {sum(1 << (keys.count(',') - i) for i, k in enumerate(keys.split(', ')) if k not in of.split(', '))}"
+        f" THEN '{name}'"
+        for name, of in zip(names, levels.values(), strict=True)
+    )
+    return f"""
+SELECT CASE grouping({keys}) {number} END AS nivel, {keys},
+       sum(valor) AS soma, count(*) AS quantidade, sum(valor) / count(*) AS media,
+       min(valor) AS minimo, max(valor) AS maximo,
+       min(data) AS primeira_data, min({{'d': data, 'v': valor}}).v AS primeiro_valor,
+       max(data) AS ultima_data, max({{'d': data, 'v': valor}}).v AS ultimo_valor,
+       count(DISTINCT data) AS dias
+FROM (SELECT *, CAST(year(data) AS INTEGER) AS ano, CAST(quarter(data) AS INTEGER) AS trimestre,
+             CAST(month(data) AS INTEGER) AS mes
+      FROM ({source}) WHERE data IS NOT NULL AND valor IS NOT NULL)
+GROUP BY GROUPING SETS ({sets})
+"""
+
+
 def latest(source: str) -> str:
     return f"""
 SELECT * EXCLUDE (rn)
@@ -380,6 +403,27 @@ WHERE rn = 1
     "silver_from_orders": PRIORITY_SILVER,
     "monthly_by_series": MONTHLY_ORDERS,
     "monthly_lineitem": monthly(LINEITEM_SERIES),
+    "rollup_levels": grouping_sets(
+        ORDER_SERIES,
+        "serie_codigo, serie_nome, ano, trimestre, mes",
+        {
+            "mes": "serie_codigo, serie_nome, ano, trimestre, mes",
+            "trimestre": "serie_codigo, serie_nome, ano, trimestre",
+            "ano": "serie_codigo, serie_nome, ano",
+            "serie": "serie_codigo, serie_nome",
+            "total": "",
+        },
+    ),
+    "cube_levels": grouping_sets(
+        LINEITEM_SERIES,
+        "serie_codigo, serie_nome, ano",
+        {
+            "serie_e_ano": "serie_codigo, serie_nome, ano",
+            "serie": "serie_codigo, serie_nome",
+            "ano": "ano",
+            "total": "",
+        },
+    ),
     "monthly_lag_gap": monthly("""
 SELECT o_custkey AS serie_codigo, 'cliente_' || o_custkey AS serie_nome,
        CAST(o_orderdate AS DATE) AS data, round(o_totalprice * 100) AS valor

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.functions import br_date, br_date_text, br_number, catalog_date
-from lakeseries.operators import frames, gold, pages, quality, serve, silver, windows
+from lakeseries.operators import frames, gold, pages, quality, rollup, serve, silver, windows
 from lakeseries.operators.asof import asof_join as last_known
 from lakeseries.plans.batch import BatchConfig, run_batch
 from lakeseries.plans.incremental import (
@@ -360,6 +360,18 @@ def accumulated_months(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def rollup_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Months, quarters, years, series and total of one series per priority."""
+    return rollup.grouped(rollup.month_states(order_series(spark, sf_dir)))
+
+
+@query
+def cube_levels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Series by year, each margin and the total of one series per return flag."""
+    return rollup.grouped(rollup.month_states(lineitem_series(spark, sf_dir)), rollup.CUBE)
+
+
 @query
 def series_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every record with its place in the joined pages of its series."""
