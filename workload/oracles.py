@@ -105,6 +105,37 @@ FROM (SELECT o_custkey,
 GROUP BY o_custkey
 """
 
+CUSTOMER_LIMITS = """
+SELECT o_custkey AS serie_codigo, CAST(o_orderdate AS DATE) AS valido_de,
+       CASE WHEN o_orderstatus <> 'O' THEN CAST(o_orderdate AS DATE) + 180
+            ELSE DATE '9999-12-31' END AS valido_ate,
+       100000.0 AS minimo, round(o_totalprice * 100) AS maximo, o_orderkey AS limite
+FROM orders WHERE o_orderpriority = '1-URGENT'
+"""
+
+
+def silver_of(day: str) -> str:
+    """The records of one ingestion day, the latest of each series and date."""
+    return f"""
+SELECT serie_codigo, serie_nome, data, valor
+FROM (SELECT *, row_number() OVER (
+          PARTITION BY serie_codigo, data
+          ORDER BY janela_inicio DESC, pagina DESC, posicao DESC) AS rn
+      FROM ({PRIORITY_RECORDS}) WHERE valor IS NOT NULL AND data_ingestao = '{day}')
+WHERE rn = 1
+"""
+
+
+def islands(pause_days: int) -> str:
+    """Days with rows, each with the begin of its run and the end of the run before."""
+    return f"""
+SELECT *, max(CASE WHEN antes IS NULL OR data - antes > {pause_days} THEN data END)
+            OVER (PARTITION BY serie_codigo ORDER BY data) AS inicio
+FROM (SELECT serie_codigo, data, count(*) AS linhas, sum(valor) AS soma,
+             lag(data) OVER (PARTITION BY serie_codigo ORDER BY data) AS antes
+      FROM ({CUSTOMER_SERIES}) GROUP BY serie_codigo, data)
+"""
+
 
 def windows(requests: str) -> str:
     """Recursive body: each window from the one before."""
@@ -564,4 +595,83 @@ FROM records
     "incremental_monthly": monthly(PRIORITY_SILVER),
     "incremental_comparison": wide(PRIORITY_SILVER),
     "streaming_monthly": monthly(PRIORITY_SILVER),
+    "silver_changes": f"""
+SELECT coalesce(a.serie_codigo, d.serie_codigo) AS serie_codigo,
+       coalesce(a.data, d.data) AS data,
+       CASE WHEN a.data IS NULL THEN 'inserido' WHEN d.data IS NULL THEN 'removido'
+            ELSE 'alterado' END AS mudanca,
+       a.serie_nome AS serie_nome_antes, a.valor AS valor_antes,
+       d.serie_nome AS serie_nome_depois, d.valor AS valor_depois
+FROM ({silver_of("2026-07-20")}) a
+FULL JOIN ({silver_of("2026-07-23")}) d ON a.serie_codigo = d.serie_codigo AND a.data = d.data
+WHERE a.data IS NULL OR d.data IS NULL OR a.valor IS DISTINCT FROM d.valor
+   OR a.serie_nome IS DISTINCT FROM d.serie_nome
+""",
+    "series_runs": f"""
+SELECT serie_codigo, inicio, max(data) AS fim, count(*) AS dias,
+       CAST(sum(linhas) AS BIGINT) AS linhas, sum(soma) AS soma,
+       max(CASE WHEN data = inicio THEN antes END) AS fim_anterior
+FROM ({islands(90)}) GROUP BY serie_codigo, inicio
+""",
+    "series_gaps": f"""
+SELECT serie_codigo, antes + 1 AS falta_de, data - 1 AS falta_ate,
+       CAST(data - antes - 1 AS INTEGER) AS dias
+FROM ({islands(1)}) WHERE data - antes > 1
+""",
+    "month_spine": f"""
+WITH months AS (
+  SELECT serie_codigo, CAST(date_trunc('month', data) AS DATE) AS mes,
+         count(*) AS quantidade, sum(valor) AS soma
+  FROM ({CUSTOMER_SERIES}) GROUP BY ALL),
+spine AS (
+  SELECT serie_codigo, CAST(unnest(generate_series(min(mes), max(mes), INTERVAL 1 MONTH)) AS DATE) AS mes
+  FROM months GROUP BY serie_codigo)
+SELECT s.serie_codigo, s.mes, coalesce(m.quantidade, 0) AS quantidade, m.soma,
+       CAST(CASE WHEN m.mes IS NULL THEN 0 ELSE
+         coalesce(date_diff('month', max(m.mes) OVER (PARTITION BY s.serie_codigo ORDER BY s.mes
+                  ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), s.mes) - 1, 0) END AS INTEGER) AS sem_dados
+FROM spine s LEFT JOIN months m ON m.serie_codigo = s.serie_codigo AND m.mes = s.mes
+""",
+    "range_by_period": f"""
+SELECT r.serie_codigo, count(*) AS verificacoes,
+       count(*) FILTER (WHERE p.limite IS NULL) AS sem_periodo,
+       count(*) FILTER (WHERE r.valor < coalesce(p.minimo, 0)
+                           OR r.valor > coalesce(p.maximo, 20000000)) AS fora_da_faixa
+FROM ({CUSTOMER_SERIES}) r
+LEFT JOIN ({CUSTOMER_LIMITS}) p
+       ON p.serie_codigo = r.serie_codigo AND r.data BETWEEN p.valido_de AND p.valido_ate
+GROUP BY r.serie_codigo
+""",
+    "period_overlaps": f"""
+SELECT o.o_custkey AS serie_codigo, o.o_orderkey, p.limite
+FROM orders o JOIN ({CUSTOMER_LIMITS}) p
+  ON p.serie_codigo = o.o_custkey AND CAST(o.o_orderdate AS DATE) <= p.valido_ate
+     AND p.valido_de <= CAST(o.o_orderdate AS DATE) + 30
+""",
+    # The same buckets: the rank of a quantile is exact, its value within 1 %.
+    "approximate_quantiles": f"""
+WITH buckets AS (
+  SELECT serie_codigo, CAST(year(data) AS INTEGER) AS ano, CAST(sign(valor) AS INTEGER) AS sinal,
+         CASE WHEN valor = 0 THEN 0
+              ELSE CAST(ceil(ln(abs(valor)) / ln(1.01 / 0.99)) AS INTEGER) END AS faixa,
+         count(*) AS n
+  FROM ({LINEITEM_SERIES}) WHERE valor IS NOT NULL GROUP BY ALL),
+counted AS (
+  SELECT *, CAST(sum(n) OVER (PARTITION BY serie_codigo, ano) AS BIGINT) AS quantidade,
+         sum(n) OVER (PARTITION BY serie_codigo, ano ORDER BY sinal, sinal * faixa) AS ate
+  FROM buckets),
+asked AS (
+  SELECT *, CAST(floor(q * (quantidade - 1)) AS BIGINT) + 1 AS posicao
+  FROM counted, (VALUES (CAST(0 AS DOUBLE)), (0.25), (0.5), (0.9), (0.99), (1)) AS t(q))
+SELECT serie_codigo, ano, q, posicao, quantidade, sinal, faixa,
+       CASE WHEN sinal = 0 THEN 0.0
+            ELSE round(sinal * 2 * pow(CAST(1.01 / 0.99 AS DOUBLE), faixa) / (1.01 / 0.99 + 1)) END AS valor
+FROM asked WHERE posicao <= ate AND posicao > ate - n
+""",
+    "approximate_distinct": """
+SELECT CASE l_returnflag WHEN 'A' THEN 1 WHEN 'N' THEN 2 ELSE 3 END AS serie_codigo,
+       CAST(year(l_shipdate) AS INTEGER) AS ano, count(DISTINCT l_partkey) AS distintos,
+       TRUE AS no_limite
+FROM lineitem GROUP BY ALL
+""",
 }

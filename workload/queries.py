@@ -7,7 +7,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from lakeseries.functions import br_date, br_date_text, br_number, catalog_date
-from lakeseries.operators import frames, gold, pages, quality, rollup, serve, silver, windows
+from lakeseries.operators import (
+    frames,
+    gaps,
+    gold,
+    pages,
+    periods,
+    quality,
+    rollup,
+    serve,
+    silver,
+    sketches,
+    snapshots,
+    windows,
+)
 from lakeseries.operators.asof import asof_join as last_known
 from lakeseries.plans.batch import BatchConfig, run_batch
 from lakeseries.plans.incremental import (
@@ -392,6 +405,88 @@ def series_positions(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query
+def series_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders of a customer that are at most 90 days apart."""
+    return gaps.series_runs(customer_series(spark, sf_dir), pause_days=90)
+
+
+@query
+def series_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Days without an order between two orders of a customer."""
+    return gaps.series_gaps(customer_series(spark, sf_dir))
+
+
+@query
+def month_spine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return gaps.month_spine(customer_series(spark, sf_dir))
+
+
+# Validity periods
+
+
+def _customer_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An urgent order limits its customer's orders for 180 days, an open one without end."""
+    date = F.to_date("o_orderdate")
+    return table(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(
+        F.col("o_custkey").alias("serie_codigo"),
+        date.alias("valido_de"),
+        F.when(F.col("o_orderstatus") != "O", F.date_add(date, 180)).alias("valido_ate"),
+        F.lit(100_000.0).alias("minimo"),
+        cents("o_totalprice").alias("maximo"),
+        F.col("o_orderkey").alias("limite"),
+    )
+
+
+@query
+def range_by_period(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders out of the ranges valid at their dates; other dates have a default."""
+    limits = _customer_limits(spark, sf_dir)
+    rows = customer_series(spark, sf_dir)
+    return periods.range_by_period(rows, limits, default=(0, 20_000_000))
+
+
+@query
+def period_overlaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 30 days after each order against the limits of its customer."""
+    date = F.to_date("o_orderdate")
+    deliveries = table(spark, sf_dir, "orders").select(
+        F.col("o_custkey").alias("serie_codigo"), "o_orderkey", date.alias("de"),
+        F.date_add(date, 30).alias("ate"),
+    )
+    return periods.overlaps(deliveries, _customer_limits(spark, sf_dir)).select(
+        "serie_codigo", "o_orderkey", "limite"
+    )
+
+
+# Sketches
+
+
+@query
+def approximate_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quantiles of series and year, merged from stored sketches of months."""
+    kept = stored(sketches.quantile_sketch(lineitem_series(spark, sf_dir)), "faixas")
+    found = sketches.quantiles(kept, [0, 0.25, 0.5, 0.9, 0.99, 1], ("serie_codigo", "ano"))
+    return found.withColumn("valor", F.round("valor"))
+
+
+@query
+def approximate_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Distinct parts by series and year: the merged estimate lies within four standard errors."""
+    rows = _shipments(spark, sf_dir)
+    kept = stored(sketches.distinct_sketch(rows, "l_partkey"), "registros")
+    keys = ["serie_codigo", "ano"]
+    estimate = sketches.distinct_estimates(kept, keys)
+    dated = rows.where("data is not null").withColumn("ano", F.year("data"))
+    # Distinct pairs first: no task holds the parts of a year of a series.
+    exact = dated.select(*keys, "l_partkey").distinct().groupBy(*keys).agg(
+        F.count("l_partkey").alias("distintos")
+    )
+    error = F.abs(F.col("estimativa") - F.col("distintos"))
+    within = error <= F.col("distintos") * 4 * 1.04 / 2 ** (sketches.HLL_BITS / 2) + 1
+    return exact.join(estimate, keys).select(*keys, "distintos", within.alias("no_limite"))
+
+
 # Quality
 
 
@@ -612,6 +707,20 @@ def incremental_comparison(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_comparison(spark, _added(spark, sf_dir))
 
 
+@query
+def silver_changes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver of one ingestion day against silver of another."""
+    documents = stored(_priority_documents(spark, sf_dir), "documentos")
+    base = work_path(spark, "retratos")
+    states = [
+        snapshots.write_snapshot(
+            silver.bronze_to_silver(documents.where(F.col("data_ingestao") == day)), base
+        )
+        for day in ("2026-07-20", "2026-07-23")
+    ]
+    return snapshots.snapshot_changes(spark, *states, SILVER_SCHEMA)
+
+
 @query
 def streaming_monthly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages that land in three drops, taken in one drop after the other."""
