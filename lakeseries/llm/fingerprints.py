@@ -14,14 +14,16 @@ chance once in 65,535 times at any length of the texts. The likeness of two
 fingerprints is the share of bins that agree.
 """
 
-import math
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from lakeseries.llm.stores import stored
 from lakeseries.llm.vectors import PrefixHash, mix, slices
 
 LEVELS = (2, 3)
@@ -130,45 +132,87 @@ def _hex(rows: np.ndarray) -> list[str]:
     return [x.astype(">u2").tobytes().hex() for x in rows]
 
 
-def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Each text with the one after it; ``guest`` rows only serve as the one after."""
-    held: tuple | None = None
-    for batch in batches:
-        for at in range(0, batch.num_rows, 2_000):
-            part = batch.slice(at, 2_000)
-            ids = part.column("id").to_pylist()
-            texts = [x or "" for x in part.column("text").to_pylist()]
-            guests = part.column("guest").to_pylist()
-            own = _of_texts(texts)
-            if held is not None:
-                ids, texts, guests = [held[0], *ids], [held[1], *texts], [held[2], *guests]
-                own = np.concatenate([held[3], own])
-            held = ids[-1], texts[-1], guests[-1], own[-1:]
-            row = [i for i in range(len(ids) - 1) if not guests[i]]
-            if not row:
-                continue
-            edited = [_edited(texts[i], texts[i + 1]) for i in row]
-            changed = _of_texts(edited)
-            mine = own[row]
-            yield pa.RecordBatch.from_pydict(
-                {"id": [ids[i] for i in row],
-                 "n_chars": pa.array([len(texts[i]) for i in row], pa.int64()),
-                 "edited": edited, "fingerprint": _hex(mine),
-                 "edited_fingerprint": _hex(changed), "near_edited": likeness(mine, changed),
-                 "near_next": likeness(mine, own[[i + 1 for i in row]])},
-                schema=_RESULT,
-            )
-
-
-_RESULT = pa.schema(
+# Rows of a range of ids: a text with the one after it, the range's first and last text.
+PAIR, FIRST, LAST = 0, 1, 2
+
+_RANGE = pa.schema(
     [("id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()),
-     ("fingerprint", pa.string()), ("edited_fingerprint", pa.string()),
-     ("near_edited", pa.float64()), ("near_next", pa.float64())]
+     ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
+     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
+     ("near_next", pa.float64()), ("part", pa.int32()), ("kind", pa.int32()),
+     ("text", pa.string())]
 )
-_COLUMNS = (
-    "id long, n_chars long, edited string, fingerprint string, edited_fingerprint string, "
-    "near_edited double, near_next double"
+_RANGE_COLUMNS = (
+    "id long, n_chars long, edited string, edited_sha256 string, fingerprint string, "
+    "edited_fingerprint string, near_edited double, near_next double, part int, kind int, "
+    "text string"
 )
+_RESULT = _RANGE.names[:8]
+
+
+def _pairs(
+    ids: list, texts: list[str], after: list[str], own: np.ndarray, following: np.ndarray,
+    with_edited: bool,
+) -> pa.RecordBatch:
+    edited = [_edited(x, y) for x, y in zip(texts, after, strict=True)]
+    changed = _of_texts(edited)
+    n = len(ids)
+    columns = [
+        ids, [len(x) for x in texts], edited if with_edited else [None] * n,
+        [hashlib.sha256(x.encode()).hexdigest() for x in edited], _hex(own), _hex(changed),
+        likeness(own, changed), likeness(own, following), [TaskContext.get().partitionId()] * n,
+        [PAIR] * n, [None] * n,
+    ]
+    arrays = [pa.array(c, f.type) for c, f in zip(columns, _RANGE, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, schema=_RANGE)
+
+
+def _border(kind: int, name: int | None, text: str, own: np.ndarray) -> pa.RecordBatch:
+    row = dict.fromkeys(_RANGE.names)
+    row |= {"id": name, "fingerprint": _hex(own)[0], "part": TaskContext.get().partitionId(),
+            "kind": kind, "text": text}
+    return pa.RecordBatch.from_pylist([row], schema=_RANGE)
+
+
+def _compare(with_edited: bool):
+    """Each text of a sorted range with the one after it, and the range's two borders."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: tuple | None = None
+        for batch in batches:
+            for at in range(0, batch.num_rows, 2_000):
+                part = batch.slice(at, 2_000)
+                ids = part.column("id").to_pylist()
+                texts = [x or "" for x in part.column("text").to_pylist()]
+                own = _of_texts(texts)
+                if held is None:
+                    yield _border(FIRST, ids[0], texts[0], own[:1])
+                else:
+                    ids, texts = [held[0], *ids], [held[1], *texts]
+                    own = np.concatenate([held[2], own])
+                held = ids[-1], texts[-1], own[-1:]
+                if len(ids) > 1:
+                    yield _pairs(ids[:-1], texts[:-1], texts[1:], own[:-1], own[1:], with_edited)
+        if held is not None:
+            yield _border(LAST, *held)
+
+    return compare
+
+
+def _compare_borders(with_edited: bool):
+    """Last texts of ranges with the first ones of the next range."""
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for at in range(batch.num_rows):
+                row = batch.slice(at, 1).to_pylist()[0]
+                own, following = (
+                    np.frombuffer(bytes.fromhex(row[c]), ">u2").astype(np.uint16)[None, :]
+                    for c in ("fingerprint", "next_fingerprint")
+                )
+                yield _pairs([row["id"]], [row["text"]], [row["next_text"]], own, following, with_edited)
+
+    return compare
 
 
 def _fingerprint_column(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -187,69 +231,54 @@ def fingerprint_texts(docs: DataFrame, text: str = "text", id_column: str = "doc
     return found.withColumnRenamed("id", id_column)
 
 
-def _part(key: str, bounds: list[int]) -> Column:
-    """How many of the descending ``bounds`` are greater than the key.
-
-    The bounds are searched in two steps of about ``sqrt(len(bounds))`` each.
-    """
-    step = max(1, math.isqrt(len(bounds)))
-    heads = bounds[step - 1 :: step]
-    groups = [bounds[i : i + step] for i in range(0, len(bounds) + 1, step)]
-
-    def above(array: Column) -> Column:
-        return F.size(F.filter(array, lambda b: b > F.col(key)))
-
-    if not bounds:
-        return F.lit(0)
-    outer = above(F.array(*[F.lit(b).cast("long") for b in heads]))
-    tables = F.array(*[F.array(*[F.lit(b).cast("long") for b in g]).cast("array<bigint>") for g in groups])
-    return outer * step + above(F.element_at(tables, outer + 1))
-
-
-def with_next(docs: DataFrame, text: str = "text", id_column: str = "doc_id") -> DataFrame:
+def with_next(
+    docs: DataFrame, text: str = "text", id_column: str = "doc_id", edited_texts: bool = True
+) -> DataFrame:
     """Texts against an edited form and against the next text, in descending order of ids.
 
     Per row: the id, ``n_chars``, ``edited`` (the last third of the code points
-    replaced by the first as many of the next text, rounded down), both
-    fingerprints, and the likeness to the edited and to the next text. After the
-    last text comes the first. A single text is its own next.
-
-    Null texts count as empty. Null ids come last. Other columns are not read and
-    not returned. Rows with the same id are
-    ordered by a hash of their texts; of rows equal in both, any may come first.
-
-    Texts are dealt by ranges of ids; the first row of each range also goes to
-    the range before it, so no text is moved more than once or twice.
+    replaced by the first as many of the next text, rounded down) and its
+    ``edited_sha256``, both fingerprints, and the likeness to the edited and to the
+    next text. After the last text comes the first. A single text is its own next.
+    Without ``edited_texts``, ``edited`` is null and only its digest is stored.
+
+    Null texts count as empty. Null ids come last. Other columns, whatever their
+    names, are not read and not returned. Long texts are parsed whole. Rows with the
+    same id are ordered by a hash of their texts; rows equal in both come in any order.
+
+    Texts are sorted in ranges of ids over the cluster, each moved once; repeated
+    rows of one id may lie in several ranges. The result is stored in the shared folder
+    with the first and last text of each range, and these meet in a join
+    of one row per range. Nothing is collected but the size of the table.
     """
     keyed = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{text}`").alias("text")
     ).withColumns(
         {"k": F.coalesce("id", F.lit(-(1 << 63))),
-         "v": F.xxhash64(F.coalesce("text", F.lit("")))}
+         "v": F.xxhash64(F.coalesce("text", F.lit(""))),
+         "n": F.monotonically_increasing_id()}
     )
-    size, n_rows = keyed.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    size = keyed.agg(F.sum(F.octet_length("text"))).first()[0]
     n_parts = max(MIN_PARTS, -(-(size or 0) // PART_BYTES))
-    shares = [i / n_parts for i in range(1, n_parts)]
-    found = keyed.select("k").approxQuantile("k", shares, 0.1 / n_parts) if n_rows else []
-    bounds = sorted({min(max(int(x), -(1 << 63)), (1 << 63) - 1) for x in found}, reverse=True)
-    parted = keyed.withColumn("part", _part("k", bounds))
-    # One row per range: its first id and text.
-    firsts = parted.groupBy("part").agg(F.max(F.struct("k", "v")).alias("f")).orderBy("part").collect()
-    before = [r["part"] for r in firsts]
-    before = before[-1:] + before[:-1]
-    guest = docs.sparkSession.createDataFrame(
-        [(b, r["f"]["k"], r["f"]["v"]) for b, r in zip(before, firsts, strict=True)],
-        "to long, k long, v long",
+    order = [F.desc("k"), F.desc("v"), "n"]
+    dealt = keyed.repartitionByRange(n_parts, *order).sortWithinPartitions(*order)
+    compared = dealt.select("id", "text").mapInArrow(_compare(edited_texts), _RANGE_COLUMNS)
+    ranges = stored(compared, "ranges")
+    first = ranges.where(F.col("kind") == FIRST)
+    last = ranges.where(F.col("kind") == LAST).select("part", "id", "text", "fingerprint")
+    # One number per range that has texts; after the last comes the first.
+    following = Window.partitionBy(F.lit(0)).orderBy("part")
+    whole = Window.partitionBy(F.lit(0))
+    after = first.select(
+        "part", F.coalesce(F.lead("part").over(following), F.min("part").over(whole)).alias("next_part")
     )
-    guests = keyed.join(F.broadcast(guest), ["k", "v"]).dropDuplicates(["to"]).select(
-        "id", "text", "k", "v", F.col("to").alias("part"), F.lit(True).alias("guest")
-    )
-    rows = parted.withColumn("guest", F.lit(False)).select("id", "text", "k", "v", "part", "guest")
-    dealt = (
-        rows.unionByName(guests)
-        .repartition(F.col("part"))
-        .sortWithinPartitions("part", "guest", F.desc("k"), F.desc("v"))
-    )
-    return dealt.select("id", "text", "guest").mapInArrow(_compare, _COLUMNS).withColumnRenamed(
-        "id", id_column
+    heads = first.select(
+        F.col("part").alias("next_part"), F.col("text").alias("next_text"),
+        F.col("fingerprint").alias("next_fingerprint"),
+    )
+    met = last.join(after, "part").join(heads, "next_part")
+    borders = met.select("id", "text", "fingerprint", "next_text", "next_fingerprint").mapInArrow(
+        _compare_borders(edited_texts), _RANGE_COLUMNS
     )
+    inside = ranges.where(F.col("kind") == PAIR).select(*_RESULT)
+    return inside.unionByName(borders.select(*_RESULT)).withColumnRenamed("id", id_column)

@@ -85,10 +85,10 @@ def op7_superkmer_windows(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_phrase_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return with_next(_texts(spark, sf_dir)).select(
+    return with_next(_texts(spark, sf_dir), edited_texts=False).select(
         "doc_id",
         "n_chars",
-        _sha("edited").alias("edited_sha256"),
+        "edited_sha256",
         "fingerprint",
         "edited_fingerprint",
         "near_edited",

@@ -70,6 +70,32 @@ def test_repeated_rows_all_come_out(make_docs):
     assert sorted(r.n_chars for r in found) == [7, 9, 14, 14]
 
 
+def test_ranges_of_one_id_and_of_few_rows(make_docs, monkeypatch):
+    """Repeated rows fill several ranges, and many ranges have no row."""
+    from lakeseries.llm import fingerprints as module
+
+    monkeypatch.setattr(module, "PART_BYTES", 100)
+    rows = [(7, "the same words again and again")] * 60 + [(9, "first of all"), (None, "the last one")]
+    docs = make_docs(rows)
+    found = sorted((r.n_chars, r.edited) for r in with_next(docs).collect())
+    same = "the same words again and again"
+    want = [(12, "first of" + "the "), (12, "the last" + "firs")]
+    want += [(30, same[:20] + same[:10])] * 59 + [(30, same[:20] + "the last o")]
+    assert found == sorted(want)
+    digests = with_next(docs, edited_texts=False).collect()
+    assert all(r.edited is None for r in digests)
+    assert sorted(r.edited_sha256 for r in digests) == sorted(
+        hashlib.sha256(e.encode()).hexdigest() for _, e in want
+    )
+
+
+def test_no_range_is_collected_or_broadcast(make_docs):
+    from lakeseries.llm import fingerprints as module
+
+    names = module.with_next.__code__.co_names
+    assert "collect" not in names and "broadcast" not in names and "approxQuantile" not in names
+
+
 def test_equal_substrings_share_interior_phrases():
     rng = random.Random(8)
     common = bytes(rng.choice(b"abcdefgh ") for _ in range(2_000))
