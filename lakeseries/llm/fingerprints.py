@@ -128,8 +128,12 @@ def _edited(text: str, after: str) -> str:
     return text[: len(text) - n] + after[:n]
 
 
+def _raw(rows: np.ndarray) -> list[bytes]:
+    return [x.astype(">u2").tobytes() for x in rows]
+
+
 def _hex(rows: np.ndarray) -> list[str]:
-    return [x.astype(">u2").tobytes().hex() for x in rows]
+    return [x.hex() for x in _raw(rows)]
 
 
 # Rows of a range of ids: a text with the one after it, the range's first and last text.
@@ -137,17 +141,18 @@ PAIR, FIRST, LAST = 0, 1, 2
 
 _RANGE = pa.schema(
     [("id", pa.int64()), ("n_chars", pa.int64()), ("edited", pa.string()),
-     ("edited_sha256", pa.string()), ("fingerprint", pa.string()),
-     ("edited_fingerprint", pa.string()), ("near_edited", pa.float64()),
+     ("edited_sha256", pa.binary()), ("fingerprint", pa.binary()),
+     ("edited_fingerprint", pa.binary()), ("near_edited", pa.float64()),
      ("near_next", pa.float64()), ("part", pa.int32()), ("kind", pa.int32()),
      ("text", pa.string())]
 )
 _RANGE_COLUMNS = (
-    "id long, n_chars long, edited string, edited_sha256 string, fingerprint string, "
-    "edited_fingerprint string, near_edited double, near_next double, part int, kind int, "
+    "id long, n_chars long, edited string, edited_sha256 binary, fingerprint binary, "
+    "edited_fingerprint binary, near_edited double, near_next double, part int, kind int, "
     "text string"
 )
 _RESULT = _RANGE.names[:8]
+_BYTES = ("edited_sha256", "fingerprint", "edited_fingerprint")  # hexadecimal when returned
 
 
 def _pairs(
@@ -159,7 +164,7 @@ def _pairs(
     n = len(ids)
     columns = [
         ids, [len(x) for x in texts], edited if with_edited else [None] * n,
-        [hashlib.sha256(x.encode()).hexdigest() for x in edited], _hex(own), _hex(changed),
+        [hashlib.sha256(x.encode()).digest() for x in edited], _raw(own), _raw(changed),
         likeness(own, changed), likeness(own, following), [TaskContext.get().partitionId()] * n,
         [PAIR] * n, [None] * n,
     ]
@@ -169,7 +174,7 @@ def _pairs(
 
 def _border(kind: int, name: int | None, text: str, own: np.ndarray) -> pa.RecordBatch:
     row = dict.fromkeys(_RANGE.names)
-    row |= {"id": name, "fingerprint": _hex(own)[0], "part": TaskContext.get().partitionId(),
+    row |= {"id": name, "fingerprint": _raw(own)[0], "part": TaskContext.get().partitionId(),
             "kind": kind, "text": text}
     return pa.RecordBatch.from_pylist([row], schema=_RANGE)
 
@@ -207,7 +212,7 @@ def _compare_borders(with_edited: bool):
             for at in range(batch.num_rows):
                 row = batch.slice(at, 1).to_pylist()[0]
                 own, following = (
-                    np.frombuffer(bytes.fromhex(row[c]), ">u2").astype(np.uint16)[None, :]
+                    np.frombuffer(row[c], ">u2").astype(np.uint16)[None, :]
                     for c in ("fingerprint", "next_fingerprint")
                 )
                 yield _pairs([row["id"]], [row["text"]], [row["next_text"]], own, following, with_edited)
@@ -281,4 +286,6 @@ def with_next(
         _compare_borders(edited_texts), _RANGE_COLUMNS
     )
     inside = ranges.where(F.col("kind") == PAIR).select(*_RESULT)
-    return inside.unionByName(borders.select(*_RESULT)).withColumnRenamed("id", id_column)
+    found = inside.unionByName(borders.select(*_RESULT))
+    shown = found.withColumns({c: F.lower(F.hex(c)) for c in _BYTES})
+    return shown.withColumnRenamed("id", id_column)
