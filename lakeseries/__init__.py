@@ -7,6 +7,7 @@ from lakeseries.operators.frames import (
     trailing_days,
     trailing_rows,
 )
+from lakeseries.operators.gaps import month_spine, series_gaps, series_runs
 from lakeseries.operators.gold import comparison, monthly, with_percent_change
 from lakeseries.operators.pages import (
     assemble_documents,
@@ -15,6 +16,7 @@ from lakeseries.operators.pages import (
     series_totals,
     validate_pages,
 )
+from lakeseries.operators.periods import overlaps, period_join, range_by_period
 from lakeseries.operators.quality import DataQualityError, quality_report, require_quality
 from lakeseries.operators.serve import (
     comparison_long,
@@ -36,6 +38,7 @@ from lakeseries.operators.silver import (
     keep_latest,
     normalise,
 )
+from lakeseries.operators.snapshots import snapshot_changes, write_snapshot
 from lakeseries.operators.windows import invalid_requests, year_windows
 from lakeseries.plans.batch import BatchConfig, BatchMetrics, run_batch
 from lakeseries.plans.incremental import IncrementalConfig, merge_documents
@@ -80,11 +83,15 @@ __all__ = [
     "kpi_cards",
     "latest_per_series",
     "merge_documents",
+    "month_spine",
     "monthly",
     "monthly_view",
     "normalise",
+    "overlaps",
     "period_bounds",
+    "period_join",
     "quality_report",
+    "range_by_period",
     "read_bronze",
     "read_catalog",
     "read_table",
@@ -92,15 +99,19 @@ __all__ = [
     "run_batch",
     "run_ingestion",
     "running_totals",
+    "series_gaps",
     "series_options",
     "series_points",
     "series_positions",
+    "series_runs",
     "series_totals",
+    "snapshot_changes",
     "trailing_days",
     "trailing_rows",
     "validate_pages",
     "with_percent_change",
     "write_bronze",
+    "write_snapshot",
     "write_table",
     "year_windows",
 ]
