@@ -121,7 +121,8 @@ def land(batch: DataFrame, lot: int, config: StreamConfig) -> None:
     the odd number that follows.
     """
     spark, base = batch.sparkSession, config.base.rstrip("/")
-    closed = _closed_before(spark, base, lot)
+    # A row for each closed day. By the date all pages of a run would meet in one task.
+    closed = F.broadcast(_closed_before(spark, base, lot))
     known = batch.where(F.to_date("data_ingestao").isNotNull())
     _write(known.join(closed, "data_ingestao", "left_semi"), f"{base}/{LATE}", lot)
     on_time = known.join(closed, "data_ingestao", "left_anti")

@@ -238,3 +238,18 @@ def test_a_restart_loses_and_doubles_nothing(spark, stream, monkeypatch, place):
     _same_as_rebuild(spark, stream.base, _expected(spark, sum(DROPS, [])))
     assert read_late(spark, stream.base).count() == 0
     assert read_failures(spark, stream.base).count() == 1
+
+
+def test_the_pages_of_one_run_land_from_several_tasks(spark, stream):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    closed = spark.createDataFrame([("2024-04-30",)], "data_ingestao string")
+    landing._write(closed, f"{stream.base}/{landing.CLOSED}", 0)
+    pages = [_page(code, 1 + code % 28, 0, "2024-05-01", code) for code in range(64)]
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        dealt = spark.sparkContext.parallelize(pages, 8)
+        landing.land(spark.createDataFrame(dealt, landing.STREAM_SCHEMA), 2, stream)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    landed = os.walk(f"{stream.base}/{landing.LANDED}")
+    assert sum(name.endswith(".parquet") for _, _, names in landed for name in names) == 8
