@@ -8,8 +8,8 @@ change, each in logarithmic time, so long matches cost n log n.
 """
 
 import base64
-from collections.abc import Iterator
-from itertools import chain
+from array import array
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -17,11 +17,11 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 
 from lakeseries.llm.rows import as_rows, with_fields
-from lakeseries.llm.vectors import gathered, slices
+from lakeseries.llm.vectors import column_bytes, gathered, release, slices
 
-_CACHED = 300_000  # matches in a generation of those a worker remembers; it only saves time
+_CACHED = 200_000  # matches in a generation of those a worker remembers; it only saves time
 _CACHED_CHARS = 64
-_IDS = 1_000_000  # ids decoded at once, those of one text at least
+_IDS = 250_000  # ids decoded at once, those of one text at least
 _LONG = 1_000_000  # texts whose matches are taken one by one
 
 
@@ -85,7 +85,7 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
 
 
 class _Ids(dict):
-    """Ids of matches, worked out when first asked for.
+    """Ids of matches, worked out when first asked for and kept as packed integers.
 
     Two generations: when the young one is full it becomes the old one, so
     matches in use stay known and memory stays bounded.
@@ -94,12 +94,19 @@ class _Ids(dict):
     def __init__(self, ranks: dict[bytes, int]):
         super().__init__()
         self._ranks = ranks
-        self._old: dict[str, tuple[int, ...]] = {}
+        self._old: dict[str, bytes] = {}
 
-    def __missing__(self, piece: str) -> tuple[int, ...]:
+    def __getitem__(self, piece: str) -> tuple[int, ...]:
+        return tuple(self.of([piece]).tolist())
+
+    def of(self, pieces: Iterable[str]) -> np.ndarray:
+        """Ids of the matches, one after the other."""
+        return np.frombuffer(b"".join(map(super().__getitem__, pieces)), np.int32)
+
+    def __missing__(self, piece: str) -> bytes:
         ids = self._old.get(piece)
         if ids is None:
-            ids = tuple(merge(piece.encode(), self._ranks))
+            ids = array("i", merge(piece.encode(), self._ranks)).tobytes()
         if len(piece) <= _CACHED_CHARS:
             if len(self) >= _CACHED:
                 self._old = dict(self)
@@ -134,20 +141,23 @@ def encode(docs: DataFrame, path: str, pattern: str, text: str = "text") -> Data
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         split, ids_of = _encoder(path, pattern, ranks)
         for batch in batches:
-            out, ends = [], [0]
-            for value in batch.column("_row").field(text):
-                plain = value.as_py() or ""
-                if len(plain) < _LONG:
-                    pieces = split.findall(plain)
-                else:
-                    pieces = (m.group() for m in split.finditer(plain))
-                ids = np.fromiter(chain.from_iterable(map(ids_of.__getitem__, pieces)), np.int32)
-                out.append(ids)
-                ends.append(ends[-1] + len(ids))
-            ids = pa.ListArray.from_arrays(
-                pa.array(ends, pa.int32()), pa.array(np.concatenate(out) if out else [], pa.int32())
-            )
-            yield pa.RecordBatch.from_arrays([batch.column("_row"), ids], ["_row", "ids"])
+            own = batch.column("_row")
+            texts = own.field(text)
+            for first, last in slices(column_bytes(texts)[1]):
+                out, ends = [], [0]
+                for value in texts.slice(first, last - first):
+                    plain = value.as_py() or ""
+                    if len(plain) < _LONG:
+                        pieces = split.findall(plain)
+                    else:
+                        pieces = (m.group() for m in split.finditer(plain))
+                    out.append(ids_of.of(pieces))
+                    ends.append(ends[-1] + len(out[-1]))
+                ids = pa.ListArray.from_arrays(
+                    pa.array(ends, pa.int32()), pa.array(np.concatenate(out), pa.int32())
+                )
+                yield pa.RecordBatch.from_arrays([own.slice(first, last - first), ids], ["_row", "ids"])
+            release()
 
     return rows.mapInArrow(run, with_fields(rows, "ids array<int>")).select("_row.*", "ids")
 
@@ -187,5 +197,6 @@ def decode(tokens: DataFrame, path: str, ids: str = "ids") -> DataFrame:
                     [batch.column("_row").slice(a, b - a), decoded.cast(pa.binary())],
                     ["_row", "decoded"],
                 )
+            release()
 
     return rows.mapInArrow(run, with_fields(rows, "decoded binary")).select("_row.*", "decoded")

@@ -1,4 +1,5 @@
 import hashlib
+import sys
 import random
 
 import public_tokenizers
@@ -68,3 +69,11 @@ def test_query_digests(spark, public):
         joined = " ".join(map(str, ids)).encode()
         assert (r.n_tokens, r.ids_sha256) == (len(ids), hashlib.sha256(joined).hexdigest())
         assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
+
+
+def test_known_matches_stay_small():
+    ids = _Ids({bytes([i]): i for i in range(256)})
+    for i in range(500_000):
+        ids[f"{i:06}"]
+    known = [*ids.items(), *ids._old.items()]
+    assert sum(sys.getsizeof(k) + sys.getsizeof(v) for k, v in known) < 50_000_000
