@@ -252,10 +252,11 @@ def with_key(rows: DataFrame, id_column: str, text: str) -> tuple[DataFrame, int
 
 
 def _packs(held: list[Strings], n_buckets: int) -> pa.RecordBatch:
-    """Packs of the strings of several slices, equal ones folded once more."""
-    strings = held[0]
-    if len(held) > 1:
-        strings = joined(held)
+    """Packs of the strings of several slices, equal ones folded once more; empties ``held``."""
+    strings = held[0] if len(held) == 1 else joined(held)
+    several = len(held) > 1
+    held.clear()
+    if several:
         starts = np.cumsum(strings.length) - strings.length
         hashes = string_hashes(strings.text, starts, strings.length)
         strings = collapse(strings, hashes, by_order=False)
@@ -285,11 +286,13 @@ def gone_ranges(
             for strings in cut(batch):
                 held.append(strings)
                 if sum(len(x.text) for x in held) >= PACK_BYTES:
+                    del strings
                     yield _packs(held, n_buckets)
-                    held.clear()
+                    release()
             release()
         if held:
             yield _packs(held, n_buckets)
+            release()
 
     packed = keyed.select("_id", "_variant", "_text").mapInArrow(spread, "bucket int, packed binary")
     return settled(packed, settle).groupBy("_id", "_variant").agg(

@@ -22,6 +22,7 @@ from lakeseries.llm.vectors import (
     gathered,
     mix,
     ragged,
+    release,
     slices,
     string_hashes,
     word_bounds,
@@ -109,12 +110,21 @@ def _settle(window: int):
     return settle
 
 
+def _parts(batches: Iterator[pa.RecordBatch], text_field: str) -> Iterator[pa.RecordBatch]:
+    """The batches by slices of whole texts."""
+    for batch in batches:
+        offsets = column_bytes(batch.column("_row").field(text_field))[1]
+        for first, last in slices(offsets):
+            yield batch.slice(first, last - first)
+        release()
+
+
 def _kept_words(text_field: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for part in _parts(batches, text_field):
             kept, counts, removed = [], [], []
-            texts = batch.column("_row").field(text_field)
-            gone = batch.column("_gone")
+            texts = part.column("_row").field(text_field)
+            gone = part.column("_gone")
             ends = gone.offsets.to_numpy()
             lo_all, hi_all = (gone.values.field(x).to_numpy(False) for x in ("lo", "hi"))
             for i, text in enumerate(texts):
@@ -129,7 +139,7 @@ def _kept_words(text_field: str):
                 removed.append(counts[-1] - len(words))
                 kept.append(b" ".join(words))
             yield pa.RecordBatch.from_arrays(
-                [batch.column("_row"), pa.array(counts, pa.int64()),
+                [part.column("_row"), pa.array(counts, pa.int64()),
                  pa.array(removed, pa.int64()), pa.array(kept, pa.binary())],
                 ["_row", "n_words", "n_removed", "_kept"],
             )

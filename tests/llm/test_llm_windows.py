@@ -3,9 +3,10 @@ import random
 import re
 
 import numpy as np
+import pyarrow as pa
 
 from lakeseries.llm.vectors import exact_classes
-from lakeseries.llm.windows import repeated_windows
+from lakeseries.llm.windows import _kept_words, repeated_windows
 
 
 def brute_force(texts, window):
@@ -77,3 +78,14 @@ def test_collisions_of_hashes_join_nothing():
     classes = exact_classes(text, starts, lengths, np.zeros(4, np.uint64))
     assert classes[0] == classes[2]
     assert len(set(classes.tolist())) == 3
+
+
+def test_kept_words_come_in_slices():
+    rows = pa.array([{"text": "a b c " * 50_000}] * 8)
+    kind = pa.list_(pa.struct([("lo", pa.int64()), ("hi", pa.int64())]))
+    gone = pa.array([[{"lo": 0, "hi": 2}], None] * 4, kind)
+    batch = pa.RecordBatch.from_arrays([rows, gone], ["_row", "_gone"])
+    out = list(_kept_words("text")(iter([batch])))
+    assert len(out) > 1 and max(len(b) for b in out) <= 3
+    assert [n for b in out for n in b.column("n_removed").to_pylist()] == [2, 0] * 4
+    assert {n for b in out for n in b.column("n_words").to_pylist()} == {150_000}
