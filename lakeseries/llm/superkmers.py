@@ -178,6 +178,20 @@ def collapse(strings: Strings, hashes: np.ndarray, by_order: bool) -> Strings:
     )
 
 
+def chosen(strings: Strings, keep: np.ndarray) -> Strings:
+    """The strings ``keep`` and their open occurrences; nothing that is decided."""
+    number = np.cumsum(keep) - 1
+    here = keep[strings.of]
+    return Strings(
+        text=strings.text[np.repeat(keep, strings.length)], length=strings.length[keep],
+        anchor=strings.anchor[keep] if len(strings.anchor) else strings.anchor,
+        offset=strings.offset[keep], weight=strings.weight[keep], text_id=strings.text_id,
+        text_variant=strings.text_variant, of=number[strings.of[here]], doc=strings.doc[here],
+        place=strings.place[here], symbols=strings.symbols[keep], gone_doc=strings.gone_doc[:0],
+        gone_from=strings.gone_from[:0], gone_to=strings.gone_to[:0],
+    )
+
+
 def dealt(strings: Strings, n_buckets: int) -> Iterator[tuple[int, bytes]]:
     """A pack for every bucket that has strings, and one for what is already decided."""
     bucket = (mix(strings.anchor) % np.uint64(n_buckets)).astype(np.int64)
@@ -301,18 +315,24 @@ def gone_ranges(
 
 
 def settled(
-    packed: DataFrame, settle: Callable[[Strings], tuple[np.ndarray, np.ndarray, np.ndarray]]
+    packed: DataFrame,
+    settle: Callable[[Strings], tuple[np.ndarray, np.ndarray, np.ndarray]],
+    split: Callable[[Strings], Iterator[Strings]] = lambda strings: iter([strings]),
 ) -> DataFrame:
-    """Ranges (``_id``, ``_variant``, ``lo``, ``hi``) that ``settle`` finds in every bucket."""
+    """Ranges (``_id``, ``_variant``, ``lo``, ``hi``) that ``settle`` finds in every bucket.
+
+    ``split`` cuts a bucket into parts that have nothing to do with each other.
+    """
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        strings = joined([unpack(x) for b in batches for x in b.column("packed").to_pylist()])
-        doc, first, end = settle(strings)
-        yield pa.RecordBatch.from_pydict(
-            {"_id": pa.array(strings.text_id[doc]), "_variant": pa.array(strings.text_variant[doc]),
-             "lo": pa.array(first, pa.int64()), "hi": pa.array(end, pa.int64())}
-        )
-        release()
+        whole = joined([unpack(x) for b in batches for x in b.column("packed").to_pylist()])
+        for strings in split(whole):
+            doc, first, end = settle(strings)
+            yield pa.RecordBatch.from_pydict(
+                {"_id": pa.array(strings.text_id[doc]), "_variant": pa.array(strings.text_variant[doc]),
+                 "lo": pa.array(first, pa.int64()), "hi": pa.array(end, pa.int64())}
+            )
+            release()
 
     return packed.groupBy("bucket").applyInArrow(
         gather, "_id long, _variant long, lo long, hi long"

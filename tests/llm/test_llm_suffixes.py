@@ -1,8 +1,11 @@
 import random
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 
-from lakeseries.llm.suffixes import common_extension, sort_suffixes, without_repeats
+from lakeseries.llm import suffixes, superkmers
+from lakeseries.llm.suffixes import bucket_count, common_extension, sort_suffixes, without_repeats
 from lakeseries.llm.vectors import PrefixHash
 
 
@@ -82,3 +85,81 @@ def test_common_extension():
     text = np.frombuffer(b"abcabcabdxabcabcabd", np.uint8)
     left, right = np.array([0, 0, 3]), np.array([3, 10, 13])
     assert common_extension(PrefixHash(text), left, right, 6).tolist() == [5, 6, 6]
+
+
+def test_a_large_group_is_sorted_in_few_steps(monkeypatch):
+    rng = random.Random(7)
+    data = b"".join(b"shared by all of them" + rng.randbytes(20) for _ in range(4_000))
+    text = np.frombuffer(data, np.uint8)
+    at = np.array(rng.sample(range(0, len(data), 41), 4_000))
+    steps = []
+
+    def counted(*given):
+        steps.append(len(given[1]))
+        return common_extension(*given)
+
+    monkeypatch.setattr(suffixes, "common_extension", counted)
+    order = sort_suffixes(text, PrefixHash(text), at, np.array([0, len(at)]), 41)
+    assert [data[i : i + 41] for i in at[order]] == sorted(data[i : i + 41] for i in at)
+    assert sum(steps) <= 7 * len(at)
+
+
+def test_equal_suffixes_keep_their_order():
+    text = np.frombuffer(b"abcdefghij" * 6 + b"b" * 10, np.uint8)
+    at = np.array([50, 10, 60, 1, 0, 21, 40])
+    order = sort_suffixes(text, PrefixHash(text), at, np.array([0, 7]), 10)
+    assert at[order].tolist() == [50, 10, 0, 40, 60, 1, 21]
+
+
+def test_packs_grow_with_the_input():
+    for n_parts in (1_000, 5_100, 25_500, 1_000_000):
+        n = bucket_count(n_parts)
+        assert n * n * suffixes.PACK_BYTES <= n_parts * superkmers.BUCKET_BYTES
+
+
+def with_frequent_passage(n):
+    rng = random.Random(9)
+    passage = "the same words in all of them"
+    other = ["".join(rng.choice("abcdefgh") for _ in range(20)) for _ in range(n // 2)]
+    return [(i, rng.choice(other) + rng.choice(other) + passage + rng.choice(other)) for i in range(n)]
+
+
+def test_frequent_minimisers_and_buckets_of_parts(make_docs, monkeypatch):
+    rows = with_frequent_passage(120) + [(i, "x" * i) for i in (200, 201)] + [(3, "x" * 30)]
+    monkeypatch.setattr(suffixes, "SPREAD", 30)
+    monkeypatch.setattr(superkmers, "MIN_BUCKETS", 2)
+    for n_bytes in (superkmers.BUCKET_BYTES, 1_000):
+        monkeypatch.setattr(superkmers, "BUCKET_BYTES", n_bytes)
+        check(make_docs(rows), rows, 12, 4)
+
+
+def test_frequent_in_one_text_only(make_docs, monkeypatch):
+    rng = random.Random(4)
+    alone = [word + "".join(rng.choice("stuvw") for _ in range(9)) for word in ("ZYXW", "1234", "MNOP") * 60]
+    rows = [(1, "".join(alone)), (2, "nothing of the other text"), (3, "nothing of the other text")]
+    monkeypatch.setattr(suffixes, "SPREAD", 30)
+    monkeypatch.setattr(superkmers, "MIN_BUCKETS", 2)
+    check(make_docs(rows), rows, 12, 4)
+
+
+def test_strings_of_a_frequent_minimiser_meet_in_many_buckets():
+    rows = with_frequent_passage(300)
+    n_buckets, window, gram = 256, 12, 4
+    texts = pa.StructArray.from_arrays([pa.array([t for _, t in rows])], ["text"])
+    ids = pa.array([i for i, _ in rows], pa.int64())
+    table = pa.table({"_id": ids, "_variant": ids, "_row": texts})
+    key = (pa.scalar(0, pa.int32()),)
+    names = suffixes._minimisers("text", window, gram, n_buckets)(key, table)
+    most = []
+    for spread in (1 << 30, suffixes.MANY):
+        run = suffixes._shared(spread)
+        marks = pa.Table.from_batches(
+            [x for i in range(names.num_rows) for x in run(iter(names.slice(i, 1).to_batches()))]
+        )
+        packs = suffixes._strings("text", window, gram, n_buckets)(key, table, marks)
+        most.append(0)
+        for x in map(superkmers.unpack, packs.column("packed").to_pylist()):
+            at = np.cumsum(x.length, dtype=np.int64) - x.length + x.offset
+            minimisers = Counter(x.text[i : i + gram].tobytes() for i in at)
+            most[-1] = max(most[-1], *minimisers.values(), 0)
+    assert most[1] < most[0] / 4
